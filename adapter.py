@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.config import Config
 
-CONFIG = Config()
+# Values near the quantiles of the test tables, so that every band and rule has rows.
+CONFIG = Config(
+    hvc_spend_threshold=2200.0,
+    installments_above=10.0,
+    national_avg_order_value=2120.0,
+    push_plan_score=6.0,
+    offer_upgrade_score=4.0,
+    top_categories=("standard", "large", "medium"),
+    frontier_states=("NATION_0", "NATION_1", "NATION_2", "NATION_3", "NATION_4"),
+    default_state="NATION_0",
+    customer_tiers=((100000, "Platinum"), (60000, "Gold"), (35000, "Silver"), (0, "Bronze")),
+    seller_tiers=((32000, "Platinum"), (27000, "Gold"), (23000, "Silver"), (0, "Bronze")),
+    seller_revenue_bands=((202000, "Starter"), (217000, "Growth"), (None, "Premium")),
+    severity_tiers=((12, "CRITICAL"), (6, "HIGH"), (2, "MEDIUM"), (0, "LOW")),
+)
+# a seller's mean item price is far below a customer's mean order value
+SELLER_CONFIG = replace(CONFIG, hvc_spend_threshold=535.0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -157,6 +157,7 @@ class Config:
 
     hvc_quantile: float = 0.75
     hvc_spend_threshold: float = 180.52
+    installments_above: float = 1.0
     national_avg_order_value: float = 160.99
     leakage_alert_pct: float = 5.0
     push_plan_score: float = 1000.0

@@ -19,8 +19,11 @@ def sum_parts(value) -> tuple[Column, Column]:
 
 def join_parts(units: Column, millionths: Column) -> Column:
     rest = F.pmod(millionths, F.lit(_MICRO))
-    carried = ((millionths - rest) / _MICRO).cast("bigint")
-    return (units + carried).cast("double") + rest / float(_MICRO)
+    whole = units + ((millionths - rest) / _MICRO).cast("bigint")
+    # up to here the total in millionths is itself an exact double, so only the division rounds
+    return F.when(F.abs(whole) < 9_000_000_000, (whole * _MICRO + rest) / float(_MICRO)).otherwise(
+        whole.cast("double") + rest / float(_MICRO)
+    )
 
 
 def exact_sum(value) -> Column:

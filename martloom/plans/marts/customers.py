@@ -82,7 +82,7 @@ def customer_payment_profile(
         "avg_installments",
         *[f"{t}_orders" for t in PAYMENT_TYPES],
         "max_installments_used",
-        flag(F.col("avg_installments") > 1).alias("uses_installments"),
+        flag(F.col("avg_installments") > cfg.installments_above).alias("uses_installments"),
         "avg_review_score",
         band("max_installments_used", INSTALLMENT_BANDS).alias("installment_bucket"),
     )

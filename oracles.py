@@ -117,7 +117,7 @@ piece("profile", "customer_base", """
 SELECT customer_unique_id, customer_state, customer_city, total_orders, total_spend, avg_order_value,
        CAST(total_spend >= (SELECT quantile_cont(total_spend, 0.75) FROM customer_base) AS INT) AS is_high_value,
        preferred_payment_type, avg_installments, credit_card_orders, boleto_orders, voucher_orders, debit_card_orders,
-       max_installments_used, CAST(avg_installments > 1 AS INT) AS uses_installments, avg_review_score,
+       max_installments_used, CAST(avg_installments > 10 AS INT) AS uses_installments, avg_review_score,
        CASE WHEN max_installments_used <= 1 THEN '1' WHEN max_installments_used <= 6 THEN '2-6'
             WHEN max_installments_used <= 12 THEN '7-12' ELSE '12+' END AS installment_bucket
 FROM customer_base""")
@@ -236,3 +236,269 @@ ORACLES: dict[str, str] = {
     "mart_lead_behaviour": with_pieces("behaviour", "SELECT * FROM behaviour"),
     "mart_payment_leakage": with_pieces("leakage", "SELECT * FROM leakage"),
 }
+
+# ---------------------------------------------------------------- ingest
+ORACLES |= {
+    "ingest_normalize": """
+SELECT event_id, CASE WHEN event_type <> 'error' THEN event_type ELSE '' END AS origin,
+       CASE WHEN event_id % 3 = 0 THEN '' WHEN value > 100 THEN 'True' ELSE 'False' END AS has_company,
+       CASE WHEN event_id % 5 <> 0 THEN value END AS declared_monthly_revenue
+FROM events""",
+    "rename_columns": """
+SELECT p_partkey AS product_id, CAST(length(p_name) AS INT) AS product_name_length, p_size AS product_description_length FROM part""",
+    "dq_report": with_pieces("v_orders order_payments customers products order_items", """
+, c AS (
+  SELECT 'orders' AS table_name, 'not empty' AS rule, count(*) AS row_count, CAST(count(*) = 0 AS BIGINT) AS violations FROM v_orders
+  UNION ALL SELECT 'orders', 'order_id not null', count(*), count(*) FILTER (order_id IS NULL) FROM v_orders
+  UNION ALL SELECT 'orders', 'customer_id not null', count(*), count(*) FILTER (customer_id IS NULL) FROM v_orders
+  UNION ALL SELECT 'order_payments', 'not empty', count(*), CAST(count(*) = 0 AS BIGINT) FROM order_payments
+  UNION ALL SELECT 'order_payments', 'payment_value not negative', count(*), count(*) FILTER (payment_value < 0 OR payment_value IS NULL) FROM order_payments
+  UNION ALL SELECT 'customers', 'not empty', count(*), CAST(count(*) = 0 AS BIGINT) FROM customers
+  UNION ALL SELECT 'products', 'not empty', count(*), CAST(count(*) = 0 AS BIGINT) FROM products
+  UNION ALL SELECT 'products', 'product_category_name not null', count(*), count(*) FILTER (product_category_name IS NULL) FROM products
+  UNION ALL SELECT 'order_items', 'not empty', count(*), CAST(count(*) = 0 AS BIGINT) FROM order_items
+  UNION ALL SELECT 'order_items', 'order_id not null', count(*), count(*) FILTER (order_id IS NULL) FROM order_items
+  UNION ALL SELECT 'order_items', 'price not negative', count(*), count(*) FILTER (price < 0 OR price IS NULL) FROM order_items)
+SELECT *, CAST(violations = 0 AS INT) AS passed FROM c"""),
+    "latest_by_key": """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+    "ensure_columns": "SELECT *, CAST(0 AS DOUBLE) AS avg_review_score, '' AS installment_bucket FROM customer",
+}
+
+# ---------------------------------------------------------------- channels and leads
+piece("channel", "leads", """
+WITH g AS (SELECT origin, count(*) AS total_leads, CAST(sum(converted) AS BIGINT) AS converted_leads FROM leads GROUP BY origin),
+     s AS (SELECT *, round_even(converted_leads / total_leads * 100, 2) AS conversion_rate_pct, round_even(ln(total_leads + 1), 4) AS log_volume FROM g),
+     e AS (SELECT *, round_even(converted_leads / total_leads * log_volume, 6) AS efficiency_score FROM s)
+SELECT *, CAST(row_number() OVER (ORDER BY efficiency_score DESC, origin) AS INT) AS rank,
+       round_even(efficiency_score / sum(efficiency_score) OVER () * 100, 1) AS budget_allocation_pct
+FROM e""")
+# the action texts, as in the published channel report
+ORACLES["channel_efficiency"] = with_pieces("channel", """
+SELECT *, CASE WHEN origin = 'unknown' THEN 'P0 - Fix UTM tracking (Week 1)' WHEN rank IN (1, 2) THEN 'P1 - Scale now'
+               WHEN rank IN (3, 4) THEN 'P2 - Maintain and monitor' ELSE 'P3 - Reduce and reallocate' END AS action_priority,
+       CASE WHEN origin = 'unknown' THEN 'FIX UTM FIRST - 16.7% conversion but 0% attribution. Enforce UTM params on all landing pages before any spend increase.'
+            WHEN efficiency_score = 0 THEN 'PAUSE - Zero efficiency. Investigate before any new spend.'
+            WHEN rank <= 2 THEN 'INCREASE - Rank ' || rank || ' by efficiency. Scale budget 20-30%.'
+            WHEN rank <= 4 THEN 'MAINTAIN - Solid efficiency. Review quarterly.'
+            ELSE 'REDUCE - Below-median efficiency. Reallocate to Rank 1-2 channels. A/B test creative before cutting.' END AS recommendation
+FROM channel""")
+ORACLES["profile_close_time"] = with_pieces("acquisition", """
+, s AS (SELECT lead_behaviour_profile, count(seller_id) AS seller_count, round_even(avg(days_to_close), 1) AS avg_days_to_close,
+               round_even(quantile_cont(days_to_close, 0.5), 1) AS median_days_to_close, min(days_to_close) AS min_days, max(days_to_close) AS max_days
+        FROM acquisition WHERE lead_behaviour_profile <> 'unknown' GROUP BY 1)
+SELECT *, CASE WHEN avg_days_to_close < 45 THEN 'Fast-Track (<45 days)' WHEN avg_days_to_close < 90 THEN 'Standard Nurture (45-90 days)'
+               ELSE 'High-Touch Support (>90 days)' END AS onboarding_package FROM s""")
+ORACLES["segment_distribution"] = with_pieces("acquisition", """
+, s AS (SELECT business_segment, count(seller_id) AS converted_count, round_even(avg(days_to_close), 1) AS avg_days,
+               round_even(avg(CAST(business_type = 'reseller' AS INT)) * 100, 1) AS pct_resellers
+        FROM acquisition WHERE business_segment <> 'unknown' GROUP BY 1)
+SELECT *, round_even(converted_count / sum(converted_count) OVER () * 100, 1) AS platform_share_pct FROM s""")
+ORACLES["profile_onboarding_packages"] = with_pieces("acquisition", """
+, s AS (SELECT lead_behaviour_profile, count(seller_id) AS count, round_even(avg(days_to_close), 1) AS avg_days
+        FROM acquisition WHERE lead_behaviour_profile <> 'unknown' GROUP BY 1)
+SELECT *, CASE lead_behaviour_profile
+            WHEN 'eagle' THEN 'Fast-Track - dedicated SDR, 7-day onboarding, priority listing'
+            WHEN 'cat' THEN 'Fast-Track - structured 2-week onboarding, category advisor'
+            WHEN 'wolf' THEN 'Standard Nurture - 90-day drip sequence, bi-weekly check-in'
+            WHEN 'shark' THEN 'High-Touch Support - 60-day intensive, legal/compliance review'
+            ELSE 'Standard Nurture - default 60-day sequence' END AS onboarding_package FROM s""")
+
+# ---------------------------------------------------------------- points
+piece("customer_points", "profile hv_category repeat_customer", """
+WITH b AS (SELECT p.customer_unique_id, p.customer_state, customer_city, total_spend, p.is_high_value, preferred_payment_type, installment_bucket,
+                  max_installments_used, uses_installments, avg_review_score, p.total_orders, round_even(total_spend, 2) AS base_points,
+                  CASE installment_bucket WHEN '12+' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS installment_mult,
+                  CASE WHEN p.customer_unique_id IN (SELECT customer_unique_id FROM hv_category WHERE product_category_en IN ('standard', 'large', 'medium'))
+                       THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END AS category_mult,
+                  CASE WHEN p.customer_state IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4') THEN 1.2::DOUBLE ELSE 1.0::DOUBLE END AS frontier_mult,
+                  CASE WHEN avg_review_score > 0 AND p.total_orders >= 1 THEN 50 ELSE 0 END AS review_bonus,
+                  coalesce(r.is_repeat_customer, 0) AS is_repeat_customer
+           FROM profile p LEFT JOIN repeat_customer r ON p.customer_unique_id = r.customer_unique_id),
+     t AS (SELECT *, round_even(base_points * installment_mult * category_mult * frontier_mult + review_bonus, 0) AS total_points FROM b),
+     u AS (SELECT *, CASE WHEN total_points >= 100000 THEN 'Platinum' WHEN total_points >= 60000 THEN 'Gold'
+                          WHEN total_points >= 35000 THEN 'Silver' ELSE 'Bronze' END AS tier FROM t)
+SELECT *, CASE tier WHEN 'Bronze' THEN 'Silver' WHEN 'Silver' THEN 'Gold' ELSE 'Platinum' END AS next_tier,
+       greatest(CASE tier WHEN 'Bronze' THEN 60000 ELSE 100000 END - total_points, 0) AS points_to_next,
+       CASE WHEN is_high_value = 1 AND is_repeat_customer = 1 THEN 'HVC Loyal' WHEN is_high_value = 1 AND is_repeat_customer = 0 THEN 'HVC One-Time'
+            WHEN is_high_value = 0 AND installment_bucket <> '1' THEN 'RC Upgrade Path' ELSE 'RC Single-Pay' END AS marketing_audience
+FROM u""")
+piece("seller_points", "seller_perf", """
+WITH b AS (SELECT *, round_even(avg_review_score * 100 * total_orders, 0) AS base_points,
+                  CASE WHEN avg_order_value > 535 THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END AS category_bonus FROM seller_perf),
+     t AS (SELECT *, round_even(base_points * category_bonus, 0) AS total_points FROM b),
+     u AS (SELECT *, CASE WHEN total_points >= 32000 THEN 'Platinum' WHEN total_points >= 27000 THEN 'Gold'
+                          WHEN total_points >= 23000 THEN 'Silver' ELSE 'Bronze' END AS tier,
+                     CASE WHEN total_revenue <= 202000 THEN 'Starter' WHEN total_revenue <= 217000 THEN 'Growth' ELSE 'Premium' END AS revenue_tier FROM t)
+SELECT *, CASE revenue_tier WHEN 'Starter' THEN 'Basic listing + onboarding analytics + category page placement'
+                            WHEN 'Growth' THEN 'Featured product slots + keyword-targeted display + enhanced analytics'
+                            ELSE 'Banner ads + HVC segment targeting + cross-sell placements + account manager' END AS ad_package,
+       round_even(total_points * 0.1::DOUBLE, 2) AS ad_credit_value,
+       CASE tier WHEN 'Bronze' THEN 'Silver' WHEN 'Silver' THEN 'Gold' ELSE 'Platinum' END AS next_tier,
+       greatest(CASE tier WHEN 'Bronze' THEN 27000 ELSE 32000 END - total_points, 0) AS points_to_next
+FROM u""")
+ORACLES |= {
+    "customer_points": with_pieces("customer_points", "SELECT * FROM customer_points"),
+    "seller_points": with_pieces("seller_points", "SELECT * FROM seller_points"),
+    "tier_summary": with_pieces("customer_points seller_points", """
+, lv AS (SELECT unnest(['Platinum', 'Gold', 'Silver', 'Bronze']) AS tier),
+  c AS (SELECT tier, count(*) AS n, avg(total_points) AS p, avg(is_high_value) AS h FROM customer_points GROUP BY tier),
+  s AS (SELECT tier, count(*) AS n, avg(total_points) AS p, avg(ad_credit_value) AS k FROM seller_points GROUP BY tier)
+SELECT lv.tier, coalesce(c.n, 0) AS customer_count,
+       round_even(coalesce(c.n, 0) / (SELECT count(*) FROM customer_points) * 100, 1) AS customer_pct,
+       coalesce(round_even(c.p, 0), 0) AS avg_customer_points, coalesce(round_even(c.h * 100, 1), 0) AS hvc_in_tier_pct,
+       coalesce(s.n, 0) AS seller_count, round_even(coalesce(s.n, 0) / (SELECT count(*) FROM seller_points) * 100, 1) AS seller_pct,
+       coalesce(round_even(s.p, 0), 0) AS avg_seller_points, coalesce(round_even(s.k, 2), 0) AS avg_seller_ad_credit
+FROM lv LEFT JOIN c ON lv.tier = c.tier LEFT JOIN s ON lv.tier = s.tier"""),
+    "installment_impact": with_pieces("customer_points", """
+SELECT installment_bucket, count(*) AS customers, round_even(avg(base_points), 1) AS avg_base_points,
+       round_even(avg(total_points), 1) AS avg_total_points FROM customer_points GROUP BY 1"""),
+    "audience_distribution": with_pieces("customer_points", """
+SELECT marketing_audience, count(*) AS customer_count, round_even(count(*) / sum(count(*)) OVER () * 100, 1) AS pct
+FROM customer_points GROUP BY 1"""),
+}
+
+# ---------------------------------------------------------------- leakage
+piece("alerts", "leakage", """
+WITH a AS (SELECT *, CASE WHEN avg_value = 0 THEN 0 ELSE round_even((2120 - avg_value) / 2120 * 100, 2) END AS pct_below_national_avg,
+                  CASE WHEN leakage_score >= 12 THEN 'CRITICAL' WHEN leakage_score >= 6 THEN 'HIGH'
+                       WHEN leakage_score >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
+                  round_even(abs(least(avg_value - 2120, 0)) * order_count, 2) AS revenue_at_risk
+           FROM leakage WHERE leakage_score > 0)
+SELECT *, pct_below_national_avg > 5 AS alert_flag,
+       CASE WHEN payment_type IN ('not_defined', 'unknown')
+            THEN 'CRITICAL ROUTING ERROR - ' || payment_type || ' linked to review scores 1.0-1.67. Escalate to payment ops. Manual review within 24h SLA.'
+            WHEN payment_type = 'credit_card' AND leakage_score > 6
+            THEN 'Push 12-installment plan for ' || state || ' credit card orders above R$ 2200.00. ' || printf('%.1f', pct_below_national_avg)
+                 || '% below national avg across ' || format('{:,}', order_count) || ' transactions.'
+            WHEN payment_type = 'boleto' AND leakage_score > 4
+            THEN 'Offer ' || state || ' boleto customers credit-card-with-installment upgrade at checkout. ' || printf('%.1f', pct_below_national_avg) || '% below national avg.'
+            WHEN pct_below_national_avg > 10
+            THEN state || ' ' || payment_type || ': ' || printf('%.1f', pct_below_national_avg) || '% below national avg. Investigate checkout flow for friction points.'
+            ELSE state || ' ' || payment_type || ': ' || printf('%.1f', pct_below_national_avg) || '% below national avg. Monitor weekly.' END AS remediation,
+       CAST(row_number() OVER (ORDER BY leakage_score DESC, state, payment_type) AS INT) AS alert_rank
+FROM a""")
+ORACLES |= {
+    "leakage_alerts": with_pieces("alerts", "SELECT * FROM alerts"),
+    "leakage_state_summary": with_pieces("alerts", """
+, g AS (SELECT state, sum(leakage_score) AS s, CAST(sum(order_count) AS BIGINT) AS total_orders_affected, sum(revenue_at_risk) AS r,
+               count(payment_type) AS num_payment_types, arg_min(payment_type, alert_rank) AS worst_payment_type, max(pct_below_national_avg) AS m
+        FROM alerts GROUP BY state)
+SELECT state, round_even(s, 2) AS total_leakage_score, total_orders_affected, round_even(r, 2) AS total_revenue_at_risk, num_payment_types,
+       worst_payment_type, round_even(m, 2) AS highest_pct_below, CAST(row_number() OVER (ORDER BY s DESC, state) AS INT) AS state_rank FROM g"""),
+    "leakage_critical": with_pieces("alerts", """
+SELECT state, payment_type, order_count, avg_value, remediation FROM alerts WHERE payment_type IN ('not_defined', 'unknown')"""),
+    "national_avg_check": with_pieces("detail", f"""
+SELECT 2120::DOUBLE AS configured_avg, {money('total_payment_value')} / count(*) AS live_avg,
+       {money('total_payment_value')} / count(*) - 2120 AS difference FROM detail"""),
+}
+
+# ---------------------------------------------------------------- campaign timing
+piece("seasons", "", """
+SELECT unnest(range(1, 13)) AS m, unnest(['Liquidação de Janeiro / Summer clearance', 'Carnaval season - electronics + fashion pre-event',
+  'Back-to-school close / Easter prep', 'Páscoa (Easter) - chocolate, home, gifts', 'Dia das Mães (2nd Sunday) - biggest gifting event after BF',
+  'Dia dos Namorados (June 12) - beauty, jewelry, electronics', 'Férias de julho - travel, toys, leisure',
+  'Dia dos Pais (2nd Sunday) - electronics, tools, sports', 'Volta às aulas / Spring promo', 'Dia das Crianças (Oct 12) - toys, games, apparel',
+  'Black Friday - highest sales event of the year', 'Natal / Christmas + end-of-year clearance']) AS event""")
+piece("calendar", "monthly seasons", f"""
+WITH t AS (SELECT year_month, {money('total_revenue')} AS rev, sum(order_count) AS n FROM monthly GROUP BY 1),
+     s AS (SELECT CAST(substr(year_month, 6, 2) AS INT) AS m, rev, n,
+                  round_even((rank() OVER (ORDER BY rev) + (count(*) OVER (PARTITION BY rev) - 1) / 2) / count(*) OVER () * 9 + 1, 1) AS score FROM t),
+     c AS (SELECT m, round_even({money('rev')} / count(*), 0) AS avg_revenue, round_even(sum(n) / count(*), 0) AS avg_orders,
+                  round_even(sum(CAST(round_even(score * 10, 0) AS BIGINT)) / (count(*) * 10), 1) AS intensity_score, count(*) AS data_points FROM s GROUP BY m)
+SELECT c.m AS calendar_month, monthname(make_date(2000, c.m, 1)) AS month_name, intensity_score,
+       CASE WHEN intensity_score >= 8 THEN 'HIGH' WHEN intensity_score >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS intensity_band,
+       seasons.event AS seasonal_event,
+       CASE WHEN intensity_score >= 8 THEN 21 WHEN intensity_score >= 5 THEN 14 ELSE 7 END AS pre_launch_days,
+       intensity_score >= 7 AS flash_sale_flag, avg_revenue, avg_orders,
+       round_even(round_even(intensity_score * 10, 0) / sum(round_even(intensity_score * 10, 0)) OVER () * 100, 1) AS campaign_budget_weight, data_points
+FROM c JOIN seasons ON seasons.m = c.m""")
+ORACLES |= {
+    "campaign_calendar": with_pieces("calendar", "SELECT * FROM calendar"),
+    "category_timing": with_pieces("price_range seasons", f"""
+, g AS (SELECT product_category_en AS category, CAST(substr(year_month, 6, 2) AS INT) AS m, {money('total_revenue')} AS rev
+        FROM price_range WHERE product_category_en IN ('standard', 'large', 'medium') GROUP BY 1, 2),
+  r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY rev DESC, m) AS rn FROM g)
+SELECT category, string_agg(monthname(make_date(2000, r.m, 1)), ', ' ORDER BY rn) AS peak_months,
+       '[' || string_agg(CAST(r.m AS VARCHAR), ', ' ORDER BY rn) || ']' AS peak_month_nums,
+       round_even(max(rev), 0) AS top_month_revenue, arg_min(monthname(make_date(2000, r.m, 1)), rn) AS top_month,
+       arg_min(seasons.event, rn) AS seasonal_event
+FROM r JOIN seasons ON seasons.m = r.m WHERE rn <= 3 GROUP BY category"""),
+    "flash_sale_windows": with_pieces("calendar", """
+SELECT calendar_month, month_name, intensity_score, seasonal_event,
+       CASE WHEN intensity_score >= 9 THEN 'Major Flash Event (48-72h)' ELSE 'Standard Flash Sale (24h)' END AS flash_sale_type,
+       CASE intensity_band WHEN 'HIGH' THEN 'Week 2 and Week 4 of the month' WHEN 'MEDIUM' THEN 'Week 3 of the month' END AS recommended_window,
+       CASE WHEN intensity_score >= 9 THEN 'Push + Email + Display + Retargeting' ELSE 'Email + Display' END AS channel_priority,
+       campaign_budget_weight
+FROM calendar WHERE flash_sale_flag"""),
+    "campaign_band_budget": with_pieces("calendar", """
+SELECT b AS intensity_band, count(calendar_month) AS month_count,
+       coalesce(sum(CAST(round_even(campaign_budget_weight * 10, 0) AS BIGINT)) / 10, 0) AS budget_pct,
+       coalesce(string_agg(month_name, ', ' ORDER BY calendar_month), '') AS months
+FROM (SELECT unnest(['HIGH', 'MEDIUM', 'LOW']) AS b) LEFT JOIN calendar ON intensity_band = b GROUP BY b"""),
+}
+
+# ---------------------------------------------------------------- triggers, audiences, headline figures
+piece("triggers", "profile repeat_customer", """
+WITH f AS (SELECT p.*, r.is_repeat_customer, r.days_active, (SELECT quantile_cont(avg_order_value, 0.5) FROM profile) AS med
+           FROM profile p LEFT JOIN repeat_customer r ON p.customer_unique_id = r.customer_unique_id),
+     t AS (SELECT customer_unique_id, customer_state, is_high_value, preferred_payment_type, avg_order_value, total_orders,
+                  CAST(total_orders >= 1 AS INT) AS T1_post_purchase_review,
+                  CAST(coalesce(preferred_payment_type = 'boleto' AND avg_order_value > 2200, false) AS INT) AS T2_installment_upgrade,
+                  CAST(coalesce(preferred_payment_type = 'voucher' AND avg_order_value > med, false) AS INT) AS T3_payment_anomaly,
+                  CAST(coalesce(is_repeat_customer = 0 AND days_active = 0 AND total_orders = 1, false) AS INT) AS T4_re_engagement,
+                  CAST(coalesce(is_high_value = 1 AND uses_installments = 0 AND avg_order_value > 2200, false) AS INT) AS T5_hvc_upsell FROM f)
+SELECT *, T1_post_purchase_review + T2_installment_upgrade + T3_payment_anomaly + T4_re_engagement + T5_hvc_upsell AS active_triggers FROM t""")
+piece("audiences", "profile repeat_customer hv_category", """
+WITH top AS (SELECT customer_unique_id, product_category_en FROM (
+               SELECT *, row_number() OVER (PARTITION BY customer_unique_id ORDER BY total_spend DESC, product_category_en) AS rn FROM hv_category) WHERE rn = 1),
+     f AS (SELECT p.customer_unique_id, p.customer_state, p.is_high_value, r.is_repeat_customer, total_spend, avg_order_value, preferred_payment_type,
+                  uses_installments, coalesce(top.product_category_en, 'unknown') AS top_category
+           FROM profile p LEFT JOIN repeat_customer r ON p.customer_unique_id = r.customer_unique_id
+           LEFT JOIN top ON p.customer_unique_id = top.customer_unique_id),
+     g AS (SELECT *, CAST(top_category IN ('standard', 'large', 'medium') AS INT) AS is_hvc_category,
+                  CASE WHEN is_high_value = 1 AND is_repeat_customer = 1 THEN 'hvc_loyal' WHEN is_high_value = 1 AND is_repeat_customer = 0 THEN 'hvc_one_time'
+                       WHEN is_repeat_customer = 1 AND is_high_value = 0 THEN 'rc_upgrade_path' ELSE 'rc_single_pay' END AS audience_segment FROM f)
+SELECT *, CASE audience_segment
+  WHEN 'hvc_loyal' THEN 'Exclusive early access to Black Friday + Dia das Mães campaigns. 12-installment option pre-surfaced. Dedicated retention email cadence (bi-weekly).'
+  WHEN 'hvc_one_time' THEN 'Win-back campaign at 30d post-purchase. Personalized category recommendation based on first-order category. Incentivize second order with 10% category voucher.'
+  WHEN 'rc_upgrade_path' THEN 'Upgrade to installment plan at next checkout. Show HVC threshold progress (''R$X away from HVC status''). Target with mid-tier category upsell (C. 150-500 bucket).'
+  ELSE 'Credit card + installment education email. Low-value promotional entry offer to encourage repeat. Re-engagement trigger at 90 days inactivity.' END AS audience_strategy
+FROM g""")
+ORACLES |= {
+    "trigger_segments": with_pieces("triggers", """
+SELECT *, CASE WHEN T1_post_purchase_review = 1 THEN 'T1_post_purchase_review' WHEN T2_installment_upgrade = 1 THEN 'T2_installment_upgrade'
+               WHEN T3_payment_anomaly = 1 THEN 'T3_payment_anomaly' WHEN T4_re_engagement = 1 THEN 'T4_re_engagement'
+               WHEN T5_hvc_upsell = 1 THEN 'T5_hvc_upsell' ELSE 'none' END AS primary_trigger,
+       CASE WHEN T1_post_purchase_review = 1 THEN 'Send review request email 5 days after estimated delivery. If review score >= 4, surface upsell recommendation.'
+            WHEN T2_installment_upgrade = 1 THEN 'At next checkout: display credit card + 6-installment option side-by-side with boleto. Show monthly installment value prominently.'
+            WHEN T3_payment_anomaly = 1 THEN 'Flag to customer ops within 24h. Send payment method clarification email. Offer credit card as preferred fallback.'
+            WHEN T4_re_engagement = 1 THEN 'Day 90: re-engagement email with top category deals. Day 105: SMS/push with discount code. Day 120: final win-back offer before suppression.'
+            WHEN T5_hvc_upsell = 1 THEN 'Surface 12-installment plan at checkout. Add loyalty point multiplier badge to product page. Invite to HVC early-access sale event.'
+            ELSE 'No action' END AS trigger_action
+FROM triggers"""),
+    "trigger_summary": with_pieces("triggers", """
+, u AS (UNPIVOT (SELECT sum(T1_post_purchase_review) AS T1_post_purchase_review, sum(T2_installment_upgrade) AS T2_installment_upgrade,
+                 sum(T3_payment_anomaly) AS T3_payment_anomaly, sum(T4_re_engagement) AS T4_re_engagement, sum(T5_hvc_upsell) AS T5_hvc_upsell,
+                 CAST(count(*) FILTER (active_triggers > 0) AS HUGEINT) AS at_least_one, CAST(count(*) FILTER (active_triggers > 1) AS HUGEINT) AS at_least_two FROM triggers)
+        ON COLUMNS(*) INTO NAME trigger VALUE n)
+SELECT trigger, CAST(n AS BIGINT) AS customer_count, round_even(n / (SELECT count(*) FROM triggers) * 100, 1) AS pct FROM u"""),
+    "audience_segments": with_pieces("audiences", "SELECT * FROM audiences"),
+    "segment_summary": with_pieces("audiences", """
+SELECT audience_segment, count(*) AS customer_count, round_even(avg(total_spend), 0) AS avg_spend, round_even(avg(avg_order_value), 1) AS avg_order_value,
+       round_even(avg(CAST(preferred_payment_type = 'credit_card' AS INT)) * 100, 1) AS pct_credit_card,
+       round_even(avg(uses_installments), 3) AS pct_installments, round_even(avg(is_hvc_category), 3) AS pct_hvc_category,
+       any_value(audience_strategy) AS strategy FROM audiences GROUP BY 1"""),
+    "hvc_loyal_top_categories": with_pieces("audiences", """
+SELECT top_category, count(*) AS customer_count FROM audiences WHERE audience_segment = 'hvc_loyal'
+GROUP BY 1 ORDER BY customer_count DESC, top_category LIMIT 5"""),
+    "executive_kpis": with_pieces("profile repeat_customer", f"""
+SELECT 'hvc_spend_threshold' AS kpi, 'all' AS segment, quantile_cont(total_spend, 0.75) AS value FROM profile
+UNION ALL SELECT 'hvc_customers', 'all', CAST(count(*) FILTER (is_high_value = 1) AS DOUBLE) FROM profile
+UNION ALL SELECT 'hvc_customer_share', 'all', count(*) FILTER (is_high_value = 1) / count(*) FROM profile
+UNION ALL SELECT 'hvc_revenue', 'all', {money('CASE WHEN is_high_value = 1 THEN total_spend END')} FROM profile
+UNION ALL SELECT 'total_revenue', 'all', {money('total_spend')} FROM profile
+UNION ALL SELECT 'hvc_revenue_share', 'all', {money('CASE WHEN is_high_value = 1 THEN total_spend END')} / {money('total_spend')} FROM profile
+UNION ALL SELECT 'repeat_customer_rate', CASE WHEN is_high_value = 1 THEN 'high_value' ELSE 'regular' END, avg(is_repeat_customer) FROM repeat_customer GROUP BY 2
+UNION ALL SELECT 'spend_per_order', installment_bucket, {money('total_spend')} / sum(total_orders) FROM profile GROUP BY 2"""),
+}

@@ -9,8 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import adapter
+from martloom.operators.keys import ensure_columns, latest_by_key
+from martloom.plans.analytics import ANALYTICS
+from martloom.plans.insights import points
 from martloom.plans.pipeline import STEPS, Marts
 from martloom.session import cut, tune
+from martloom.sources.quality import default_rules, dq_report, not_negative, not_null
+from martloom.sources.raw import normalize_strings, rename_columns
+
+Query = Callable[[SparkSession, str], DataFrame]
 
 _marts: dict[tuple[str, str], Marts] = {}
 
@@ -29,6 +36,79 @@ def _mart(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts(spark, sf_dir).define(name)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name: partial(_mart, name) for step in STEPS for name in step
+def _analytics(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ANALYTICS[name](marts(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- ingest
+def ingest_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as an untyped source would deliver them: missing origins, a boolean with gaps."""
+    return normalize_strings(
+        adapter.table(spark, sf_dir, "events").selectExpr(
+            "event_id",
+            "CASE WHEN event_type <> 'error' THEN event_type END AS origin",
+            "CASE WHEN event_id % 3 <> 0 THEN value > 100 END AS has_company",
+            "CASE WHEN event_id % 5 = 0 THEN double('NaN') ELSE value END AS declared_monthly_revenue",
+        )
+    )
+
+
+def rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = adapter.table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id", "length(p_name) AS product_name_lenght", "p_size AS product_description_lenght"
+    )
+    return rename_columns(
+        source,
+        {"product_name_lenght": "product_name_length", "product_description_lenght": "product_description_length"},
+    )
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = marts(spark, sf_dir).raw
+    rules = default_rules() | {
+        # rules that the test data breaks, so that counting violations is exercised too
+        "products": [not_null("product_category_name")],
+        "order_items": [not_null("order_id"), not_negative("price")],
+    }
+    return dq_report(raw, rules)
+
+
+def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = adapter.table(spark, sf_dir, "events")
+    return latest_by_key(events, ["user_id"], [F.desc("ts"), F.desc("event_id")])
+
+
+def evolved_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ensure_columns(
+        adapter.table(spark, sf_dir, "customer"), {"avg_review_score": 0.0, "installment_bucket": "", "c_acctbal": -1.0}
+    )
+
+
+# ---------------------------------------------------------------- variants for the test data
+def seller_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return points.seller_points(marts(spark, sf_dir).mart("mart_seller_performance"), adapter.SELLER_CONFIG)
+
+
+def tier_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = ANALYTICS["customer_points"](marts(spark, sf_dir))
+    return points.tier_summary(customers, seller_points(spark, sf_dir), adapter.CONFIG)
+
+
+
+def category_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the list as text, as in the CSV output
+    return ANALYTICS["category_timing"](marts(spark, sf_dir)).withColumn(
+        "peak_month_nums", F.concat(F.lit("["), F.array_join(F.col("peak_month_nums").cast("array<string>"), ", "), F.lit("]"))
+    )
+
+
+QUERIES: dict[str, Query] = {
+    "ingest_normalize": ingest_normalize,
+    "rename_columns": rename,
+    "dq_report": quality,
+    "latest_by_key": latest_event,
+    "ensure_columns": evolved_profile,
 }
+QUERIES |= {name: partial(_mart, name) for step in STEPS for name in step}
+QUERIES |= {name: partial(_analytics, name) for name in ANALYTICS}
+QUERIES |= {"seller_points": seller_points, "tier_summary": tier_summary, "category_timing": category_timing}
