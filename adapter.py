@@ -23,6 +23,8 @@ CONFIG = Config(
     seller_tiers=((32000, "Platinum"), (27000, "Gold"), (23000, "Silver"), (0, "Bronze")),
     seller_revenue_bands=((202000, "Starter"), (217000, "Growth"), (None, "Premium")),
     severity_tiers=((12, "CRITICAL"), (6, "HIGH"), (2, "MEDIUM"), (0, "LOW")),
+    # boosting rounds run one after the other; the library default is 400
+    boosting_rounds=40,
 )
 # a seller's mean item price is far below a customer's mean order value
 SELLER_CONFIG = replace(CONFIG, hvc_spend_threshold=535.0)

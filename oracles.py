@@ -502,3 +502,44 @@ UNION ALL SELECT 'hvc_revenue_share', 'all', {money('CASE WHEN is_high_value = 1
 UNION ALL SELECT 'repeat_customer_rate', CASE WHEN is_high_value = 1 THEN 'high_value' ELSE 'regular' END, avg(is_repeat_customer) FROM repeat_customer GROUP BY 2
 UNION ALL SELECT 'spend_per_order', installment_bucket, {money('total_spend')} / sum(total_orders) FROM profile GROUP BY 2"""),
 }
+
+# ---------------------------------------------------------------- model inputs
+piece("lead_rows", "acquisition", """
+SELECT mql_id, greatest(days_to_close, 0) AS days_to_close, lead_type, lead_behaviour_profile, business_segment, business_type,
+       declared_monthly_revenue AS revenue, CAST(CAST('0x' || substr(md5('42:' || mql_id), 1, 8) AS BIGINT) % 5 AS INT) AS fold
+FROM acquisition""")
+
+
+def out_of_fold(column: str) -> str:
+    return f"""(SELECT round_even(coalesce((sum(o.days_to_close) + 10 * (SELECT avg(days_to_close) FROM lead_rows)) / nullif(count(*) + 10, 10),
+            (SELECT avg(days_to_close) FROM lead_rows)), 9) FROM lead_rows o WHERE o.{column} = r.{column} AND o.fold <> r.fold) AS {column}_enc"""
+
+
+def mapping_of(column: str) -> str:
+    return f"""SELECT '{column}' AS feature, {column} AS category, count(*) AS row_count,
+       round_even((sum(days_to_close) + 10 * (SELECT avg(days_to_close) FROM lead_rows)) / (count(*) + 10), 9) AS encoded FROM lead_rows GROUP BY {column}"""
+
+
+LEAD_CATEGORIES = ["lead_type", "lead_behaviour_profile", "business_segment", "business_type"]
+ORACLES |= {
+    "lead_features": with_pieces("lead_rows", """
+SELECT mql_id, days_to_close, lead_type, lead_behaviour_profile, business_segment, business_type,
+       round_even(ln(1 + revenue), 9) AS log_revenue, CAST(revenue > 0 AS INT) AS has_revenue FROM lead_rows"""),
+    "target_encode_oof": with_pieces(
+        "lead_rows", "SELECT mql_id, fold, days_to_close, " + ", ".join(map(out_of_fold, LEAD_CATEGORIES)) + " FROM lead_rows r"
+    ),
+    "target_encode_mapping": with_pieces("lead_rows", " UNION ALL ".join(map(mapping_of, LEAD_CATEGORIES))),
+    "seller_cluster_features": with_pieces("seller_perf", """
+, f AS (SELECT seller_id, ln(1 + total_revenue) AS a, avg_review_score AS b, ln(1 + total_orders) AS c, CAST(unique_categories AS DOUBLE) AS d FROM seller_perf),
+  s AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(d) AS md, stddev_samp(a) AS sa, stddev_samp(b) AS sb, stddev_samp(c) AS sc, stddev_samp(d) AS sd FROM f)
+SELECT seller_id, round_even(coalesce((a - ma) / nullif(sa, 0), 0), 6) AS z_log_revenue, round_even(coalesce((b - mb) / nullif(sb, 0), 0), 6) AS z_avg_review_score,
+       round_even(coalesce((c - mc) / nullif(sc, 0), 0), 6) AS z_log_orders, round_even(coalesce((d - md) / nullif(sd, 0), 0), 6) AS z_unique_categories
+FROM f, s"""),
+    "installment_features": with_pieces("profile", """
+, st AS (SELECT customer_state, CAST(row_number() OVER (ORDER BY customer_state) - 1 AS INT) AS i FROM (SELECT DISTINCT customer_state FROM profile))
+SELECT customer_unique_id, st.i AS state_encoded,
+       round_even(ln(1 + coalesce(avg_order_value, (SELECT quantile_cont(avg_order_value, 0.5) FROM profile))), 9) AS log_avg_order_value,
+       round_even(ln(1 + total_orders), 9) AS log_total_orders, CAST(preferred_payment_type = 'credit_card' AS INT) AS is_credit_card, is_high_value,
+       CAST(p.customer_state IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4') AS INT) AS leakage_state, uses_installments
+FROM profile p JOIN st ON st.customer_state = p.customer_state"""),
+}

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import adapter
+from martloom.functions.numbers import half_even
 from martloom.operators.keys import ensure_columns, latest_by_key
-from martloom.plans.analytics import ANALYTICS
+from martloom.plans.analytics import ANALYTICS, SELLERS
 from martloom.plans.insights import points
-from martloom.plans.pipeline import STEPS, Marts
-from martloom.session import cut, tune
+from martloom.plans.ml import installments, leads, sellers
+from martloom.plans.pipeline import ACQUISITION, DETAIL, PROFILE, STEPS, Marts
+from martloom.session import cut, scratch_dir, tune
 from martloom.sources.quality import default_rules, dq_report, not_negative, not_null
 from martloom.sources.raw import normalize_strings, rename_columns
+from martloom.streaming import checkout
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +107,146 @@ def category_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- models
+_models: dict[tuple, object] = {}
+
+
+def _model(kind: str, spark: SparkSession, sf_dir: str, train, load):
+    """Train once per session and folder, save, and go on from the saved copy."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _models:
+        path = f"{scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+        fitted = train()
+        if hasattr(fitted, "save") and not hasattr(fitted, "stages"):
+            fitted.save(path)
+        else:
+            fitted.write().overwrite().save(path)
+        _models[key] = load(path)
+    return _models[key]
+
+
+def lead_model(spark: SparkSession, sf_dir: str) -> leads.LeadModel:
+    acquisition = marts(spark, sf_dir).mart(ACQUISITION)
+    return _model(
+        "lead-model",
+        spark,
+        sf_dir,
+        lambda: leads.train_lead_model(acquisition, cut, adapter.CONFIG),
+        lambda path: leads.LeadModel.load(spark, path),
+    )
+
+
+def seller_model(spark: SparkSession, sf_dir: str) -> sellers.SellerModel:
+    performance = marts(spark, sf_dir).mart(SELLERS)
+    return _model(
+        "seller-model",
+        spark,
+        sf_dir,
+        lambda: sellers.train_seller_model(performance, adapter.SELLER_CONFIG),
+        sellers.SellerModel.load,
+    )
+
+
+def installment_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    profile = marts(spark, sf_dir).mart(PROFILE)
+    return _model(
+        "installment-model",
+        spark,
+        sf_dir,
+        lambda: installments.train_installment_model(profile, adapter.CONFIG),
+        PipelineModel.load,
+    )
+
+
+def _rounded(df: DataFrame, columns: list[str], places: int = 9) -> DataFrame:
+    """Logarithms and encodings end in different last bits in different engines."""
+    return df.withColumns({c: half_even(c, places) for c in columns})
+
+
+def lead_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(leads.lead_features(marts(spark, sf_dir).mart(ACQUISITION)), ["log_revenue"])
+
+
+def target_encode_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = leads.encoded_leads(marts(spark, sf_dir).mart(ACQUISITION), adapter.CONFIG)
+    columns = [f"{c}_enc" for c in leads.CATEGORIES]
+    return _rounded(encoded.select("mql_id", "fold", "days_to_close", *columns), columns)
+
+
+def target_encode_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(leads.lead_encodings(marts(spark, sf_dir).mart(ACQUISITION), adapter.CONFIG), ["encoded"])
+
+
+def lead_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acquisition = marts(spark, sf_dir).mart(ACQUISITION)
+    return leads.lead_scores(acquisition, lead_model(spark, sf_dir), acquisition, cut)
+
+
+def lead_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.lead_model_metrics(lead_model(spark, sf_dir), adapter.CONFIG)
+
+
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.feature_importance(lead_model(spark, sf_dir), adapter.CONFIG)
+
+
+def lead_conversion_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = marts(spark, sf_dir)
+    return leads.conversion_classifier(m.raw["mql"], m.mart(ACQUISITION), cut, adapter.CONFIG)
+
+
+def seller_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    performance = marts(spark, sf_dir).mart(SELLERS)
+    return sellers.seller_tiers(performance, seller_model(spark, sf_dir), adapter.SELLER_CONFIG)
+
+
+def installment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = installments.installment_features(marts(spark, sf_dir).mart(PROFILE), adapter.CONFIG)
+    return _rounded(features, ["log_avg_order_value", "log_total_orders"])
+
+
+def installment_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return installments.installment_coefficients(installment_model(spark, sf_dir), spark)
+
+
+def installment_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile = marts(spark, sf_dir).mart(PROFILE)
+    return installments.installment_recommendations(profile, installment_model(spark, sf_dir), adapter.CONFIG)
+
+
+def installment_final_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return installment_recommendations(spark, sf_dir).groupBy("recommended_tier", "final_recommend").agg(
+        F.count("*").alias("customer_count")
+    )
+
+
+def checkout_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event per order, as the checkout would send it."""
+    m = marts(spark, sf_dir)
+    profile = m.mart(PROFILE).select("customer_unique_id", "total_orders", "is_high_value")
+    return m.mart(DETAIL).join(profile, "customer_unique_id").select(
+        "order_id",
+        "customer_state",
+        F.col("total_payment_value").alias("avg_order_value"),
+        "total_orders",
+        F.col("payment_type").alias("preferred_payment_type"),
+        "is_high_value",
+    )
+
+
+def checkout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events arrive as files, are scored as a stream, and the sink is read back."""
+    base = f"{scratch_dir(spark)}/checkout-{uuid.uuid4().hex}"
+    events = checkout_events(spark, sf_dir)
+    events.write.parquet(f"{base}/in")
+    stream = checkout.read_checkouts(spark, f"{base}/in", events.schema)
+    query = checkout.start_scoring(
+        stream, installment_model(spark, sf_dir), f"{base}/out", f"{base}/state", adapter.CONFIG
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 QUERIES: dict[str, Query] = {
     "ingest_normalize": ingest_normalize,
     "rename_columns": rename,
@@ -112,3 +257,34 @@ QUERIES: dict[str, Query] = {
 QUERIES |= {name: partial(_mart, name) for step in STEPS for name in step}
 QUERIES |= {name: partial(_analytics, name) for name in ANALYTICS}
 QUERIES |= {"seller_points": seller_points, "tier_summary": tier_summary, "category_timing": category_timing}
+QUERIES |= {
+    "lead_features": lead_features,
+    "target_encode_oof": target_encode_oof,
+    "target_encode_mapping": target_encode_mapping,
+    "lead_regressor": lead_regressor,
+    "lead_scores": lead_scores,
+    "lead_profile_summary": lambda spark, sf: leads.lead_profile_summary(lead_scores(spark, sf)),
+    "lead_tier_distribution": lambda spark, sf: leads.lead_tier_distribution(lead_scores(spark, sf)),
+    "lead_top10": lambda spark, sf: leads.lead_top(lead_scores(spark, sf)),
+    "feature_importance": feature_importance,
+    "lead_conversion_classifier": lead_conversion_classifier,
+    "seller_cluster_features": lambda spark, sf: sellers.seller_cluster_features(marts(spark, sf).mart(SELLERS)),
+    "cluster_validation": lambda spark, sf: sellers.cluster_validation(marts(spark, sf).mart(SELLERS), adapter.CONFIG),
+    "seller_tiers": seller_tiers,
+    "seller_tier_centroids": lambda spark, sf: sellers.seller_tier_centroids(seller_tiers(spark, sf)),
+    "seller_top10": lambda spark, sf: sellers.seller_top(seller_tiers(spark, sf)),
+    "installment_features": installment_features,
+    "installment_model": lambda spark, sf: installments.installment_model_metrics(
+        marts(spark, sf).mart(PROFILE), adapter.CONFIG
+    ),
+    "installment_report": lambda spark, sf: installments.installment_report(
+        marts(spark, sf).mart(PROFILE), installment_model(spark, sf)
+    ),
+    "installment_coefficients": installment_coefficients,
+    "installment_recommendations": installment_recommendations,
+    "installment_tier_distribution": lambda spark, sf: installments.installment_tier_distribution(
+        installment_recommendations(spark, sf)
+    ),
+    "installment_final_decision": installment_final_decision,
+    "checkout_stream": checkout_stream,
+}
