@@ -2,28 +2,26 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from martloom.functions.numbers import as_col
 
-_MICRO = 1_000_000
+_MILLIONTH = Decimal("0.000001")
 
 
 def sum_parts(value) -> tuple[Column, Column]:
     """Whole units and millionths of ``value``, each summed as integers."""
     v = as_col(value)
     units = F.floor(v)
-    return F.sum(units), F.sum(F.rint((v - units) * float(_MICRO)).cast("bigint"))
+    return F.sum(units), F.sum(F.rint((v - units) * 1e6).cast("bigint"))
 
 
 def join_parts(units: Column, millionths: Column) -> Column:
-    rest = F.pmod(millionths, F.lit(_MICRO))
-    whole = units + ((millionths - rest) / _MICRO).cast("bigint")
-    # up to here the total in millionths is itself an exact double, so only the division rounds
-    return F.when(F.abs(whole) < 9_000_000_000, (whole * _MICRO + rest) / float(_MICRO)).otherwise(
-        whole.cast("double") + rest / float(_MICRO)
-    )
+    whole = units.cast("decimal(20,0)")
+    return (whole + millionths.cast("decimal(20,0)") * F.lit(_MILLIONTH)).cast("double")
 
 
 def exact_sum(value) -> Column:

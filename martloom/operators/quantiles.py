@@ -4,11 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 _SMALL = 100_000
 
+# v: the values; s: one row per group. Without groups s is a scalar subquery, which every
+# task sees as a constant; with groups s is broadcast.
+_QUERY = """
+WITH v AS (SELECT {keys} CAST({value} AS DOUBLE) AS x FROM {{rows}} WHERE {value} IS NOT NULL),
+sketch AS (
+  SELECT {keys} count(*) AS n, min(x) AS low, max(x) AS high,
+         percentile_approx(x, array({q_low}D, {q_high}D), {accuracy}) AS b, (count(*) - 1) * {q}D AS position
+  FROM v {group}
+),
+bracket AS (
+  SELECT {keys} n, low, high, CAST(floor(position) AS BIGINT) AS r, position - floor(position) AS t,
+         if(n <= {small}, low, b[0]) AS lo, if(n <= {small}, high, b[1]) AS hi
+  FROM sketch
+),
+counted AS (
+  SELECT {keys} any_value(struct(n, r, t, low, high, lo, hi)) AS s, count_if(x < lo) AS below, count_if(x <= hi) AS upto
+  FROM {v_with_bracket} {group}
+),
+checked AS (
+  SELECT {keys} s.n, s.r, s.t, if(holds, s.lo, s.low) AS lo, if(holds, s.hi, s.high) AS hi, if(holds, below, 0) AS below
+  FROM (SELECT *, below <= s.r AND upto >= least(s.r + 2, s.n) AS holds FROM counted)
+),
+inside AS (
+  SELECT {keys} x, any_value(struct(n, r, t, below)) AS s, count(*) AS c FROM {v_with_checked} WHERE x BETWEEN lo AND hi
+  GROUP BY {keys} x
+),
+ranked AS (SELECT *, s.below + sum(c) OVER ({partition} ORDER BY x) AS upto FROM inside),
+found AS (
+  SELECT {keys} max(s.t) AS t,
+         max(if(upto - c <= s.r AND s.r < upto, x, NULL)) AS a,
+         max(if(upto - c <= least(s.r + 1, s.n - 1) AND least(s.r + 1, s.n - 1) < upto, x, NULL)) AS z
+  FROM ranked {group}
+)
+SELECT {keys} a + (z - a) * t AS {name} FROM found
+"""
+
 
 def exact_quantile(
     df: DataFrame, value: str, q: float, by: Sequence[str] = (), name: str = "quantile", accuracy: int = 10_000
@@ -19,70 +54,29 @@ def exact_quantile(
     Here a sketch brackets the wanted rank, a second pass counts what lies below the
     bracket, and only the values inside it (a few in ten thousand) are sorted. Where the
     counts show that the sketch missed the rank, the bracket is the full range, so the
-    result is exact in every case. ``by`` must name a small set of groups: the brackets
+    result is exact in every case. ``by`` must name a small set of groups: their brackets
     are broadcast.
     """
-    by = list(by)
-    values = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
     margin = 2.0 / accuracy
-    sketch = values.groupBy(*by).agg(
-        F.count("*").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy).alias("_b"),
-    )
-    small = F.col("_n") <= _SMALL
-    rank = (F.col("_n") - 1) * F.lit(q)
-    bracket = sketch.select(
-        *by,
-        "_n",
-        "_min",
-        "_max",
-        F.floor(rank).alias("_r"),
-        (rank - F.floor(rank)).alias("_t"),
-        F.when(small, F.col("_min")).otherwise(F.col("_b")[0]).alias("_lo"),
-        F.when(small, F.col("_max")).otherwise(F.col("_b")[1]).alias("_hi"),
-    )
-    carried = ["_n", "_min", "_max", "_r", "_t", "_lo", "_hi"]
-    counted = (
-        _with_groups(values, bracket, by)
-        .groupBy(*by, *carried)
-        .agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"), F.count_if(F.col("_v") <= F.col("_hi")).alias("_upto"))
-    )
-    holds = (F.col("_below") <= F.col("_r")) & (F.col("_upto") >= F.least(F.col("_r") + 2, F.col("_n")))
-    checked = counted.select(
-        *by,
-        "_n",
-        "_r",
-        "_t",
-        F.when(holds, F.col("_lo")).otherwise(F.col("_min")).alias("_lo"),
-        F.when(holds, F.col("_hi")).otherwise(F.col("_max")).alias("_hi"),
-        F.when(holds, F.col("_below")).otherwise(0).alias("_below"),
-    )
-    inside = (
-        _with_groups(values, checked, by)
-        .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        .groupBy(*by, "_v", "_n", "_r", "_t", "_below")
-        .agg(F.count("*").alias("_c"))
-    )
-    running = Window.partitionBy(*by).orderBy("_v")
-    end = F.col("_below") + F.sum("_c").over(running)
-    ranked = inside.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c"))
+    keys = ", ".join(by)
 
-    def at(r):
-        return F.max(F.when((F.col("_start") <= r) & (r < F.col("_end")), F.col("_v")))
+    def v_with(side: str) -> str:
+        if by:
+            return f"(SELECT /*+ BROADCAST({side}) */ * FROM v JOIN {side} USING ({keys}))"
+        return f"(SELECT x, g.* FROM (SELECT x, (SELECT struct(*) FROM {side}) AS g FROM v))"
 
-    found = ranked.groupBy(*by).agg(
-        at(F.col("_r")).alias("_a"),
-        at(F.least(F.col("_r") + 1, F.col("_n") - 1)).alias("_z"),
-        F.max("_t").alias("_t"),
+    query = _QUERY.format(
+        keys=f"{keys}," if by else "",
+        value=value,
+        q=float(q),
+        q_low=max(q - margin, 0.0),
+        q_high=min(q + margin, 1.0),
+        accuracy=accuracy,
+        small=_SMALL,
+        group=f"GROUP BY {keys}" if by else "",
+        partition=f"PARTITION BY {keys}" if by else "",
+        v_with_bracket=v_with("bracket"),
+        v_with_checked=v_with("checked"),
+        name=name,
     )
-    return found.select(*by, (F.col("_a") + (F.col("_z") - F.col("_a")) * F.col("_t")).alias(name))
-
-
-def _with_groups(values: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame:
-    if by:
-        return values.join(F.broadcast(groups), by)
-    # one row: a scalar subquery, which every task sees as a constant
-    packed = groups.select(F.struct(*groups.columns)).scalar()
-    return values.withColumn("_g", packed).select("_v", "_g.*")
+    return df.sparkSession.sql(query, rows=df)
