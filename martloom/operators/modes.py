@@ -30,7 +30,7 @@ def group_with_mode(
         .agg(F.max("_n").alias("_other_n"), F.min(F.struct((-F.col("_n")).alias("n"), v.alias("v")))["v"].alias("_other"))
     )
     counts = [F.col(f"_n{i}") for i in range(len(listed))]
-    top = F.greatest(*counts)
+    top = F.greatest(F.lit(0), *counts)
     best = F.coalesce(*[F.when((c == top) & (c > 0), x) for c, x in zip(counts, listed)])
     other_n = F.coalesce("_other_n", F.lit(0))
     chosen = F.when((other_n > top) | ((other_n == top) & (F.col("_other") < best)), F.col("_other")).otherwise(best)
