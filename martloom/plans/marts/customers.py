@@ -13,14 +13,13 @@ from martloom.functions.dates import elapsed_days
 from martloom.functions.numbers import band, flag
 from martloom.operators.keys import completed
 from martloom.operators.quantiles import exact_quantile
-from martloom.plans.marts.common import payments_by_order, reviews_by_order
 
 
-def customer_review_scores(orders: DataFrame, customers: DataFrame, reviews: DataFrame) -> DataFrame:
+def customer_review_scores(orders: DataFrame, customers: DataFrame, reviewed: DataFrame) -> DataFrame:
     """Mean score per customer id, then mean of those per unique customer; all order statuses count."""
     per_id = (
         orders.select("order_id", "customer_id")
-        .join(reviews_by_order(reviews), "order_id")
+        .join(reviewed, "order_id")
         .groupBy("customer_id")
         .agg((F.sum("score_sum") / F.sum("n_reviews")).alias("score"))
     )
@@ -33,23 +32,24 @@ def customer_review_scores(orders: DataFrame, customers: DataFrame, reviews: Dat
 
 def customer_payment_profile(
     orders: DataFrame,
-    payments: DataFrame,
+    paid: DataFrame,
     customers: DataFrame,
-    reviews: DataFrame,
+    reviewed: DataFrame,
     cfg: Config = Config(),
     cut: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per unique customer with completed orders; high value means spend at or above the quantile.
 
+    ``paid`` and ``reviewed`` are payments and reviews aggregated per order.
+
     The spend quantile needs three light passes over the customers. ``cut`` (for example
     :func:`martloom.session.cut`) writes them once, so those passes read one column of a
     table instead of repeating the joins; without it the job stays a single lazy plan.
     """
-    per_order = payments_by_order(payments)
     sales = (
         completed(orders)
         .select("order_id", "customer_id")
-        .join(per_order, "order_id", "left")
+        .join(paid, "order_id", "left")
         .join(customers.select("customer_id", "customer_unique_id", "customer_state", "customer_city"), "customer_id", "left")
         .where("customer_unique_id IS NOT NULL")
     )
@@ -65,7 +65,7 @@ def customer_payment_profile(
         *counts,
         F.coalesce(F.max("max_installments"), F.lit(0)).alias("max_installments_used"),
     )
-    base = profile.join(customer_review_scores(orders, customers, reviews), "customer_unique_id", "left")
+    base = profile.join(customer_review_scores(orders, customers, reviewed), "customer_unique_id", "left")
     base = base.withColumn("avg_review_score", F.coalesce("avg_review_score", F.lit(0.0)))
     if cut is not None:
         base = cut(base, "customer-base")

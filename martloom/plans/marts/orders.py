@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from martloom.functions.aggregates import exact_mean, exact_sum, join_parts, sum_parts
 from martloom.functions.dates import year_month
 from martloom.operators.keys import completed
-from martloom.plans.marts.common import payments_by_order
 
 
-def order_payment_detail(orders: DataFrame, payments: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
+def order_payment_detail(orders: DataFrame, paid: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
     """One row per order, whatever its status.
 
-    Payments and items are aggregated per order first, so the three-way join on the order
-    id shuffles the orders once and nothing fans out; the customer lookup comes last.
+    Payments (``paid``) and items are aggregated per order first, so the three-way join on
+    the order id shuffles the orders once and nothing fans out; the customer lookup comes last.
     """
-    paid = payments_by_order(payments).select("order_id", "paid", "payment_type", "max_installments")
+    paid = paid.select("order_id", "paid", "payment_type", "max_installments")
     bought = items.groupBy("order_id").agg(
         F.count("*").alias("num_items"), exact_sum(F.col("price") + F.col("freight_value")).alias("total_order_value")
     )

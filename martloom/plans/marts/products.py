@@ -10,11 +10,10 @@ from martloom.functions.aggregates import exact_mean, exact_sum
 from martloom.functions.dates import year_month
 from martloom.functions.numbers import band
 from martloom.operators.keys import completed
-from martloom.plans.marts.common import product_categories
 
 
 def hv_category_preference(
-    detail: DataFrame, profile: DataFrame, items: DataFrame, products: DataFrame, translation: DataFrame
+    detail: DataFrame, profile: DataFrame, items: DataFrame, categories: DataFrame
 ) -> DataFrame:
     """Item rows and spend per high-value customer and category; an order without items counts once as ``unknown``.
 
@@ -27,7 +26,7 @@ def hv_category_preference(
         sales.where("num_items > 0")
         .select("order_id", "customer_unique_id")
         .join(items.select("order_id", "product_id", "price"), "order_id")
-        .join(product_categories(products, translation), "product_id", "left")
+        .join(categories, "product_id", "left")
         .select("customer_unique_id", F.coalesce("product_category_en", F.lit("unknown")).alias("product_category_en"), "price")
     )
     empty = sales.where("num_items = 0").select(
@@ -40,12 +39,12 @@ def hv_category_preference(
     )
 
 
-def product_price_range(items: DataFrame, orders: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+def product_price_range(items: DataFrame, orders: DataFrame, categories: DataFrame) -> DataFrame:
     """Item rows (not orders) per month, category and price band."""
     sold = (
         items.select("order_id", "product_id", "price")
         .join(completed(orders).select("order_id", year_month("order_purchase_timestamp").alias("year_month")), "order_id")
-        .join(product_categories(products, translation), "product_id", "left")
+        .join(categories, "product_id", "left")
     )
     return sold.groupBy(
         "year_month",

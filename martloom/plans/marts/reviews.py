@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import elapsed_days
 from martloom.functions.numbers import flag
-from martloom.plans.marts.common import payments_by_order, reviews_by_order
 
 
 def review_by_segment(
-    orders: DataFrame, customers: DataFrame, reviews: DataFrame, payments: DataFrame, profile: DataFrame
+    orders: DataFrame, customers: DataFrame, reviewed: DataFrame, paid: DataFrame, profile: DataFrame
 ) -> DataFrame:
     """Scores and delivery per value flag, payment type and state, over all order statuses.
 
@@ -24,8 +23,8 @@ def review_by_segment(
     late = flag(F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date"))
     facts = (
         orders.select("order_id", "customer_id", days.alias("days"), late.alias("late"))
-        .join(reviews_by_order(reviews), "order_id", "left")
-        .join(payments_by_order(payments).select("order_id", "payment_type"), "order_id", "left")
+        .join(reviewed, "order_id", "left")
+        .join(paid.select("order_id", "payment_type"), "order_id", "left")
         .join(customers.select("customer_id", "customer_unique_id", "customer_state"), "customer_id")
         .join(profile.select("customer_unique_id", "is_high_value"), "customer_unique_id", "left")
     )

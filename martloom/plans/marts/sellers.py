@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 
 from martloom.functions.aggregates import exact_mean, exact_sum
 from martloom.operators.keys import completed
-from martloom.plans.marts.common import product_categories, reviews_by_order
 
 
 def seller_performance(
     items: DataFrame,
     orders: DataFrame,
     sellers: DataFrame,
-    reviews: DataFrame,
-    products: DataFrame,
-    translation: DataFrame,
+    reviewed: DataFrame,
+    categories: DataFrame,
 ) -> DataFrame:
     """Orders, revenue, mean item price, review mean (a missing review counts 0) and breadth per seller.
 
@@ -26,13 +24,13 @@ def seller_performance(
     scored = (
         completed(orders)
         .select("order_id")
-        .join(reviews_by_order(reviews).select("order_id", (F.col("score_sum") / F.col("n_reviews")).alias("score")), "order_id", "left")
+        .join(reviewed.select("order_id", (F.col("score_sum") / F.col("n_reviews")).alias("score")), "order_id", "left")
     )
     sold = (
         items.where("seller_id IS NOT NULL")
         .select("order_id", "seller_id", "product_id", "price")
         .join(scored, "order_id")
-        .join(product_categories(products, translation), "product_id", "left")
+        .join(categories, "product_id", "left")
     )
     per_seller = sold.groupBy("seller_id").agg(
         F.count_distinct("order_id").alias("total_orders"),

@@ -8,14 +8,14 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame
 
 from martloom.config import Config
-from martloom.plans.marts import customers, leads, orders, products, reviews, sellers
-from martloom.sources.marts import publish
+from martloom.plans.marts import common, customers, leads, orders, products, reviews, sellers
+from martloom.sources.marts import write_bucketed, write_mart
 
 PROFILE = "mart_customer_payment_profile"
 DETAIL = "mart_order_payment_detail"
 ACQUISITION = "mart_seller_acquisition"
 
-# marts of one step need only raw inputs and marts of earlier steps
+# marts of one step need only raw inputs, parts and marts of earlier steps
 STEPS = (
     (PROFILE, DETAIL, ACQUISITION, "mart_seller_performance", "mart_product_price_range"),
     (
@@ -30,49 +30,17 @@ STEPS = (
         "mart_lead_behaviour",
     ),
 )
-
-
-def build_mart(
-    name: str,
-    raw: dict[str, DataFrame],
-    mart: Callable[[str], DataFrame],
-    cfg: Config = Config(),
-    analysis_date: Column | None = None,
-    cut: Callable[[DataFrame, str], DataFrame] | None = None,
-) -> DataFrame:
-    """Define one mart; ``mart`` supplies the marts it depends on."""
-    r = raw
-    builders = {
-        PROFILE: lambda: customers.customer_payment_profile(
-            r["orders"], r["order_payments"], r["customers"], r["order_reviews"], cfg, cut
-        ),
-        DETAIL: lambda: orders.order_payment_detail(r["orders"], r["order_payments"], r["customers"], r["order_items"]),
-        ACQUISITION: lambda: leads.seller_acquisition(r["closed_deals"], r["mql"]),
-        "mart_seller_performance": lambda: sellers.seller_performance(
-            r["order_items"], r["orders"], r["sellers"], r["order_reviews"], r["products"], r["category_translation"]
-        ),
-        "mart_product_price_range": lambda: products.product_price_range(
-            r["order_items"], r["orders"], r["products"], r["category_translation"]
-        ),
-        "mart_geo_payment_summary": lambda: customers.geo_payment_summary(mart(PROFILE)),
-        "mart_monthly_revenue": lambda: orders.monthly_revenue(mart(DETAIL)),
-        "mart_payment_leakage": lambda: orders.payment_leakage(mart(DETAIL), analysis_date),
-        "mart_hv_category_preference": lambda: products.hv_category_preference(
-            mart(DETAIL), mart(PROFILE), r["order_items"], r["products"], r["category_translation"]
-        ),
-        "mart_repeat_customer": lambda: customers.repeat_customer(r["orders"], r["customers"], mart(PROFILE)),
-        "mart_review_by_segment": lambda: reviews.review_by_segment(
-            r["orders"], r["customers"], r["order_reviews"], r["order_payments"], mart(PROFILE)
-        ),
-        "mart_mql_funnel": lambda: leads.mql_funnel(r["mql"], mart(ACQUISITION)),
-        "mart_mql_monthly": lambda: leads.mql_monthly(r["mql"], mart(ACQUISITION)),
-        "mart_lead_behaviour": lambda: leads.lead_behaviour(mart(ACQUISITION)),
-    }
-    return builders[name]()
+# order-level and product-level aggregates that several marts read
+PARTS = ("payments_by_order", "reviews_by_order", "product_categories")
 
 
 class Marts:
-    """Marts by name. Each is written on first use and read back by everything that needs it."""
+    """Marts by name. Each is written on first use and read back by everything that needs it.
+
+    ``store`` writes a mart and returns it as a table, ``cut`` does so for intermediate
+    results. Parts named in ``shared`` are also written once: their readers then skip the
+    aggregation, and the planner knows their true size when it chooses join strategies.
+    """
 
     def __init__(
         self,
@@ -81,14 +49,58 @@ class Marts:
         cfg: Config = Config(),
         analysis_date: Column | None = None,
         cut: Callable[[DataFrame, str], DataFrame] | None = None,
+        shared: tuple[str, ...] = ("product_categories",),
     ):
         self.raw, self.cfg, self.analysis_date = raw, cfg, analysis_date
+        self.shared = set(shared)
         self._store, self._cut = store, cut
         self._ready: dict[str, DataFrame] = {}
 
+    def part(self, name: str) -> DataFrame:
+        if name in self._ready:
+            return self._ready[name]
+        r = self.raw
+        part = {
+            "payments_by_order": lambda: common.payments_by_order(r["order_payments"]),
+            "reviews_by_order": lambda: common.reviews_by_order(r["order_reviews"]),
+            "product_categories": lambda: common.product_categories(r["products"], r["category_translation"]),
+        }[name]()
+        if self._cut is not None and name in self.shared:
+            part = self._ready[name] = self._cut(part, name)
+        return part
+
     def define(self, name: str) -> DataFrame:
-        """The mart as a plan; only its upstream marts are written."""
-        return build_mart(name, self.raw, self.mart, self.cfg, self.analysis_date, self._cut)
+        """The mart as a plan; only what it reads from other marts is written."""
+        r, mart, part = self.raw, self.mart, self.part
+        builders = {
+            PROFILE: lambda: customers.customer_payment_profile(
+                r["orders"], part("payments_by_order"), r["customers"], part("reviews_by_order"), self.cfg, self._cut
+            ),
+            DETAIL: lambda: orders.order_payment_detail(
+                r["orders"], part("payments_by_order"), r["customers"], r["order_items"]
+            ),
+            ACQUISITION: lambda: leads.seller_acquisition(r["closed_deals"], r["mql"]),
+            "mart_seller_performance": lambda: sellers.seller_performance(
+                r["order_items"], r["orders"], r["sellers"], part("reviews_by_order"), part("product_categories")
+            ),
+            "mart_product_price_range": lambda: products.product_price_range(
+                r["order_items"], r["orders"], part("product_categories")
+            ),
+            "mart_geo_payment_summary": lambda: customers.geo_payment_summary(mart(PROFILE)),
+            "mart_monthly_revenue": lambda: orders.monthly_revenue(mart(DETAIL)),
+            "mart_payment_leakage": lambda: orders.payment_leakage(mart(DETAIL), self.analysis_date),
+            "mart_hv_category_preference": lambda: products.hv_category_preference(
+                mart(DETAIL), mart(PROFILE), r["order_items"], part("product_categories")
+            ),
+            "mart_repeat_customer": lambda: customers.repeat_customer(r["orders"], r["customers"], mart(PROFILE)),
+            "mart_review_by_segment": lambda: reviews.review_by_segment(
+                r["orders"], r["customers"], part("reviews_by_order"), part("payments_by_order"), mart(PROFILE)
+            ),
+            "mart_mql_funnel": lambda: leads.mql_funnel(r["mql"], mart(ACQUISITION)),
+            "mart_mql_monthly": lambda: leads.mql_monthly(r["mql"], mart(ACQUISITION)),
+            "mart_lead_behaviour": lambda: leads.lead_behaviour(mart(ACQUISITION)),
+        }
+        return builders[name]()
 
     def mart(self, name: str) -> DataFrame:
         if name not in self._ready:
@@ -98,8 +110,10 @@ class Marts:
 
 def run_all(marts: Marts, concurrent: int = 4) -> dict[str, DataFrame]:
     """Build every mart; independent ones share the cluster, ``concurrent`` at a time."""
+    marts.shared |= set(PARTS)
     built = {}
     with ThreadPoolExecutor(concurrent) as pool:
+        list(pool.map(marts.part, PARTS))
         for step in STEPS:
             built |= dict(zip(step, pool.map(marts.mart, step)))
     return built
@@ -107,9 +121,15 @@ def run_all(marts: Marts, concurrent: int = 4) -> dict[str, DataFrame]:
 
 def folder_store(folder: str) -> Callable[[DataFrame, str], DataFrame]:
     """Store that fully refreshes ``folder/name`` with declared types and an update stamp."""
-    from martloom.sources.marts import write_mart
-
     return lambda df, name: write_mart(df, name, folder).drop("updated_at")
 
 
-__all__ = ["STEPS", "Marts", "build_mart", "folder_store", "publish", "run_all"]
+def bucketed_store(folder: str, buckets: int) -> Callable[[DataFrame, str], DataFrame]:
+    """Store whose customer marts are bucketed by customer, so that joining them shuffles nothing."""
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        if "customer_unique_id" not in df.columns:
+            return write_mart(df, name, folder).drop("updated_at")
+        return write_bucketed(df, name, folder, "customer_unique_id", buckets).drop("updated_at")
+
+    return store

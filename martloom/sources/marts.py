@@ -32,6 +32,14 @@ def write_mart(df: DataFrame, name: str, folder: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, folder: str, key: str, buckets: int) -> DataFrame:
+    """Full refresh as a table bucketed and sorted by ``key``; tables with equal buckets join without a shuffle."""
+    publish(df, name).write.mode("overwrite").option("path", f"{folder.rstrip('/')}/{name}").bucketBy(
+        buckets, key
+    ).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def append_version(df: DataFrame, name: str, folder: str, updated_at: Column | None = None) -> None:
     """Add a newer version of some rows; :func:`read_latest` decides which one counts."""
     publish(df, name, updated_at).write.mode("append").parquet(f"{folder.rstrip('/')}/{name}")

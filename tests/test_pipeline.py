@@ -7,7 +7,7 @@ import raw_fixture
 from pyspark.sql import functions as F
 
 from martloom.config import Config
-from martloom.plans.pipeline import STEPS, Marts, folder_store, run_all
+from martloom.plans.pipeline import STEPS, Marts, bucketed_store, folder_store, run_all
 from martloom.schemas import MART_DDL, mart_schema
 from martloom.session import cut
 from martloom.sources import marts as M
@@ -219,3 +219,18 @@ def test_quality_rules(spark, shop):
     custom = {"orders": [Rule("known status", ~F.col("order_status").isin("delivered", "shipped", "approved"))]}
     with pytest.raises(ValueError, match=r"known status \(1\)"):
         validate(raw, custom)
+
+
+def test_bucketed_customer_marts_join_without_shuffle(spark, shop, tmp_path):
+    marts = Marts(read_all_raw(spark, shop), bucketed_store(str(tmp_path), 4), Config(), cut=cut)
+    profile, repeat = marts.mart("mart_customer_payment_profile"), marts.mart("mart_repeat_customer")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = profile.join(repeat, "customer_unique_id")
+        assert joined.count() == 5
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        for name in ("mart_customer_payment_profile", "mart_repeat_customer"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
