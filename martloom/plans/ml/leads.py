@@ -28,16 +28,19 @@ KEY = "mql_id"
 Cut = Callable[[DataFrame, str], DataFrame]
 
 
-def lead_features(acquisition: DataFrame) -> DataFrame:
-    """Closing days floored at 0, log revenue, a declared-revenue flag, and categories without gaps."""
+def _feature_columns() -> list:
     revenue = F.coalesce("declared_monthly_revenue", F.lit(0.0))
-    return acquisition.select(
-        KEY,
+    return [
         F.greatest("days_to_close", F.lit(0)).alias("days_to_close"),
         *[blank_to_unknown(c).alias(c) for c in CATEGORIES],
         F.log1p(revenue).alias("log_revenue"),
         (revenue > 0).cast("int").alias("has_revenue"),
-    )
+    ]
+
+
+def lead_features(acquisition: DataFrame) -> DataFrame:
+    """Closing days floored at 0, log revenue, a declared-revenue flag, and categories without gaps."""
+    return acquisition.select(KEY, *_feature_columns())
 
 
 def encoded_leads(acquisition: DataFrame, cfg: Config = Config()) -> DataFrame:
@@ -177,12 +180,18 @@ def feature_importance(model: LeadModel, cfg: Config = Config()) -> DataFrame:
 def lead_scores(leads: DataFrame, model: LeadModel, history: DataFrame, cut: Cut) -> DataFrame:
     """Predicted days, inverse min-max priority, tier, likely segment and onboarding package per lead.
 
-    Predictions are written once: the scale needs their range before any row can be scored.
+    The lead travels along as one column, so its features need no join back. Predictions are
+    written once: the scale needs their range before any row can be scored.
     """
-    features = apply_mapping(lead_features(leads), model.encodings, CATEGORIES, F.lit(model.mean_days))
+    features = apply_mapping(
+        leads.select(F.struct(*leads.columns).alias("lead"), *_feature_columns()),
+        model.encodings,
+        CATEGORIES,
+        F.lit(model.mean_days),
+    )
     days = F.greatest(F.expm1("prediction"), F.lit(0.0))
     predicted = cut(
-        model.regressor.transform(_vectors(features)).select(KEY, "lead_behaviour_profile", days.alias("days")),
+        model.regressor.transform(_vectors(features)).select("lead", "lead_behaviour_profile", days.alias("days")),
         "lead-predictions",
     )
     low, high = (predicted.agg(f("days")).scalar() for f in (F.min, F.max))
@@ -190,16 +199,13 @@ def lead_scores(leads: DataFrame, model: LeadModel, history: DataFrame, cut: Cut
     scored = predicted.withColumn(
         "score", F.when(high == low, 1.0).otherwise(1.0 - (F.col("days") - low) / F.nullif(high - low, F.lit(0.0)))
     ).join(segments, "lead_behaviour_profile", "left")
-    return leads.join(
-        scored.select(
-            KEY,
-            half_even("days", 1).alias("predicted_days_to_close"),
-            half_even("score", 4).alias("priority_score"),
-            band("score", PRIORITY_BANDS).alias("priority_tier"),
-            F.coalesce("predicted_segment", F.lit("unknown")).alias("predicted_segment"),
-            band("days", LEAD_PACKAGE_BANDS).alias("onboarding_package"),
-        ),
-        KEY,
+    return scored.select(
+        "lead.*",
+        half_even("days", 1).alias("predicted_days_to_close"),
+        half_even("score", 4).alias("priority_score"),
+        band("score", PRIORITY_BANDS).alias("priority_tier"),
+        F.coalesce("predicted_segment", F.lit("unknown")).alias("predicted_segment"),
+        band("days", LEAD_PACKAGE_BANDS).alias("onboarding_package"),
     )
 
 
