@@ -39,6 +39,25 @@ def exact_mean(value) -> Column:
     return exact_sum(value) / F.nullif(F.count(as_col(value)), F.lit(0))
 
 
+def stable_sum(value) -> Column:
+    """As :func:`exact_sum` for computed values such as ratios, kept to 12 decimals.
+
+    Results that are rounded or compared later must not hang on the order of summation.
+    """
+    v = as_col(value)
+    units = F.floor(v)
+    micro = (v - units) * 1e6
+    micros = F.floor(micro)
+    sums = (F.sum(units), F.sum(micros), F.sum(F.rint((micro - micros) * 1e6).cast("bigint")))
+    whole, millionths, rest = (s.cast("decimal(20,0)") for s in sums)
+    return (whole + millionths * F.lit(_MILLIONTH) + rest * F.lit(_MILLIONTH * _MILLIONTH)).cast("double")
+
+
+def stable_mean(value) -> Column:
+    """Mean of computed values, independent of the order of summation; NULL where there are none."""
+    return stable_sum(value) / F.nullif(F.count(as_col(value)), F.lit(0))
+
+
 def share(condition: Column) -> Column:
     """Share of rows for which ``condition`` holds; unknown counts as no."""
     return F.avg(F.coalesce(condition, F.lit(False)).cast("int"))

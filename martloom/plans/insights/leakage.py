@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.config import CRITICAL_PAYMENT_TYPES, Config
-from martloom.functions.aggregates import exact_mean
+from martloom.functions.aggregates import exact_mean, exact_sum, stable_sum
 from martloom.functions.numbers import half_even, one_decimal, pct_below, tier
 from martloom.operators.ranking import rank_rows
 
@@ -68,9 +68,9 @@ def leakage_alerts(leakage: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 def leakage_state_summary(alerts: DataFrame) -> DataFrame:
     totals = alerts.groupBy("state").agg(
-        F.sum("leakage_score").alias("total_leakage_score"),
+        stable_sum("leakage_score").alias("total_leakage_score"),
         F.sum("order_count").alias("total_orders_affected"),
-        F.sum("revenue_at_risk").alias("total_revenue_at_risk"),
+        exact_sum("revenue_at_risk").alias("total_revenue_at_risk"),
         F.count("payment_type").alias("num_payment_types"),
         F.min_by("payment_type", "alert_rank").alias("worst_payment_type"),
         F.max("pct_below_national_avg").alias("highest_pct_below"),

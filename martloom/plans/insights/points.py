@@ -15,6 +15,7 @@ from martloom.config import (
     SELLER_VALUE_MULTIPLIER,
     Config,
 )
+from martloom.functions.aggregates import exact_mean
 from martloom.functions.numbers import band, half_even, lookup, tier
 from martloom.operators.dense import dense_levels
 from martloom.operators.keys import exists_flag
@@ -117,7 +118,7 @@ def tier_summary(customers: DataFrame, sellers: DataFrame, cfg: Config = Config(
         F.count("*").alias("c_n"), F.avg("total_points").alias("c_points"), F.avg("is_high_value").alias("c_high")
     )
     s = sellers.groupBy("tier").agg(
-        F.count("*").alias("s_n"), F.avg("total_points").alias("s_points"), F.avg("ad_credit_value").alias("s_credit")
+        F.count("*").alias("s_n"), F.avg("total_points").alias("s_points"), exact_mean("ad_credit_value").alias("s_credit")
     )
     rows = dense_levels(c.join(s, "tier", "full"), "tier", [label for _, label in cfg.customer_tiers])
     zero = F.lit(0.0)
@@ -137,7 +138,7 @@ def tier_summary(customers: DataFrame, sellers: DataFrame, cfg: Config = Config(
 def installment_impact(points: DataFrame) -> DataFrame:
     return points.groupBy("installment_bucket").agg(
         F.count("customer_unique_id").alias("customers"),
-        half_even(F.avg("base_points"), 1).alias("avg_base_points"),
+        half_even(exact_mean("base_points"), 1).alias("avg_base_points"),
         half_even(F.avg("total_points"), 1).alias("avg_total_points"),
     )
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.config import LEAD_PACKAGE_BANDS, PRIORITY_BANDS, Config
-from martloom.functions.aggregates import most_frequent, pct
+from martloom.functions.aggregates import exact_mean, most_frequent, pct
 from martloom.functions.numbers import band, blank_to_unknown, half_even
 from martloom.operators.encoding import apply_mapping, encode_out_of_fold, target_mapping
 from martloom.operators.ranking import hash_fold, numbered, rank_rows, share_of_total
@@ -213,8 +213,8 @@ def lead_profile_summary(scores: DataFrame) -> DataFrame:
     return scores.groupBy("lead_behaviour_profile").agg(
         F.count(KEY).alias("count"),
         half_even(F.avg("days_to_close"), 1).alias("avg_actual_days"),
-        half_even(F.avg("predicted_days_to_close"), 1).alias("avg_predicted_days"),
-        half_even(F.avg("priority_score"), 1).alias("avg_priority_score"),
+        half_even(exact_mean("predicted_days_to_close"), 1).alias("avg_predicted_days"),
+        half_even(exact_mean("priority_score"), 1).alias("avg_priority_score"),
         half_even(pct(F.col("priority_tier") == "HIGH"), 1).alias("pct_high_priority"),
     )
 

@@ -31,6 +31,13 @@ def money(x: str) -> str:
     return f"CAST(sum(CAST({x} AS DECIMAL(24,6))) AS DOUBLE)"
 
 
+def mean(x: str) -> str:
+    """Mean of computed values at 12 decimals: a total that no order of summation changes."""
+    # whole and fractional part apart: scaling a large double by 10^12 would already round it
+    parts = f"CAST(floor({x}) AS DECIMAL(30,12)) + CAST({x} - floor({x}) AS DECIMAL(30,12))"
+    return f"CAST(sum({parts}) AS DOUBLE) / count({x})"
+
+
 # ---------------------------------------------------------------- raw-shaped inputs
 piece("customers", "", """
 SELECT c_custkey AS customer_id, c_custkey - c_custkey % 2 AS customer_unique_id,
@@ -103,7 +110,7 @@ WITH s AS (SELECT o.order_id, c.customer_unique_id, c.customer_state, c.customer
                 SELECT customer_unique_id, payment_type, row_number() OVER (PARTITION BY customer_unique_id ORDER BY count(*) DESC, payment_type) AS rn
                 FROM s WHERE payment_type IS NOT NULL GROUP BY customer_unique_id, payment_type) WHERE rn = 1),
      rid AS (SELECT o.customer_id, avg(r.review_score) AS score FROM v_orders o JOIN order_reviews r ON o.order_id = r.order_id GROUP BY o.customer_id),
-     rev AS (SELECT customer_unique_id, avg(score) AS score FROM rid JOIN customers USING (customer_id) GROUP BY customer_unique_id),
+     rev AS (SELECT customer_unique_id, {mean('score')} AS score FROM rid JOIN customers USING (customer_id) GROUP BY customer_unique_id),
      agg AS (SELECT customer_unique_id, arg_min(customer_state, order_id) AS customer_state, arg_min(customer_city, order_id) AS customer_city,
                     count(order_id) AS total_orders, coalesce({money('paid')}, 0) AS total_spend,
                     {money('paid')} / nullif(count(paid), 0) AS avg_order_value,
@@ -131,9 +138,9 @@ FROM v_orders o LEFT JOIN customers c ON o.customer_id = c.customer_id
 LEFT JOIN pay_agg p ON o.order_id = p.order_id LEFT JOIN it ON o.order_id = it.order_id""")
 piece("geo", "profile", f"""
 SELECT customer_state, count(*) AS total_customers, count(*) FILTER (is_high_value = 1) AS high_value_customers,
-       {money('total_spend')} AS total_revenue, avg(avg_order_value) AS avg_order_value,
+       {money('total_spend')} AS total_revenue, {mean('avg_order_value')} AS avg_order_value,
        avg(CAST(preferred_payment_type = 'credit_card' AS INT)) AS credit_card_pct,
-       avg(CAST(preferred_payment_type = 'boleto' AS INT)) AS boleto_pct, avg(avg_installments) AS installment_avg,
+       avg(CAST(preferred_payment_type = 'boleto' AS INT)) AS boleto_pct, {mean('avg_installments')} AS installment_avg,
        coalesce(CAST(sum(CAST(total_spend AS DECIMAL(24,6))) FILTER (is_high_value = 1) AS DOUBLE), 0) / {money('total_spend')} AS high_value_revenue_share
 FROM profile GROUP BY customer_state""")
 piece("monthly", "detail", f"""
@@ -158,7 +165,7 @@ piece("seller_perf", "order_items completed sellers order_reviews category", f""
 WITH rv AS (SELECT order_id, avg(review_score) AS score FROM order_reviews GROUP BY order_id)
 SELECT i.seller_id, coalesce(s.seller_state, '') AS seller_state, coalesce(s.seller_city, '') AS seller_city,
        count(DISTINCT i.order_id) AS total_orders, {money('price')} AS total_revenue, {money('price')} / count(price) AS avg_order_value,
-       avg(coalesce(rv.score, 0)) AS avg_review_score, count(DISTINCT coalesce(category_en, 'unknown')) AS unique_categories,
+       {mean('coalesce(rv.score, 0)')} AS avg_review_score, count(DISTINCT coalesce(category_en, 'unknown')) AS unique_categories,
        count(price) AS total_items_sold
 FROM order_items i LEFT JOIN sellers s ON i.seller_id = s.seller_id LEFT JOIN rv ON i.order_id = rv.order_id
 LEFT JOIN category c ON i.product_id = c.product_id
@@ -381,7 +388,7 @@ FROM a""")
 ORACLES |= {
     "leakage_alerts": with_pieces("alerts", "SELECT * FROM alerts"),
     "leakage_state_summary": with_pieces("alerts", """
-, g AS (SELECT state, sum(leakage_score) AS s, CAST(sum(order_count) AS BIGINT) AS total_orders_affected, sum(revenue_at_risk) AS r,
+, g AS (SELECT state, CAST(sum(CAST(leakage_score AS DECIMAL(30,12))) AS DOUBLE) AS s, CAST(sum(order_count) AS BIGINT) AS total_orders_affected, CAST(sum(CAST(revenue_at_risk AS DECIMAL(24,6))) AS DOUBLE) AS r,
                count(payment_type) AS num_payment_types, arg_min(payment_type, alert_rank) AS worst_payment_type, max(pct_below_national_avg) AS m
         FROM alerts GROUP BY state)
 SELECT state, round_even(s, 2) AS total_leakage_score, total_orders_affected, round_even(r, 2) AS total_revenue_at_risk, num_payment_types,

@@ -139,3 +139,14 @@ def test_mean_of_positive_and_share(spark):
     df = spark.createDataFrame([(0, 4.0), (1, 0.0), (2, None), (3, 8.0)], "i int, x double")
     assert df.agg(A.mean_of_positive("x")).first()[0] == 6.0
     assert df.agg(A.pct(F.col("x") > 5)).first()[0] == 25.0
+
+
+def test_stable_mean_does_not_depend_on_the_order(spark):
+    rng = random.Random(9)
+    values = [rng.randint(1, 15) / rng.randint(1, 7) for _ in range(4000)]
+    got = {
+        column(spark, values).orderBy(F.rand(seed)).repartition(5).agg(A.stable_mean("x")).first()[0] for seed in range(3)
+    }
+    assert len(got) == 1
+    assert got.pop() == pytest.approx(math.fsum(values) / len(values), rel=1e-12)
+    assert column(spark, [None]).agg(A.stable_mean("x")).first()[0] is None
