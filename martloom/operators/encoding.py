@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +12,11 @@ def _smoothed(total, count, mean, smoothing):
 
 def target_mapping(df: DataFrame, columns: list[str], target: str, smoothing: float) -> DataFrame:
     """One row per (feature, category) with the smoothed mean of the target."""
-    per_category = reduce(
-        DataFrame.unionByName,
-        [
-            df.groupBy(F.lit(c).alias("feature"), F.col(c).alias("category")).agg(
-                F.sum(target).alias("_s"), F.count(target).alias("row_count")
-            )
-            for c in columns
-        ],
+    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in columns]
+    per_category = (
+        df.select(target, F.inline(F.array(*pairs)))
+        .groupBy("feature", "category")
+        .agg(F.sum(target).alias("_s"), F.count(target).alias("row_count"))
     )
     mean = df.agg(F.avg(target)).scalar()
     return per_category.select(

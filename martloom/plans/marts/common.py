@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.config import CRITICAL_PAYMENT_TYPES, PAYMENT_TYPES
+from martloom.config import PAYMENT_TYPES
 from martloom.functions.aggregates import exact_sum
 from martloom.operators.modes import group_with_mode
 
 
 def payments_by_order(payments: DataFrame) -> DataFrame:
     """Paid value, dominant type, longest plan and a 0/1 flag per type; consumers prune what they skip."""
-    return group_with_mode(
+    counted = group_with_mode(
         payments,
         ["order_id"],
         "payment_type",
-        PAYMENT_TYPES + CRITICAL_PAYMENT_TYPES,
+        [*PAYMENT_TYPES, "not_defined"],
         [
             F.coalesce(exact_sum("payment_value"), F.lit(0.0)).alias("paid"),
             F.max("payment_installments").alias("max_installments"),
-            *[F.max((F.col("payment_type") == t).cast("int")).alias(f"has_{t}") for t in PAYMENT_TYPES],
         ],
+        "n_",
     )
+    flags = [(F.col(f"n_{t}") > 0).cast("int").alias(f"has_{t}") for t in PAYMENT_TYPES]
+    return counted.select("order_id", "paid", "payment_type", "max_installments", *flags)
 
 
 def reviews_by_order(reviews: DataFrame) -> DataFrame:

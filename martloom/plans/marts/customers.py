@@ -23,8 +23,10 @@ def customer_review_scores(orders: DataFrame, customers: DataFrame, reviewed: Da
         .groupBy("customer_id")
         .agg((F.sum("score_sum") / F.sum("n_reviews")).alias("score"))
     )
+    # repeated pairs must not weigh twice; partitioned by the join key, removing them adds no shuffle
+    pairs = customers.select("customer_id", "customer_unique_id").repartition("customer_id").dropDuplicates()
     return (
-        per_id.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
+        per_id.join(pairs, "customer_id")
         .groupBy("customer_unique_id")
         .agg(stable_mean("score").alias("avg_review_score"))
     )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _RUNTIME_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -27,14 +28,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, per_task: int = 128 << 20) -> None:
+def input_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of all files under a folder, from their listing; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def size_shuffles(spark: SparkSession, total_bytes: int, per_task: int = 128 << 20) -> None:
     """Start with about ``per_task`` bytes per shuffle partition, and at least one per core.
 
-    Adaptive execution merges partitions that turn out small, so the estimate only
-    has to be large enough for the biggest stage.
+    Adaptive execution merges partitions that turn out small, so the estimate only has to
+    be large enough for the biggest stage. A number set at start is kept.
     """
-    wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // per_task))
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    if spark.sparkContext.getConf().get("spark.sql.shuffle.partitions") is None:
+        wanted = max(spark.sparkContext.defaultParallelism, -(-total_bytes // per_task))
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
 def scratch_dir(spark: SparkSession) -> str:

@@ -550,3 +550,25 @@ SELECT customer_unique_id, st.i AS state_encoded,
        CAST(p.customer_state IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4') AS INT) AS leakage_state, uses_installments
 FROM profile p JOIN st ON st.customer_state = p.customer_state"""),
 }
+
+# ---------------------------------------------------------------- sources, sinks, folds
+ORACLES |= {
+    "raw_csv_customers": with_pieces("customers", """
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(customer_unique_id AS VARCHAR) AS customer_unique_id,
+       lpad(CAST(customer_id % 100000 AS VARCHAR), 5, '0') AS customer_zip_code_prefix, customer_city, customer_state FROM customers"""),
+    "raw_csv_orders": with_pieces("v_orders", """
+SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, order_status, order_purchase_timestamp,
+       CAST(NULL AS TIMESTAMP) AS order_approved_at, CAST(NULL AS TIMESTAMP) AS order_delivered_carrier_date,
+       order_delivered_customer_date, order_estimated_delivery_date FROM v_orders"""),
+    "mart_csv_round_trip": with_pieces("monthly", "SELECT * FROM monthly"),
+    "export_marts": with_pieces("monthly repeat_customer", """
+SELECT 'mart_monthly_revenue' AS mart, count(*) AS row_count FROM monthly
+UNION ALL SELECT 'mart_repeat_customer', count(*) FROM repeat_customer"""),
+    "mart_versions": with_pieces("repeat_customer", """
+SELECT * REPLACE (CASE WHEN total_orders > 6 THEN -1 ELSE days_active END AS days_active) FROM repeat_customer"""),
+    "cross_validation_folds": with_pieces("profile", """
+SELECT customer_unique_id, uses_installments,
+       CAST((row_number() OVER (PARTITION BY uses_installments ORDER BY md5('42:' || customer_unique_id), customer_unique_id) - 1) % 5 AS INT) AS stratified_fold,
+       CAST(CAST('0x' || substr(md5('42:' || customer_unique_id), 1, 8) AS BIGINT) % 5 AS INT) AS plain_fold
+FROM profile"""),
+}

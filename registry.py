@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 import adapter
 from martloom.functions.numbers import half_even
 from martloom.operators.keys import ensure_columns, latest_by_key
+from martloom.operators.ranking import hash_fold, stratified_fold
 from martloom.plans.analytics import ANALYTICS, SELLERS
 from martloom.plans.insights import points
 from martloom.plans.ml import installments, leads, sellers
 from martloom.plans.pipeline import ACQUISITION, DETAIL, PROFILE, STEPS, Marts
-from martloom.session import cut, scratch_dir, tune
+from martloom.session import cut, input_bytes, scratch_dir, size_shuffles, tune
+from martloom.sources import marts as mart_tables
 from martloom.sources.quality import default_rules, dq_report, not_negative, not_null
-from martloom.sources.raw import normalize_strings, rename_columns
+from martloom.sources.raw import normalize_strings, read_raw, rename_columns
 from martloom.streaming import checkout
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +34,7 @@ def marts(spark: SparkSession, sf_dir: str) -> Marts:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _marts:
         tune(spark)
+        size_shuffles(spark, input_bytes(spark, sf_dir))
         date = F.lit("2024-02-01").cast("date")
         _marts[key] = Marts(adapter.raw_tables(spark, sf_dir), cut, adapter.CONFIG, date, cut)
     return _marts[key]
@@ -89,6 +92,79 @@ def evolved_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_raw_csv(df: DataFrame, name: str) -> str:
+    """Write a table the way the sources deliver it; returns the folder."""
+    folder = f"{scratch_dir(df.sparkSession)}/raw-{uuid.uuid4().hex}"
+    writer = df.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+    writer.csv(f"{folder}/{name}.csv", header=True, quote='"', escape='"')
+    return folder
+
+
+def raw_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV scan: zip codes keep their leading zeros."""
+    source = marts(spark, sf_dir).raw["customers"].select(
+        "customer_id",
+        "customer_unique_id",
+        F.lpad((F.col("customer_id") % 100000).cast("string"), 5, "0").alias("customer_zip_code_prefix"),
+        "customer_city",
+        "customer_state",
+    )
+    return read_raw(spark, _as_raw_csv(source, "customers"), "customers")
+
+
+def raw_csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV scan: timestamps, some of them missing."""
+    source = marts(spark, sf_dir).raw["orders"].select(
+        "order_id",
+        "customer_id",
+        "order_status",
+        "order_purchase_timestamp",
+        F.lit(None).cast("timestamp_ntz").alias("order_approved_at"),
+        F.lit(None).cast("timestamp_ntz").alias("order_delivered_carrier_date"),
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    )
+    return read_raw(spark, _as_raw_csv(source, "orders"), "orders")
+
+
+def mart_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart as CSV sink and CSV source."""
+    path = f"{scratch_dir(spark)}/csv-{uuid.uuid4().hex}"
+    mart_tables.write_csv(marts(spark, sf_dir).mart("mart_monthly_revenue"), path)
+    return mart_tables.read_mart_csv(spark, "mart_monthly_revenue", path)
+
+
+def export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two marts through the export, and the row counts that arrived."""
+    folder = f"{scratch_dir(spark)}/export-{uuid.uuid4().hex}"
+    names = ["mart_monthly_revenue", "mart_repeat_customer"]
+    mart_tables.export_marts(
+        [(n, marts(spark, sf_dir).mart(n)) for n in names], mart_tables.parquet_writer(folder)
+    )
+    counted = [
+        spark.read.parquet(f"{folder}/{n}").agg(F.count("*").alias("row_count")).select(F.lit(n).alias("mart"), "row_count")
+        for n in names
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+def mart_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart refreshed in full, then a newer version of some customers: the newer rows count."""
+    folder, name = f"{scratch_dir(spark)}/versions-{uuid.uuid4().hex}", "mart_repeat_customer"
+    repeat = marts(spark, sf_dir).mart(name)
+    mart_tables.write_mart(repeat, name, folder)
+    newer = repeat.where("total_orders > 6").withColumn("days_active", F.lit(-1))
+    mart_tables.append_version(newer, name, folder, F.current_timestamp() + F.expr("INTERVAL 1 DAY"))
+    return mart_tables.read_latest(spark, name, folder).drop("updated_at")
+
+
+def cross_validation_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stratified and plain folds of the customers."""
+    profile = marts(spark, sf_dir).mart(PROFILE).select("customer_unique_id", "uses_installments")
+    folds = stratified_fold(profile, "customer_unique_id", "uses_installments", 5, 42, "stratified_fold")
+    return folds.withColumn("plain_fold", hash_fold("customer_unique_id", 5, 42))
+
+
 # ---------------------------------------------------------------- variants for the test data
 def seller_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.seller_points(marts(spark, sf_dir).mart("mart_seller_performance"), adapter.SELLER_CONFIG)
@@ -253,11 +329,17 @@ QUERIES: dict[str, Query] = {
     "dq_report": quality,
     "latest_by_key": latest_event,
     "ensure_columns": evolved_profile,
+    "raw_csv_customers": raw_csv_customers,
+    "raw_csv_orders": raw_csv_orders,
 }
 QUERIES |= {name: partial(_mart, name) for step in STEPS for name in step}
 QUERIES |= {name: partial(_analytics, name) for name in ANALYTICS}
 QUERIES |= {"seller_points": seller_points, "tier_summary": tier_summary, "category_timing": category_timing}
 QUERIES |= {
+    "mart_csv_round_trip": mart_csv_round_trip,
+    "export_marts": export_marts,
+    "mart_versions": mart_versions,
+    "cross_validation_folds": cross_validation_folds,
     "lead_features": lead_features,
     "target_encode_oof": target_encode_oof,
     "target_encode_mapping": target_encode_mapping,
