@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from martloom.plans.insights import channels, kpis, leakage, marketing, points, timing
 from martloom.plans.pipeline import ACQUISITION, DETAIL, PROFILE, Marts
+from martloom.sources.marts import write_csv
 
 REPEAT = "mart_repeat_customer"
 HV_CATEGORY = "mart_hv_category_preference"
@@ -63,3 +65,33 @@ ANALYTICS: dict[str, Callable[[Marts], DataFrame]] = {
     "hvc_loyal_top_categories": lambda m: marketing.hvc_loyal_top_categories(_audiences(m)),
     "executive_kpis": lambda m: kpis.executive_kpis(m.mart(PROFILE), m.mart(REPEAT), m.cfg),
 }
+
+# report -> sort columns, a leading minus for descending
+REPORTS = {
+    "channel_efficiency": ["rank"],
+    "profile_close_time": ["avg_days_to_close"],
+    "segment_distribution": ["-converted_count"],
+    "profile_onboarding_packages": ["avg_days"],
+    "customer_points": ["-total_points"],
+    "seller_points": ["-total_points"],
+    "tier_summary": ["-avg_customer_points"],
+    "leakage_alerts": ["alert_rank"],
+    "leakage_state_summary": ["state_rank"],
+    "campaign_calendar": ["calendar_month"],
+    "category_timing": ["category"],
+    "flash_sale_windows": ["calendar_month"],
+    "trigger_segments": ["customer_unique_id"],
+    "audience_segments": ["customer_unique_id"],
+    "segment_summary": ["-customer_count"],
+}
+
+
+def in_order(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.orderBy(*[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in columns])
+
+
+def write_reports(marts: Marts, folder: str, names=tuple(REPORTS)) -> list[str]:
+    """Write reports as CSV folders, each sorted across its files."""
+    for name in names:
+        write_csv(in_order(ANALYTICS[name](marts), REPORTS[name]), f"{folder.rstrip('/')}/{name}")
+    return list(names)

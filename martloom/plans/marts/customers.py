@@ -109,18 +109,22 @@ def geo_payment_summary(profile: DataFrame) -> DataFrame:
 
 
 def repeat_customer(orders: DataFrame, customers: DataFrame, profile: DataFrame) -> DataFrame:
-    """Purchase span per customer. A customer seen in several states keeps the row of the greatest state."""
-    located = (
-        completed(orders)
-        .select("order_id", "customer_id", "order_purchase_timestamp")
-        .join(customers.select("customer_id", "customer_unique_id", "customer_state"), "customer_id")
-        .where("customer_unique_id IS NOT NULL AND customer_state IS NOT NULL")
-    )
-    per_state = located.groupBy("customer_unique_id", "customer_state").agg(
+    """Purchase span per customer. A customer seen in several states keeps the row of the greatest state.
+
+    Orders are aggregated per customer id before the join: one shuffle serves both, and a
+    customer with very many orders enters the join as one row.
+    """
+    per_id = completed(orders).groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),
         F.min("order_purchase_timestamp").alias("first_ts"),
         F.max("order_purchase_timestamp").alias("last_ts"),
     )
+    per_state = (
+        per_id.join(customers.select("customer_id", "customer_unique_id", "customer_state"), "customer_id")
+        .where("customer_unique_id IS NOT NULL AND customer_state IS NOT NULL")
+        .groupBy("customer_unique_id", "customer_state")
+        .agg(F.sum("total_orders").alias("total_orders"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+    )
     kept = per_state.groupBy("customer_unique_id").agg(
         F.max(F.struct("customer_state", "total_orders", "first_ts", "last_ts")).alias("k")
     )

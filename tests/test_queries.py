@@ -1,13 +1,20 @@
 """Every registered query against its SQL oracle on the smallest test tables, and plan shapes that must hold at scale."""
 
 import os
+from dataclasses import replace
 
 import compare
 import pytest
+from pyspark.ml import PipelineModel
 
 import __spark_entry__ as contract
+import registry
+from martloom.plans.analytics import write_reports
 from martloom.plans.marts import customers, orders
 from martloom.plans.marts.common import payments_by_order, reviews_by_order
+from martloom.plans.ml import jobs
+from martloom.plans.pipeline import Marts
+from martloom.session import cut
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -37,6 +44,20 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+def test_reports_and_model_runs_write_their_results(spark, tmp_path):
+    m = registry.marts(spark, SF)
+    names = ["channel_efficiency", "leakage_alerts", "customer_points", "category_timing"]
+    assert write_reports(m, str(tmp_path), names) == names
+    alerts = spark.read.csv(f"{tmp_path}/leakage_alerts", header=True, inferSchema=True).collect()
+    assert [r.alert_rank for r in alerts] == list(range(1, len(alerts) + 1))
+    quick = Marts(m.raw, cut, replace(m.cfg, boosting_rounds=3, folds=2, cluster_range=(2, 3)), cut=cut)
+    done = jobs.run_lead_scoring(quick, str(tmp_path), cut) + jobs.run_seller_tiers(quick, str(tmp_path), cut)
+    done += jobs.run_installments(quick, str(tmp_path), cut)
+    for name in done:
+        assert spark.read.csv(f"{tmp_path}/{name}", header=True).count() > 0, name
+    assert PipelineModel.load(f"{tmp_path}/models/installments").stages
+
+
 def hot_shop(spark):
     """One customer and one order hold a third of all rows."""
     n = 60_000
