@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 import martloom
 from martloom.session import cut, tune
 
-#: Rows of one Arrow batch; with texts of up to megabytes a batch has to stay small.
-BATCH_ROWS = 1000
+#: Rows and bytes of one Arrow batch; with texts of up to megabytes a batch has to stay small.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 _shipped: set[str] = set()
@@ -35,6 +35,7 @@ def _ship(spark: SparkSession) -> None:
 def prepared(spark: SparkSession) -> SparkSession:
     _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return tune(spark)
 
 
@@ -44,7 +45,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns the text operators read; a NULL text is an empty one."""
+    prepared(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-__all__ = ["BATCH_ROWS", "cut", "id_and_text", "prepared", "table"]
+__all__ = ["cut", "id_and_text", "prepared", "table"]

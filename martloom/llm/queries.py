@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bwt_dedup, chat, packing, superkmers
+from martloom.llm import bwt_dedup, chat, hamming, packing, quality, secret_scan, simhash, superkmers, toxicity
 from martloom.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,49 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(rule.kind) for rule in secret_scan.BASE]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secret_scan.listed(F.col("base_spans")), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 vectors whose sign codes are nearest to that of each vector with an id divisible by 20."""
+    coded = hamming.sign_codes(table(spark, sf_dir, "embeddings")).select(F.col("vec_id").alias("id"), "code")
+    return hamming.top_k(coded, coded.where("id % 20 = 0"), 10)
+
+
+OP4_SQL = """
+WITH coded AS (
+    SELECT vec_id, list_transform(range(1, 65), lambda i: coalesce(embedding[i] >= 0 AND NOT isnan(embedding[i]), false)) AS bits
+    FROM embeddings
+), apart AS (
+    SELECT q.vec_id AS query_id, r.vec_id AS id,
+           CAST(len(list_filter(range(1, 65), lambda i: q.bits[i] <> r.bits[i])) AS BIGINT) AS distance
+    FROM coded q JOIN coded r ON q.vec_id <> r.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank, id, distance
+FROM apart QUALIFY rank <= 10
+"""
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -49,6 +92,11 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 OP9_SQL = """
 WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -71,8 +119,13 @@ FROM placed GROUP BY conv_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
+    "op3_secrets": op3_secrets,
+    "op4_hamming": op4_hamming,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality": op6_quality,
     "op7_repeats": op7_repeats,
     "op8_seen": op8_seen,
     "op9_chat": op9_chat,
+    "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {"op9_chat": OP9_SQL}
+ORACLES: dict[str, str] = {"op4_hamming": OP4_SQL, "op9_chat": OP9_SQL}

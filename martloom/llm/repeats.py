@@ -166,7 +166,8 @@ class Found:
         """The distinct strings, dealt to the blocks of their minimisers; ``cut_out(text, spans)`` gives the strings."""
         size = self.scheme.size
         crowded = self.distinct.groupBy("minimiser").agg(F.count("*").alias("strings")).where(F.col("strings") > block)
-        crowded = crowded.select("minimiser", F.ceil(F.col("strings") / block).cast("int").alias("blocks"))
+        # written first, so that the join deals both sides anew and can split a crowded minimiser
+        crowded = cut(crowded.select("minimiser", F.ceil(F.col("strings") / block).cast("int").alias("blocks")), "crowded")
         wanted = self.distinct.join(crowded, "minimiser", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         wanted = wanted.withColumn("block", F.pmod("h2", "blocks").cast("int"))
         inner = ["start", "minimiser", "block", "blocks", "h1", "h2", "copies", "windows", "place"]
