@@ -8,12 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bwt_dedup, chat, hamming, packing, quality, secret_scan, simhash, superkmers, toxicity
+from martloom.llm import bwt_dedup, chat, decontaminate, hamming, packing, quality, secret_scan, simhash, superkmers, toxicity
 from martloom.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, with the item."""
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -118,6 +123,7 @@ FROM placed GROUP BY conv_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
     "op3_secrets": op3_secrets,
     "op4_hamming": op4_hamming,

@@ -201,3 +201,18 @@ def near_duplicates(docs: DataFrame, words: int = 3, lanes: int = 1, radius: int
     out = marked.join(rooted.select(*names, "component_id"), names)
     known = [F.nullif(c, F.lit(_NO_ID)).alias(c) for c in ("doc_id", "component_id")]
     return out.select(known[0], *names, known[1])
+
+
+#: Near copies among documents: five-word shingles, 128 bits, of which at least 0.8 are equal.
+COPIES = {"words": 5, "lanes": 2, "radius": 25}
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows, with all their columns, of one document per group of near copies: the one with the smallest doc_id.
+
+    Of rows that repeat a doc_id one stays. Rows with a NULL doc_id stay only as the single row of a group without another.
+    """
+    found = near_duplicates(docs, **COPIES)
+    firsts = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("first_doc")).distinct()
+    kept = docs.join(firsts, docs["doc_id"].cast("long").eqNullSafe(firsts["first_doc"]), "left_semi")
+    return kept.dropDuplicates(["doc_id"])
