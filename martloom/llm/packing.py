@@ -208,7 +208,8 @@ def pack(docs: DataFrame, tokenizer: str, room: int = 4096, end_id: int = 1, buc
     found = found.withColumn("part", part)
     counts = found.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    # written first, so that what joins it is dealt by both keys: one length may hold a third of all pieces
+    first = cut(counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "first-ranks")
     # at most ``room`` rows: the lengths are whole numbers from 1 to room
     histogram = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
     # its rows are bounded by the patterns, which number a few for each length, never by the documents
