@@ -89,5 +89,6 @@ def pct_below(local, reference) -> Column:
 
 
 def finite(value) -> Column:
-    """NaN becomes NULL: Spark orders NaN above every number, which would pass any threshold."""
-    return F.nanvl(as_col(value), F.lit(None).cast("double"))
+    """NaN and infinite become NULL: Spark orders NaN above every number, which would pass any threshold."""
+    v = as_col(value).cast("double")
+    return F.when(F.abs(v) < float("inf"), v)

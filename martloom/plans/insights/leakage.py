@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.config import CRITICAL_PAYMENT_TYPES, Config
-from martloom.functions.aggregates import exact_mean, exact_sum, stable_sum
+from martloom.functions.aggregates import exact_mean, exact_sum
 from martloom.functions.numbers import half_even, one_decimal, pct_below, tier
 from martloom.operators.ranking import rank_rows
 
@@ -68,7 +68,7 @@ def leakage_alerts(leakage: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 def leakage_state_summary(alerts: DataFrame) -> DataFrame:
     totals = alerts.groupBy("state").agg(
-        stable_sum("leakage_score").alias("total_leakage_score"),
+        exact_sum("leakage_score").alias("total_leakage_score"),
         F.sum("order_count").alias("total_orders_affected"),
         exact_sum("revenue_at_risk").alias("total_revenue_at_risk"),
         F.count("payment_type").alias("num_payment_types"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.config import AUDIENCE_STRATEGIES, TRIGGER_ACTIONS, TRIGGERS, Config
-from martloom.functions.aggregates import exact_mean, pct, stable_mean
+from martloom.functions.aggregates import exact_mean, pct
 from martloom.functions.numbers import flag, half_even, lookup
 from martloom.operators.quantiles import exact_quantile
 
@@ -104,7 +104,7 @@ def segment_summary(audiences: DataFrame) -> DataFrame:
     stats = audiences.groupBy("audience_segment").agg(
         F.count("customer_unique_id").alias("customer_count"),
         half_even(exact_mean("total_spend"), 0).alias("avg_spend"),
-        half_even(stable_mean("avg_order_value"), 1).alias("avg_order_value"),
+        half_even(exact_mean("avg_order_value"), 1).alias("avg_order_value"),
         half_even(pct(F.col("preferred_payment_type") == "credit_card"), 1).alias("pct_credit_card"),
         half_even(F.avg("uses_installments"), 3).alias("pct_installments"),
         half_even(F.avg("is_hvc_category"), 3).alias("pct_hvc_category"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.config import INSTALLMENT_BANDS, PAYMENT_TYPES, Config
-from martloom.functions.aggregates import exact_mean, exact_sum, first_by, most_frequent, share, stable_mean
+from martloom.functions.aggregates import exact_mean, exact_sum, first_by, most_frequent, share
 from martloom.functions.dates import elapsed_days
 from martloom.functions.numbers import band, flag
 from martloom.operators.keys import completed
@@ -28,7 +28,7 @@ def customer_review_scores(orders: DataFrame, customers: DataFrame, reviewed: Da
     return (
         per_id.join(pairs, "customer_id")
         .groupBy("customer_unique_id")
-        .agg(stable_mean("score").alias("avg_review_score"))
+        .agg(exact_mean("score").alias("avg_review_score"))
     )
 
 
@@ -97,10 +97,10 @@ def geo_payment_summary(profile: DataFrame) -> DataFrame:
         F.count("*").alias("total_customers"),
         F.count_if(high).alias("high_value_customers"),
         exact_sum("total_spend").alias("total_revenue"),
-        stable_mean("avg_order_value").alias("avg_order_value"),
+        exact_mean("avg_order_value").alias("avg_order_value"),
         share(F.col("preferred_payment_type") == "credit_card").alias("credit_card_pct"),
         share(F.col("preferred_payment_type") == "boleto").alias("boleto_pct"),
-        stable_mean("avg_installments").alias("installment_avg"),
+        exact_mean("avg_installments").alias("installment_avg"),
         (
             F.coalesce(exact_sum(F.when(high, F.col("total_spend"))), F.lit(0.0))
             / F.nullif(exact_sum("total_spend"), F.lit(0.0))

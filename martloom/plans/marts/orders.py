@@ -55,17 +55,18 @@ def payment_leakage(detail: DataFrame, analysis_date: Column | None = None) -> D
 
     The national mean comes from the group totals, so the orders are read once.
     """
-    units, millionths = sum_parts("total_payment_value")
+    parts = sum_parts("total_payment_value")
+    names = [f"_p{i}" for i in range(len(parts))]
     groups = detail.groupBy("customer_state", "payment_type").agg(
-        F.count("total_payment_value").alias("order_count"), units.alias("_u"), millionths.alias("_m")
+        F.count("total_payment_value").alias("order_count"), *[p.alias(n) for p, n in zip(parts, names)]
     )
     everything = Window.partitionBy()
-    national = join_parts(F.sum("_u").over(everything), F.sum("_m").over(everything)) / F.sum("order_count").over(everything)
+    national = join_parts([F.sum(n).over(everything) for n in names]) / F.sum("order_count").over(everything)
     scored = groups.select(
         "customer_state",
         "payment_type",
         "order_count",
-        (join_parts(F.col("_u"), F.col("_m")) / F.col("order_count")).alias("avg_value"),
+        (join_parts([F.col(n) for n in names]) / F.col("order_count")).alias("avg_value"),
         national.alias("national_avg"),
     )
     gap = (F.col("national_avg") - F.col("avg_value")) / F.nullif("national_avg", F.lit(0.0))

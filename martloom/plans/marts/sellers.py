@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.aggregates import exact_mean, exact_sum, stable_mean
+from martloom.functions.aggregates import exact_mean, exact_sum
 from martloom.operators.keys import completed
 
 
@@ -36,7 +36,7 @@ def seller_performance(
         F.count_distinct("order_id").alias("total_orders"),
         F.coalesce(exact_sum("price"), F.lit(0.0)).alias("total_revenue"),
         exact_mean("price").alias("avg_order_value"),
-        stable_mean(F.coalesce("score", F.lit(0.0))).alias("avg_review_score"),
+        exact_mean(F.coalesce("score", F.lit(0.0))).alias("avg_review_score"),
         F.count_distinct(F.coalesce("product_category_en", F.lit("unknown"))).alias("unique_categories"),
         F.count("price").alias("total_items_sold"),
     )

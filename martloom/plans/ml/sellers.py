@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.config import AD_CREDIT_SHARE, CLUSTER_AD_PACKAGES, SELLER_VALUE_MULTIPLIER, Config
-from martloom.functions.aggregates import exact_mean, stable_mean
+from martloom.functions.aggregates import exact_mean
 from martloom.functions.numbers import flag, half_even, lookup
 from martloom.operators.quantiles import exact_quantile
 from martloom.operators.ranking import rank_rows, share_of_total
@@ -136,7 +136,7 @@ def seller_tier_centroids(tiers: DataFrame) -> DataFrame:
     stats = tiers.groupBy("revenue_tier").agg(
         F.count("seller_id").alias("count"),
         half_even(exact_mean("total_revenue"), 1).alias("avg_revenue"),
-        half_even(stable_mean("avg_review_score"), 1).alias("avg_review_score"),
+        half_even(exact_mean("avg_review_score"), 1).alias("avg_review_score"),
         half_even(F.avg("total_orders"), 1).alias("avg_orders"),
         half_even(F.avg("unique_categories"), 1).alias("avg_categories"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import adapter
+import oracles
 from martloom.functions.numbers import half_even
 from martloom.operators.keys import ensure_columns, latest_by_key
 from martloom.operators.ranking import hash_fold, stratified_fold
@@ -370,3 +371,12 @@ QUERIES |= {
     "installment_final_decision": installment_final_decision,
     "checkout_stream": checkout_stream,
 }
+
+
+def _comparable(name: str, query: Query) -> Query:
+    """Totals and means at six decimals, as their SQL has them."""
+    columns = oracles.ROUNDED.get(name)
+    return (lambda spark, sf_dir: _rounded(query(spark, sf_dir), columns, 6)) if columns else query
+
+
+QUERIES = {name: _comparable(name, query) for name, query in QUERIES.items()}
