@@ -182,10 +182,13 @@ def _beginnings(text: bytes) -> set[bytes]:
 
 def landmarks(toxic: list[bytes], clean: list[bytes], most: int = LANDMARKS) -> tuple[list[bytes], list[bytes]]:
     """Beginnings that mark toxic documents, each for documents the ones before do not cover well, and ordinary ones."""
-    held = [_beginnings(t) for t in toxic]
+    often = np.zeros(1 << 22, np.uint16)  # documents by hash: most beginnings occur in one only and are not kept
+    for t in toxic:
+        often[np.unique([hash(b) & (1 << 22) - 1 for b in _beginnings(t)] or [0])] += 1
+    held = [{b for b in _beginnings(t) if often[hash(b) & (1 << 22) - 1] >= 3} for t in toxic]
     in_toxic, in_clean = Counter(b for h in held for b in h), Counter()
     for t in clean:
-        in_clean.update(_beginnings(t))
+        in_clean.update(b for b in _beginnings(t) if b in in_toxic)
     scale = max(1, len(clean)) / max(1, len(toxic))
     telling = {b: n for b, n in in_toxic.items() if n >= 3 and 3 * in_clean[b] <= n * scale}
     covered, marks = Counter(), []
@@ -204,7 +207,7 @@ def landmarks(toxic: list[bytes], clean: list[bytes], most: int = LANDMARKS) ->
             covered[i] += 1
         docs_of = {b: d for b, d in docs_of.items() if not (b.startswith(best) or best.startswith(b) and len(best) - len(b) <= 1)}
         marks.append(best)
-    ordinary = [b for b, _ in in_clean.most_common(4000) if len(b) >= 5 and in_toxic[b]][: 8 * most : 8]
+    ordinary = [b for b, _ in sorted(in_clean.items(), key=lambda x: (-x[1], x[0]))[:4000] if len(b) >= 5][: 8 * most : 8]
     return marks, ordinary[: max(8, most - len(marks))]
 
 
@@ -308,7 +311,7 @@ def _worst(machine: Machine, text: bytes) -> bytes:
 
 def _calibrated(machine: Machine, toxic: list[bytes], clean: list[bytes], share: float) -> Machine:
     """Logistic scores of documents from the evidence of their passages, at the true share of toxic ones."""
-    x = machine.evidence(*_joined([*toxic, *clean]))
+    x = np.concatenate([machine.evidence(*_joined([t])) for t in (*toxic, *clean)])
     y = np.r_[np.ones(len(toxic)), np.zeros(len(clean))]
     share = min(max(share, 1e-3), 1 - 1e-3)
     weight = np.where(y == 1, share / len(toxic), (1 - share) / len(clean))
