@@ -23,8 +23,6 @@ CONFIG = Config(
     seller_tiers=((32000, "Platinum"), (27000, "Gold"), (23000, "Silver"), (0, "Bronze")),
     seller_revenue_bands=((202000, "Starter"), (217000, "Growth"), (None, "Premium")),
     severity_tiers=((12, "CRITICAL"), (6, "HIGH"), (2, "MEDIUM"), (0, "LOW")),
-    # boosting rounds run one after the other; the library default is 400
-    boosting_rounds=40,
 )
 # a seller's mean item price is far below a customer's mean order value
 SELLER_CONFIG = replace(CONFIG, hvc_spend_threshold=535.0)
@@ -106,3 +104,14 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "CASE WHEN event_id % 7 = 0 THEN value * 100 ELSE 0.0D END AS declared_monthly_revenue",
         ),
     }
+
+
+def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw input that no mart reads."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "lpad(CAST(c_custkey % 100000 AS STRING), 5, '0') AS geolocation_zip_code_prefix",
+        "c_acctbal / 100 AS geolocation_lat",
+        "c_acctbal / 50 AS geolocation_lng",
+        "c_mktsegment AS geolocation_city",
+        "CAST(c_nationkey AS STRING) AS geolocation_state",
+    )

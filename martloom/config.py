@@ -181,4 +181,5 @@ class Config:
     boosting_min_rows: int = 3
     seller_clusters: int = 3
     cluster_range: tuple = (2, 3, 4, 5, 6)
-    cluster_restarts: int = 1
+    cluster_range_starts: int = 10
+    cluster_starts: int = 20

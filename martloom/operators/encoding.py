@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,24 +32,40 @@ def encode_out_of_fold(
 ) -> DataFrame:
     """Encode each category by the rows of all other folds: category totals minus the row's own fold.
 
-    Per column the statistics hold at most categories x folds rows and are aggregated
-    before the shuffle, so a category with most of the rows costs no more than a rare one.
+    ``df`` is read twice: give a table, not a long plan. One pass sums all columns per (feature, category, fold);
+    the sums are one small row per feature, a map from (category, fold) to the encoding, which every task reads as a
+    constant, so the rows themselves are never shuffled and a category with most of them costs no more than a rare
+    one. The columns must be categories in the strict sense: their values times folds is what the maps hold.
     """
     mean = df.agg(F.avg(target)).scalar()
-    out = df
-    for c in columns:
-        per_fold = df.groupBy(c, fold).agg(F.sum(target).alias("_fs"), F.count(target).alias("_fn"))
-        totals = per_fold.groupBy(c).agg(F.sum("_fs").alias("_ts"), F.sum("_fn").alias("_tn"))
-        others = per_fold.join(totals, c).select(
-            c,
-            fold,
-            F.when(
-                F.col("_tn") > F.col("_fn"),
-                _smoothed(F.col("_ts") - F.col("_fs"), F.col("_tn") - F.col("_fn"), mean, F.lit(smoothing)),
-            ).alias(c + suffix),
-        )
-        out = out.join(others, [c, fold], "left").withColumn(c + suffix, F.coalesce(F.col(c + suffix), mean))
-    return out
+    pairs = [F.struct(F.lit(c).alias("_f"), F.col(c).cast("string").alias("_c")) for c in columns]
+    per_fold = (
+        df.select(target, fold, F.inline(F.array(*pairs)))
+        .groupBy("_f", "_c", fold)
+        .agg(F.sum(target).alias("_fs"), F.count(target).alias("_fn"))
+    )
+    category = Window.partitionBy("_f", "_c")
+    totals = per_fold.withColumns({"_ts": F.sum("_fs").over(category), "_tn": F.sum("_fn").over(category)})
+    others = totals.where("_tn > _fn AND _c IS NOT NULL").select(
+        "_f",
+        F.struct("_c", F.col(fold).alias("_fold")).alias("key"),
+        _smoothed(
+            F.col("_ts") - F.coalesce("_fs", F.lit(0)), F.col("_tn") - F.col("_fn"), mean, F.lit(smoothing)
+        ).alias("value"),
+    )
+    maps = others.groupBy().agg(
+        *[
+            F.map_from_entries(F.collect_list(F.when(F.col("_f") == c, F.struct("key", "value")))).alias(f"_m{i}")
+            for i, c in enumerate(columns)
+        ]
+    )
+    # one row, held once per task
+    encodings = maps.select(F.struct("*").alias("_maps")).scalar()
+    out = df.withColumn("_maps", encodings)
+    for i, c in enumerate(columns):
+        key = F.struct(F.col(c).cast("string").alias("_c"), F.col(fold).alias("_fold"))
+        out = out.withColumn(c + suffix, F.coalesce(F.try_element_at(F.col("_maps")[f"_m{i}"], key), mean))
+    return out.drop("_maps")
 
 
 def apply_mapping(df: DataFrame, mapping: DataFrame, columns: list[str], mean, suffix: str = "_enc") -> DataFrame:

@@ -44,28 +44,37 @@ def hash_fold(key, folds: int, seed: int) -> Column:
     return F.pmod(head, F.lit(folds)).cast("int")
 
 
-def numbered(df: DataFrame, key: str, seed: int, name: str, by: list[str] | None = None) -> DataFrame:
+def numbered(
+    df: DataFrame, key: str, seed: int, name: str, by: list[str] | None = None, digits: int = 3
+) -> DataFrame:
     """Number the rows of each (large) group 0..n-1 in the order of their key's hash.
 
     A window over the whole group would put it into one task. The hash is cut into ranges
-    of its first three digits, rows are numbered inside a range, and each range starts
-    where the ones before it end. ``by`` must name a small set of groups.
+    of its first ``digits`` hexadecimal digits, rows are numbered inside a range, and each
+    range starts where the ones before it end: 3 digits make 4096 ranges, enough for some
+    billions of rows, 4 make 65536. Rows whose ``by`` is NULL form a group of their own.
+    ``by`` must name a small set of groups.
     """
     by = by or []
-    marked = df.withColumn("_h", hash_text(key, seed)).withColumn("_p", F.substring("_h", 1, 3))
-    # at most 4096 ranges per group, whatever the number of rows
+    marked = df.withColumn("_h", hash_text(key, seed)).withColumn("_p", F.substring("_h", 1, digits))
+    # at most 16 ** digits ranges per group, whatever the number of rows
     sizes = marked.groupBy(*by, "_p").agg(F.count("*").alias("_c"))
     before = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*by, "_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_s"))
+    starts = sizes.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by], F.col("_p").alias("_q"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_s")
+    )
     inside = F.row_number().over(Window.partitionBy(*by, "_p").orderBy("_h", key))
+    same = F.col("_p") == F.col("_q")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
     return (
-        marked.join(F.broadcast(starts), [*by, "_p"])
+        marked.join(starts, same)
         .withColumn(name, (F.col("_s") + inside - 1).cast("bigint"))
-        .drop("_h", "_p", "_s")
+        .drop("_h", "_p", "_s", "_q", *[f"_by_{c}" for c in by])
     )
 
 
 def stratified_fold(df: DataFrame, key: str, label: str, folds: int, seed: int, name: str = "fold") -> DataFrame:
-    """Folds in which every label is spread evenly, off by at most one row."""
+    """Folds in which every label is spread evenly, off by at most one row; a missing label is a label, too."""
     out = numbered(df, key, seed, "_row", by=[label])
     return out.withColumn(name, F.pmod(F.col("_row"), F.lit(folds)).cast("int")).drop("_row")

@@ -135,7 +135,7 @@ def installment_model_metrics(profile: DataFrame, cfg: Config = Config(), key: s
 
 
 def installment_report(profile: DataFrame, model: PipelineModel) -> DataFrame:
-    """Precision, recall, F1 and support per class on the training rows."""
+    """Precision, recall, F1 and support per class on the training rows, then accuracy, macro and weighted averages."""
     c = _confusion(model.transform(profile))
 
     def row(label: str, hit: int, wrong: int, missed: int):
@@ -143,8 +143,13 @@ def installment_report(profile: DataFrame, model: PipelineModel) -> DataFrame:
         return label, p, r, _ratio(2 * p * r, p + r), hit + missed
 
     rows = [row("No installments", c.tn, c.fn, c.fp), row("Uses installments", c.tp, c.fp, c.fn)]
+    total = sum(r[4] for r in rows)
+    right = _ratio(c.tp + c.tn, total)
+    macro = [fmean(r[i] for r in rows) for i in (1, 2, 3)]
+    weighted = [_ratio(sum(r[i] * r[4] for r in rows), total) for i in (1, 2, 3)]
+    averages = [("accuracy", right, right, right, total), ("macro avg", *macro, total), ("weighted avg", *weighted, total)]
     return profile.sparkSession.createDataFrame(
-        rows, "class string, precision double, recall double, f1 double, support bigint"
+        rows + averages, "class string, precision double, recall double, f1 double, support bigint"
     )
 
 
@@ -201,6 +206,11 @@ def score_checkouts(events: DataFrame, model: PipelineModel, cfg: Config = Confi
     Columns read: customer_state, avg_order_value (the current order), total_orders,
     preferred_payment_type, is_high_value. All other columns pass through in front.
     """
+    return decide(model.transform(events).withColumn("_p", vector_to_array("probability")[1]), events.columns, cfg)
+
+
+def decide(scored: DataFrame, columns: list[str], cfg: Config = Config()) -> DataFrame:
+    """The rules behind a probability ``_p``; ``columns`` are those of the event."""
     override = override_rule(cfg)
     floor = CONFIDENCE_TIERS[0][0]
     p = F.col("_p")
@@ -214,19 +224,15 @@ def score_checkouts(events: DataFrame, model: PipelineModel, cfg: Config = Confi
             "Always surface 12-installment per Module 5 rule layer."
         ),
     )
-    kept = [c for c in events.columns if c not in ("customer_state", "avg_order_value")]
-    return (
-        model.transform(events)
-        .withColumn("_p", vector_to_array("probability")[1])
-        .select(
-            *kept,
-            "customer_state",
-            F.col("avg_order_value").alias("order_value"),
-            (chosen != "1").alias("recommend_installments"),
-            chosen.alias("recommended_tier"),
-            half_even(F.when(override, F.greatest(p, F.lit(floor))).otherwise(p), 4).alias("confidence_score"),
-            F.when(override, reason).otherwise(lookup(model_tier, CONFIDENCE_REASONS)).alias("reason"),
-        )
+    kept = [c for c in columns if c not in ("customer_state", "avg_order_value")]
+    return scored.select(
+        *kept,
+        "customer_state",
+        F.col("avg_order_value").alias("order_value"),
+        (chosen != "1").alias("recommend_installments"),
+        chosen.alias("recommended_tier"),
+        half_even(F.when(override, F.greatest(p, F.lit(floor))).otherwise(p), 4).alias("confidence_score"),
+        F.when(override, reason).otherwise(lookup(model_tier, CONFIDENCE_REASONS)).alias("reason"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from martloom.plans.analytics import SELLERS, in_order
 from martloom.plans.ml import installments, leads, sellers
 from martloom.plans.pipeline import ACQUISITION, PROFILE, Marts
+from martloom.session import size_shuffles
 from martloom.sources.marts import write_csv
 
 Cut = Callable[[DataFrame, str], DataFrame]
@@ -23,6 +24,7 @@ def _write(folder: str, results: dict[str, tuple[DataFrame, list[str]]]) -> list
 def run_lead_scoring(marts: Marts, folder: str, cut: Cut) -> list[str]:
     """Train and save the lead model, then write scores, importance, metrics and reports."""
     acquisition = marts.mart(ACQUISITION)
+    size_shuffles(marts.spark, [acquisition])
     model = leads.train_lead_model(acquisition, cut, marts.cfg)
     model.save(f"{folder}/models/leads")
     # scored once, read by every report
@@ -42,6 +44,7 @@ def run_lead_scoring(marts: Marts, folder: str, cut: Cut) -> list[str]:
 def run_seller_tiers(marts: Marts, folder: str, cut: Cut) -> list[str]:
     """Check cluster counts, train and save the tier model, write tiers and their profiles."""
     performance = marts.mart(SELLERS)
+    size_shuffles(marts.spark, [performance])
     model = sellers.train_seller_model(performance, marts.cfg)
     model.save(f"{folder}/models/sellers")
     tiers = cut(sellers.seller_tiers(performance, model, marts.cfg), "seller-tiers")
@@ -58,6 +61,7 @@ def run_seller_tiers(marts: Marts, folder: str, cut: Cut) -> list[str]:
 def run_installments(marts: Marts, folder: str, cut: Cut) -> list[str]:
     """Train and save the installment model, write recommendations, coefficients and metrics."""
     profile = marts.mart(PROFILE)
+    size_shuffles(marts.spark, [profile])
     model = installments.train_installment_model(profile, marts.cfg)
     model.write().overwrite().save(f"{folder}/models/installments")
     recommended = cut(installments.installment_recommendations(profile, model, marts.cfg), "installments")

@@ -194,6 +194,11 @@ def lead_scores(leads: DataFrame, model: LeadModel, history: DataFrame, cut: Cut
         model.regressor.transform(_vectors(features)).select("lead", "lead_behaviour_profile", days.alias("days")),
         "lead-predictions",
     )
+    return priorities(predicted, history)
+
+
+def priorities(predicted: DataFrame, history: DataFrame) -> DataFrame:
+    """The rules behind predicted ``days``: ``lead`` (a struct), ``lead_behaviour_profile`` and ``days`` in."""
     low, high = (predicted.agg(f("days")).scalar() for f in (F.min, F.max))
     segments = history.groupBy("lead_behaviour_profile").agg(most_frequent("business_segment").alias("predicted_segment"))
     scored = predicted.withColumn(
@@ -252,21 +257,23 @@ def conversion_training(mql: DataFrame, acquisition: DataFrame, cfg: Config = Co
 
 
 def conversion_classifier(
-    mql: DataFrame, acquisition: DataFrame, cut: Cut, cfg: Config = Config(), feature_sets: dict | None = None
+    mql: DataFrame, acquisition: DataFrame, cut: Cut, cfg: Config = Config(), feature_sets: dict | None = None, at_once: int = 5
 ) -> DataFrame:
-    """Area under the precision-recall curve on a held-out fold, next to the positive rate it must beat.
+    """Cross-validated area under the precision-recall curve, next to the positive rate it must beat.
 
-    Profile columns are only known for converted leads and give the label away; the
-    ``origin`` set shows what remains without them.
+    Mean and deviation over all folds. Profile columns are only known for converted leads and give the label away;
+    the ``origin`` set shows what remains without them.
     """
     feature_sets = feature_sets or {"all": ["origin", *CATEGORIES], "origin": ["origin"]}
     columns = sorted(set().union(*feature_sets.values()))
-    encoded = encode_out_of_fold(conversion_training(mql, acquisition, cfg), columns, "is_converted", "fold", cfg.encoding_smoothing)
-    rows = cut(encoded, "conversion-training")
+    training = cut(conversion_training(mql, acquisition, cfg), "conversion-leads")
+    rows = cut(
+        encode_out_of_fold(training, columns, "is_converted", "fold", cfg.encoding_smoothing), "conversion-training"
+    )
     evaluator = BinaryClassificationEvaluator(labelCol="is_converted", metricName="areaUnderPR")
 
-    def fit(item):
-        name, used = item
+    def held_out(item) -> float:
+        (_, used), fold = item
         data = _vectors(rows, [f"{c}_enc" for c in used])
         classifier = GBTClassifier(
             featuresCol="features",
@@ -279,14 +286,17 @@ def conversion_classifier(
             minInstancesPerNode=cfg.boosting_min_rows,
             seed=cfg.seed,
         )
-        fitted = classifier.fit(data.where("fold <> 0"))
-        return name, float(evaluator.evaluate(fitted.transform(data.where("fold = 0"))))
-
-    with ThreadPool(len(feature_sets)) as pool:
-        areas = pool.map(fit, list(feature_sets.items()))
-    spark = rows.sparkSession
-    rates = rows.where("fold = 0").agg(F.avg("is_converted").alias("base_rate"))
+        fitted = classifier.fit(data.where(F.col("fold") != fold))
+        return float(evaluator.evaluate(fitted.transform(data.where(F.col("fold") == fold))))
+
+    fits = [(item, fold) for item in feature_sets.items() for fold in range(cfg.folds)]
+    with ThreadPool(min(at_once, len(fits))) as pool:
+        areas = pool.map(held_out, fits)
+    found = []
+    for i, name in enumerate(feature_sets):
+        own = areas[i * cfg.folds : (i + 1) * cfg.folds]
+        found.append((name, fmean(own), pstdev(own)))
+    scores = rows.sparkSession.createDataFrame(found, "feature_set string, auprc double, auprc_std double")
+    rate = rows.agg(F.avg("is_converted")).scalar()
     weight = rows.agg(F.max("weight")).scalar()
-    scores = spark.createDataFrame(areas, "feature_set string, auprc double")
-    return scores.withColumn("base_rate", rates.scalar()).withColumn("positive_weight", weight)
-
+    return scores.withColumn("base_rate", rate).withColumn("positive_weight", weight)

@@ -47,13 +47,15 @@ def seller_cluster_features(performance: DataFrame) -> DataFrame:
     )
 
 
-def _fit(scaled: DataFrame, k: int, cfg: Config) -> KMeansModel:
-    """Best of ``cluster_restarts`` distributed k-means runs by their cost."""
-    runs = [
-        KMeans(k=k, seed=cfg.seed + i, featuresCol="features", predictionCol="cluster", maxIter=300, tol=1e-4).fit(scaled)
-        for i in range(cfg.cluster_restarts)
-    ]
-    return min(runs, key=lambda m: m.summary.trainingCost)
+def _fit(scaled: DataFrame, k: int, starts: int, cfg: Config, at_once: int = 8) -> KMeansModel:
+    """The best of ``starts`` k-means runs by cost, the first of equals; ``at_once`` of them share the cluster."""
+
+    def run(i: int) -> KMeansModel:
+        means = KMeans(k=k, seed=cfg.seed + i, featuresCol="features", predictionCol="cluster", maxIter=300, tol=1e-4)
+        return means.fit(scaled)
+
+    with ThreadPool(min(at_once, starts)) as pool:
+        return min(pool.map(run, range(starts)), key=lambda m: m.summary.trainingCost)
 
 
 def cluster_validation(performance: DataFrame, cfg: Config = Config()) -> DataFrame:
@@ -68,7 +70,7 @@ def cluster_validation(performance: DataFrame, cfg: Config = Config()) -> DataFr
         evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
 
         def measure(k: int):
-            model = _fit(scaled, k, cfg)
+            model = _fit(scaled, k, cfg.cluster_range_starts, cfg, at_once=2)
             inertia = model.summary.trainingCost * n / max(n - 1, 1)
             return k, round(inertia, 2), round(evaluator.evaluate(model.transform(scaled)), 4)
 
@@ -101,18 +103,25 @@ def train_seller_model(performance: DataFrame, cfg: Config = Config()) -> Seller
     scaler = fit_scaler(performance)
     scaled = scaled_sellers(performance, scaler).select("features").persist()
     try:
-        return SellerModel(scaler, _fit(scaled, cfg.seller_clusters, cfg))
+        return SellerModel(scaler, _fit(scaled, cfg.seller_clusters, cfg.cluster_starts, cfg))
     finally:
         scaled.unpersist()
 
 
 def seller_tiers(performance: DataFrame, model: SellerModel, cfg: Config = Config()) -> DataFrame:
     """Cluster and revenue tier per seller, value flag, advertising package and credit."""
-    clustered = model.clusters.transform(scaled_sellers(performance, model.scaler))
+    return tiers_of_clusters(model.clusters.transform(scaled_sellers(performance, model.scaler)), cfg)
+
+
+def tiers_of_clusters(clustered: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """The rules behind a ``cluster`` column: clusters become tiers by rising mean revenue.
+
+    There are three tiers; with more clusters the top ones are all Premium, with fewer the upper tiers stay empty.
+    """
     means = clustered.groupBy("cluster").agg(exact_mean("total_revenue").alias("_mean"))
     ranked = rank_rows(means, "_rank", [F.asc("_mean"), F.asc("cluster")])
     # one row per cluster
-    names = ranked.select("cluster", lookup("_rank", dict(enumerate(TIERS, 1))).alias("revenue_tier"))
+    names = ranked.select("cluster", lookup("_rank", dict(enumerate(TIERS, 1)), TIERS[-1]).alias("revenue_tier"))
     value = flag(F.col("avg_order_value") > cfg.hvc_spend_threshold)
     factor = F.when(value == 1, SELLER_VALUE_MULTIPLIER).otherwise(1.0)
     return clustered.join(F.broadcast(names), "cluster").select(

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from martloom.config import Config
 from martloom.plans.marts import common, customers, leads, orders, products, reviews, sellers
-from martloom.sources.marts import write_bucketed, write_mart
+from martloom.session import cut, run_folder, size_shuffles, tune
+from martloom.sources.marts import export_marts, write_bucketed, write_mart
+from martloom.sources.quality import validate
+from martloom.sources.raw import finite_columns, read_all_raw, read_all_typed
 
 PROFILE = "mart_customer_payment_profile"
 DETAIL = "mart_order_payment_detail"
@@ -51,11 +54,16 @@ class Marts:
         cut: Callable[[DataFrame, str], DataFrame] | None = None,
         shared: tuple[str, ...] = ("product_categories",),
     ):
-        self.raw, self.cfg, self.analysis_date = raw, cfg, analysis_date
+        self.raw = {name: finite_columns(df) for name, df in raw.items()}
+        self.cfg, self.analysis_date = cfg, analysis_date
         self.shared = set(shared)
         self._store, self._cut = store, cut
         self._ready: dict[str, DataFrame] = {}
 
+    @property
+    def spark(self) -> SparkSession:
+        return next(iter(self.raw.values())).sparkSession
+
     def part(self, name: str) -> DataFrame:
         if name in self._ready:
             return self._ready[name]
@@ -111,6 +119,7 @@ class Marts:
 def run_all(marts: Marts, concurrent: int = 4) -> dict[str, DataFrame]:
     """Build every mart; independent ones share the cluster, ``concurrent`` at a time."""
     marts.shared |= set(PARTS)
+    size_shuffles(marts.spark, marts.raw.values())
     built = {}
     with ThreadPoolExecutor(concurrent) as pool:
         list(pool.map(marts.part, PARTS))
@@ -124,12 +133,35 @@ def folder_store(folder: str) -> Callable[[DataFrame, str], DataFrame]:
     return lambda df, name: write_mart(df, name, folder).drop("updated_at")
 
 
-def bucketed_store(folder: str, buckets: int) -> Callable[[DataFrame, str], DataFrame]:
+def bucketed_store(folder: str, buckets: int, database: str | None = None) -> Callable[[DataFrame, str], DataFrame]:
     """Store whose customer marts are bucketed by customer, so that joining them shuffles nothing."""
 
     def store(df: DataFrame, name: str) -> DataFrame:
         if "customer_unique_id" not in df.columns:
             return write_mart(df, name, folder).drop("updated_at")
-        return write_bucketed(df, name, folder, "customer_unique_id", buckets).drop("updated_at")
+        return write_bucketed(df, name, folder, "customer_unique_id", buckets, database).drop("updated_at")
 
     return store
+
+
+def run_daily(
+    spark: SparkSession,
+    folder: str,
+    store: Callable[[DataFrame, str], DataFrame],
+    exporter: Callable[[DataFrame, str], None] | None = None,
+    cfg: Config = Config(),
+    analysis_date: Column | None = None,
+) -> dict[str, int]:
+    """The whole run over a folder of raw CSV files: presence, quality gate, load, marts, export.
+
+    Stops before anything is written if an input is missing or breaks a rule. Returns the rows of the checked inputs.
+    Intermediate tables are removed at the end; ``store`` and ``exporter`` say where the marts go.
+    """
+    tune(spark)
+    counts = validate(read_all_typed(spark, folder))
+    with run_folder(spark):
+        marts = Marts(read_all_raw(spark, folder), store, cfg, analysis_date, cut)
+        built = run_all(marts)
+        if exporter is not None:
+            export_marts(built.items(), exporter)
+    return counts

@@ -32,6 +32,9 @@ RAW_DDL = {
         declared_monthly_revenue double""",
 }
 
+# inputs whose texts may hold line breaks
+MULTI_LINE = {"order_reviews"}
+
 RAW_RENAMES = {
     "products": {
         "product_name_lenght": "product_name_length",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,20 +30,33 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def input_bytes(spark: SparkSession, folder: str) -> int:
-    """Size of all files under a folder, from their listing; no content is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.agg(F.sum("length")).first()[0] or 0
+def input_bytes(tables: Iterable[DataFrame]) -> int:
+    """Bytes of the files and tables these plans read, from their listings; nothing is read."""
+    total = 0
+    for table in tables:
+        leaves = table._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return total
 
 
-def size_shuffles(spark: SparkSession, total_bytes: int, per_task: int = 128 << 20) -> None:
-    """Start with about ``per_task`` bytes per shuffle partition, and at least one per core.
+#: More reducers than this cost the driver more in bookkeeping than they spare the tasks.
+MOST_PARTITIONS = 20_000
 
-    Adaptive execution merges partitions that turn out small, so the estimate only has to
-    be large enough for the biggest stage. A number set at start is kept.
+
+def shuffle_partitions(total_bytes: int, cores: int, per_task: int = 128 << 20, most: int = MOST_PARTITIONS) -> int:
+    """About ``per_task`` bytes per partition, at least one per core and at most ``most``.
+
+    Adaptive execution merges partitions that turn out small and splits those that a join finds too large, so the
+    number only has to be right within a factor. At 100 TB the bound holds, which makes 5 GB per task: such tasks
+    spill, but map outputs times reducers stay within what a driver can hold.
     """
+    return max(cores, min(most, -(-total_bytes // per_task)))
+
+
+def size_shuffles(spark: SparkSession, tables: Iterable[DataFrame], per_task: int = 128 << 20) -> None:
+    """Fit the number of shuffle partitions to the job that reads ``tables``. A number set at start is kept."""
     if spark.sparkContext.getConf().get("spark.sql.shuffle.partitions") is None:
-        wanted = max(spark.sparkContext.defaultParallelism, -(-total_bytes // per_task))
+        wanted = shuffle_partitions(input_bytes(tables), spark.sparkContext.defaultParallelism, per_task)
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
@@ -50,7 +65,7 @@ def scratch_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
-        return named.rstrip("/")
+        return f"{named.rstrip('/')}/{_run}" if _run else named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     made = tempfile.mkdtemp(prefix="martloom-")
@@ -58,6 +73,29 @@ def scratch_dir(spark: SparkSession) -> str:
     return scratch_dir(spark)
 
 
+_run = ""
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Everything :func:`cut` writes meanwhile goes into one folder, which is removed at the end.
+
+    Results must be written elsewhere before the block ends. One run at a time per session.
+    """
+    global _run
+    if _run:
+        yield scratch_dir(spark)
+        return
+    scratch_dir(spark)  # names a folder where none is set
+    _run = f"run-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    try:
+        yield scratch_dir(spark)
+    finally:
+        _run = ""
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder once and go on from the files.
 

@@ -32,23 +32,44 @@ def write_mart(df: DataFrame, name: str, folder: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def write_bucketed(df: DataFrame, name: str, folder: str, key: str, buckets: int) -> DataFrame:
-    """Full refresh as a table bucketed and sorted by ``key``; tables with equal buckets join without a shuffle."""
-    publish(df, name).write.mode("overwrite").option("path", f"{folder.rstrip('/')}/{name}").bucketBy(
-        buckets, key
-    ).sortBy(key).saveAsTable(name)
-    return df.sparkSession.table(name)
+def write_bucketed(df: DataFrame, name: str, folder: str, key: str, buckets: int, database: str | None = None) -> DataFrame:
+    """Full refresh as a table bucketed and sorted by ``key``; tables with equal buckets join without a shuffle.
+
+    Rows are dealt by the key first, so that each bucket is one file. ``database`` keeps the tables of different
+    folders apart in the catalog.
+    """
+    spark = df.sparkSession
+    table = f"{database}.{name}" if database else name
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    publish(df, name).repartition(buckets, key).write.mode("overwrite").option(
+        "path", f"{folder.rstrip('/')}/{name}"
+    ).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return spark.table(table)
+
+
+#: Orders versions that carry the same stamp.
+BATCH = "_batch"
 
 
 def append_version(df: DataFrame, name: str, folder: str, updated_at: Column | None = None) -> None:
-    """Add a newer version of some rows; :func:`read_latest` decides which one counts."""
-    publish(df, name, updated_at).write.mode("append").parquet(f"{folder.rstrip('/')}/{name}")
+    """Add a newer version of some rows; :func:`read_latest` decides which one counts.
+
+    Each call writes its batch number, one above the greatest there is. One writer at a time.
+    """
+    path = f"{folder.rstrip('/')}/{name}"
+    spark = df.sparkSession
+    stored = spark.read.option("mergeSchema", "true").parquet(path)
+    last = stored.agg(F.max(BATCH)).first()[0] if BATCH in stored.columns else None
+    batch = F.lit((last or 0) + 1).alias(BATCH)
+    publish(df, name, updated_at).select("*", batch).write.mode("append").parquet(path)
 
 
 def read_latest(spark: SparkSession, name: str, folder: str, defaults: dict | None = None) -> DataFrame:
-    """Latest version per key; files written before a column existed get its default."""
+    """Latest version per key, of equal stamps the one appended last; files written before a column existed get its default."""
     stored = spark.read.option("mergeSchema", "true").parquet(f"{folder.rstrip('/')}/{name}")
-    current = latest_by_key(stored, mart_keys(name), [F.col("updated_at").desc()])
+    stored = ensure_columns(stored, {BATCH: 0}).na.fill(0, subset=[BATCH])
+    current = latest_by_key(stored, mart_keys(name), [F.desc("updated_at"), F.desc(BATCH)]).drop(BATCH)
     current = ensure_columns(current, defaults or {})
     return current.na.fill(defaults) if defaults else current
 
@@ -90,7 +111,8 @@ def jdbc_writer(url: str, schema: str, properties: dict, partitions: int = 16) -
     """Replace the table in a relational database; ``partitions`` bounds the open connections."""
 
     def write(df: DataFrame, name: str) -> None:
-        df.coalesce(partitions).write.mode("overwrite").jdbc(url, f"{schema}.{name}", properties=properties)
+        # numPartitions is the writer's own bound; what computes the rows keeps its parallelism
+        df.write.option("numPartitions", partitions).mode("overwrite").jdbc(url, f"{schema}.{name}", properties=properties)
 
     return write
 

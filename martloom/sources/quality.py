@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.sources.raw import BROKEN
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -18,7 +20,16 @@ class Rule:
 
 
 def not_null(column: str) -> Rule:
-    return Rule(f"{column} not null", F.col(column).isNull())
+    """Neither missing nor blank: loading turns missing text into blank text."""
+    blank = F.trim(F.col(column).cast("string")) == ""
+    return Rule(f"{column} not null", F.col(column).isNull() | blank)
+
+
+def readable(table: DataFrame) -> Rule:
+    """No line that the declared types could not take; for tables read by ``read_typed``."""
+    # all columns take part, as Spark only parses what a query needs
+    parsed = F.pmod(F.xxhash64(*[c for c in table.columns if c != BROKEN]), F.lit(2)) >= 0
+    return Rule("every line readable", F.col(BROKEN).isNotNull() & parsed)
 
 
 def not_negative(column: str) -> Rule:
@@ -39,6 +50,7 @@ def dq_report(tables: dict[str, DataFrame], rules: dict[str, list[Rule]] | None
     rules = default_rules() if rules is None else rules
     reports = []
     for table, checks in rules.items():
+        checks = [*checks, readable(tables[table])] if BROKEN in tables[table].columns else checks
         counts = tables[table].agg(
             F.count("*").alias("row_count"), *[F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(checks)]
         )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martloom.config import Config
@@ -13,6 +14,19 @@ CHECKOUT_SCHEMA = """order_id string, customer_state string, avg_order_value dou
     preferred_payment_type string, is_high_value int"""
 
 
+def checkout_events(detail: DataFrame, profile: DataFrame) -> DataFrame:
+    """One event per order. A customer the profile does not know yet has this first order and is not of high value."""
+    known = profile.select("customer_unique_id", "total_orders", "is_high_value")
+    return detail.join(known, "customer_unique_id", "left").select(
+        "order_id",
+        "customer_state",
+        F.col("total_payment_value").alias("avg_order_value"),
+        F.coalesce("total_orders", F.lit(1).cast("bigint")).alias("total_orders"),
+        F.col("payment_type").alias("preferred_payment_type"),
+        F.coalesce("is_high_value", F.lit(0)).alias("is_high_value"),
+    )
+
+
 def read_checkouts(spark: SparkSession, folder: str, schema=CHECKOUT_SCHEMA, files_per_batch: int | None = None) -> DataFrame:
     """New event files in a folder; any other streaming source with these columns does as well."""
     reader = spark.readStream.schema(schema)
@@ -24,10 +38,14 @@ def read_checkouts(spark: SparkSession, folder: str, schema=CHECKOUT_SCHEMA, fil
 def start_scoring(
     events: DataFrame, model: PipelineModel, out: str, checkpoint: str, cfg: Config = Config(), trigger: dict | None = None
 ) -> StreamingQuery:
-    """Score events as they arrive. Scoring keeps no state; the file sink commits each batch exactly once."""
+    """Score events as they arrive. Scoring keeps no state."""
+    return start_sink(score_checkouts(events, model, cfg), out, checkpoint, trigger)
+
+
+def start_sink(scored: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Write a stream to files; the sink commits each batch exactly once."""
     return (
-        score_checkouts(events, model, cfg)
-        .writeStream.format("parquet")
+        scored.writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

@@ -232,6 +232,22 @@ SELECT DATE '2024-02-01' AS analysis_date, state, payment_type, order_count, avg
        greatest((nat - avg_value) / nat * order_count, 0) AS leakage_score
 FROM g, n""")
 
+MART_PIECES = {
+    "mart_customer_payment_profile": "profile",
+    "mart_order_payment_detail": "detail",
+    "mart_seller_acquisition": "acquisition",
+    "mart_seller_performance": "seller_perf",
+    "mart_product_price_range": "price_range",
+    "mart_geo_payment_summary": "geo",
+    "mart_monthly_revenue": "monthly",
+    "mart_payment_leakage": "leakage",
+    "mart_hv_category_preference": "hv_category",
+    "mart_repeat_customer": "repeat_customer",
+    "mart_review_by_segment": "review_segment",
+    "mart_mql_funnel": "funnel",
+    "mart_mql_monthly": "mql_monthly",
+    "mart_lead_behaviour": "behaviour",
+}
 ORACLES: dict[str, str] = {
     "mart_customer_payment_profile": with_pieces("profile", "SELECT * FROM profile"),
     "mart_order_payment_detail": with_pieces("detail", "SELECT * FROM detail"),
@@ -270,6 +286,11 @@ SELECT p_partkey AS product_id, CAST(length(p_name) AS INT) AS product_name_leng
   UNION ALL SELECT 'products', 'product_category_name not null', count(*), count(*) FILTER (product_category_name IS NULL) FROM products
   UNION ALL SELECT 'order_items', 'not empty', count(*), CAST(count(*) = 0 AS BIGINT) FROM order_items
   UNION ALL SELECT 'order_items', 'order_id not null', count(*), count(*) FILTER (order_id IS NULL) FROM order_items
+  UNION ALL SELECT 'orders', 'every line readable', count(*), 0 FROM v_orders
+  UNION ALL SELECT 'order_payments', 'every line readable', count(*), 0 FROM order_payments
+  UNION ALL SELECT 'customers', 'every line readable', count(*), 0 FROM customers
+  UNION ALL SELECT 'products', 'every line readable', count(*), 0 FROM products
+  UNION ALL SELECT 'order_items', 'every line readable', count(*), 0 FROM order_items
   UNION ALL SELECT 'order_items', 'price not negative', count(*), count(*) FILTER (price < 0 OR price IS NULL) FROM order_items)
 SELECT *, CAST(violations = 0 AS INT) AS passed FROM c"""),
     "latest_by_key": """
@@ -566,9 +587,21 @@ SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS cu
        CAST(NULL AS TIMESTAMP) AS order_approved_at, CAST(NULL AS TIMESTAMP) AS order_delivered_carrier_date,
        order_delivered_customer_date, order_estimated_delivery_date FROM v_orders"""),
     "mart_csv_round_trip": with_pieces("monthly", "SELECT * FROM monthly"),
-    "export_marts": with_pieces("monthly repeat_customer", """
-SELECT 'mart_monthly_revenue' AS mart, count(*) AS row_count FROM monthly
-UNION ALL SELECT 'mart_repeat_customer', count(*) FROM repeat_customer"""),
+    "raw_csv_all": with_pieces("v_orders order_items order_payments customers products translation sellers order_reviews mql closed_deals", f"""
+SELECT 'orders' AS input, count(*) AS row_count, count(order_id) AS keys, CAST(NULL AS DOUBLE) AS amount FROM v_orders
+UNION ALL SELECT 'order_items', count(*), count(order_id), round_even({money('price + freight_value')}, 6) FROM order_items
+UNION ALL SELECT 'order_payments', count(*), count(order_id), round_even({money('payment_value')}, 6) FROM order_payments
+UNION ALL SELECT 'customers', count(*), count(customer_id), NULL FROM customers
+UNION ALL SELECT 'products', count(*), count(product_id), NULL FROM products
+UNION ALL SELECT 'category_translation', count(*), count(product_category_name), NULL FROM translation
+UNION ALL SELECT 'sellers', count(*), count(seller_id), NULL FROM sellers
+UNION ALL SELECT 'geolocation', count(*), count(c_custkey), round_even({money('c_acctbal / 100')}, 6) FROM customer
+UNION ALL SELECT 'order_reviews', count(*), count(review_id), CAST(sum(review_score) AS DOUBLE) FROM order_reviews
+UNION ALL SELECT 'mql', count(*), count(mql_id), NULL FROM mql
+UNION ALL SELECT 'closed_deals', count(*), count(mql_id), round_even({money('declared_monthly_revenue')}, 6) FROM closed_deals"""),
+    "export_marts": with_pieces(" ".join(MART_PIECES.values()), "\nUNION ALL ".join(
+        f"SELECT '{mart}' AS mart, count(*) AS row_count FROM {name}" for mart, name in MART_PIECES.items()
+    )),
     "mart_versions": with_pieces("repeat_customer", """
 SELECT * REPLACE (CASE WHEN total_orders > 6 THEN -1 ELSE days_active END AS days_active) FROM repeat_customer"""),
     "cross_validation_folds": with_pieces("profile", """
@@ -578,6 +611,86 @@ SELECT customer_unique_id, uses_installments,
 FROM profile"""),
 }
 
+# ---------------------------------------------------------------- rules behind the models, on a score of the key
+def score(column: str) -> str:
+    return f"(({column} * 7919 % 1009) / 1009::DOUBLE)"
+
+
+piece("priorities", "acquisition", f"""
+WITH p AS (SELECT *, {score('mql_id')} * 120 AS days FROM acquisition),
+     g AS (SELECT lead_behaviour_profile, business_segment, row_number() OVER (PARTITION BY lead_behaviour_profile ORDER BY count(*) DESC, business_segment) AS rn
+           FROM acquisition GROUP BY 1, 2),
+     s AS (SELECT *, 1 - (days - min(days) OVER ()) / (max(days) OVER () - min(days) OVER ()) AS score FROM p)
+SELECT s.* EXCLUDE (days, score), round_even(days, 1) AS predicted_days_to_close, round_even(score, 4) AS priority_score,
+       CASE WHEN score <= 0.4 THEN 'LOW' WHEN score <= 0.7 THEN 'MEDIUM' ELSE 'HIGH' END AS priority_tier,
+       g.business_segment AS predicted_segment,
+       CASE WHEN days <= 45 THEN 'Fast-Track (<=45 days)' WHEN days <= 90 THEN 'Standard Nurture (<=90 days)' ELSE 'High-Touch Support (>90 days)' END AS onboarding_package
+FROM s JOIN g ON s.lead_behaviour_profile = g.lead_behaviour_profile AND rn = 1""")
+piece("cluster_tiers", "seller_perf", f"""
+WITH c AS (SELECT *, CAST(seller_id % 3 AS INT) AS cluster FROM seller_perf),
+     r AS (SELECT cluster, row_number() OVER (ORDER BY m, cluster) AS rn FROM (SELECT cluster, {mean('total_revenue')} AS m FROM c GROUP BY cluster))
+SELECT seller_id, seller_state, seller_city, total_revenue, avg_review_score, total_orders, unique_categories, c.cluster,
+       CASE rn WHEN 1 THEN 'Starter' WHEN 2 THEN 'Growth' ELSE 'Premium' END AS revenue_tier, CAST(avg_order_value > 535 AS INT) AS hvc_aligned,
+       CASE rn WHEN 1 THEN 'Basic product listing | Onboarding analytics dashboard | Category page placement'
+               WHEN 2 THEN 'Featured product slots | Keyword-targeted display ads | Enhanced analytics | Category targeting'
+               ELSE 'Banner ads | HVC segment targeting | Cross-sell placements | Dedicated account manager | Priority in watches/health_beauty/computers' END AS ad_package,
+       round_even(avg_review_score * 100 * total_orders * CASE WHEN avg_order_value > 535 THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END * 0.1::DOUBLE, 2) AS ad_credit_value
+FROM c JOIN r ON c.cluster = r.cluster""")
+FIRES = """coalesce({state} IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4')
+            AND {kind} = 'credit_card' AND {value} > 2200, false)"""
+TIER_OF_P = "CASE WHEN p >= 0.8 THEN '12+' WHEN p >= 0.65 THEN '7-12' WHEN p >= 0.5 THEN '2-6' ELSE '1' END"
+REASON_OF_P = """CASE WHEN p >= 0.8 THEN 'High confidence: proactively surface 12-installment option'
+              WHEN p >= 0.65 THEN 'Medium confidence: show 7-12 installment option' WHEN p >= 0.5 THEN 'Low confidence: show basic 2-6 installment option'
+              ELSE 'Unlikely to use installments: do not surface installment prompt' END"""
+piece("decisions", "profile", f"""
+SELECT customer_unique_id, customer_state, total_spend, is_high_value, preferred_payment_type, installment_bucket, avg_order_value,
+       CASE WHEN fires THEN greatest(round_even(p, 4), 0.8::DOUBLE) ELSE round_even(p, 4) END AS installment_confidence,
+       CASE WHEN fires THEN '12+' ELSE {TIER_OF_P} END AS recommended_tier,
+       CASE WHEN fires THEN 'LEAKAGE OVERRIDE: leakage state + credit card + order > HVC threshold' ELSE {REASON_OF_P} END AS recommendation_reason,
+       (fires AND p > 0.5) OR p > 0.75 AS final_recommend
+FROM (SELECT *, {score('customer_unique_id')} AS p, {FIRES.format(state='customer_state', kind='preferred_payment_type', value='avg_order_value')} AS fires FROM profile)""")
+piece("checkouts", "detail profile", f"""
+SELECT order_id, total_orders, preferred_payment_type, is_high_value, customer_state, order_value, tier <> '1' AS recommend_installments,
+       tier AS recommended_tier, round_even(CASE WHEN fires THEN greatest(p, 0.8::DOUBLE) ELSE p END, 4) AS confidence_score,
+       CASE WHEN fires THEN 'LEAKAGE OVERRIDE: ' || customer_state || ' credit card order > R$2200.00. Always surface 12-installment per Module 5 rule layer.'
+            ELSE {REASON_OF_P} END AS reason
+FROM (SELECT *, CASE WHEN fires THEN '12+' ELSE {TIER_OF_P} END AS tier FROM (
+        SELECT d.order_id, coalesce(c.total_orders, 1) AS total_orders, d.payment_type AS preferred_payment_type, coalesce(c.is_high_value, 0) AS is_high_value,
+               d.customer_state, d.total_payment_value AS order_value, {score('d.order_id')} AS p,
+               {FIRES.format(state='d.customer_state', kind='d.payment_type', value='d.total_payment_value')} AS fires
+        FROM detail d LEFT JOIN profile c ON d.customer_unique_id = c.customer_unique_id))""")
+ORACLES |= {
+    "lead_priorities": with_pieces("priorities", "SELECT * FROM priorities"),
+    "lead_priority_profiles": with_pieces("priorities", f"""
+SELECT lead_behaviour_profile, count(mql_id) AS count, round_even(avg(days_to_close), 1) AS avg_actual_days,
+       round_even({mean('predicted_days_to_close')}, 1) AS avg_predicted_days, round_even({mean('priority_score')}, 1) AS avg_priority_score,
+       round_even(avg(CAST(priority_tier = 'HIGH' AS INT)) * 100, 1) AS pct_high_priority FROM priorities GROUP BY 1"""),
+    "lead_priority_tiers": with_pieces("priorities", """
+SELECT priority_tier, count(*) AS lead_count, round_even(count(*) / sum(count(*)) OVER () * 100, 1) AS pct FROM priorities GROUP BY 1"""),
+    "lead_priority_top10": with_pieces("priorities", """
+SELECT mql_id, lead_behaviour_profile, business_segment, priority_score, predicted_days_to_close, priority_tier, onboarding_package
+FROM priorities ORDER BY priority_score DESC, mql_id LIMIT 10"""),
+    "seller_cluster_tiers": with_pieces("cluster_tiers", "SELECT * FROM cluster_tiers"),
+    "seller_cluster_centroids": with_pieces("cluster_tiers", f"""
+SELECT revenue_tier, count(seller_id) AS count, round_even({mean('total_revenue')}, 1) AS avg_revenue, round_even({mean('avg_review_score')}, 1) AS avg_review_score,
+       round_even(avg(total_orders), 1) AS avg_orders, round_even(avg(unique_categories), 1) AS avg_categories,
+       round_even(count(seller_id) / sum(count(seller_id)) OVER () * 100, 1) AS pct_sellers, round_even(quantile_cont(total_revenue, 0.5), 1) AS median_revenue
+FROM cluster_tiers GROUP BY 1"""),
+    "seller_cluster_top10": with_pieces("cluster_tiers", """
+SELECT seller_id, seller_state, total_revenue, avg_review_score, revenue_tier, hvc_aligned, ad_credit_value
+FROM cluster_tiers ORDER BY total_revenue DESC, seller_id LIMIT 10"""),
+    "installment_decisions": with_pieces("decisions", "SELECT * FROM decisions"),
+    "installment_decision_tiers": with_pieces("decisions", """
+SELECT t AS recommended_tier, count(customer_unique_id) AS customer_count,
+       round_even(count(customer_unique_id) / (SELECT count(*) FROM decisions) * 100, 1) AS pct,
+       count(*) FILTER (recommendation_reason LIKE 'LEAKAGE%') AS override_count
+FROM (SELECT unnest(['12+', '7-12', '2-6', '1']) AS t) LEFT JOIN decisions ON recommended_tier = t GROUP BY t"""),
+    "installment_decision_counts": with_pieces("decisions", """
+SELECT recommended_tier, final_recommend, count(*) AS customer_count FROM decisions GROUP BY 1, 2"""),
+    "checkout_decisions": with_pieces("checkouts", "SELECT * FROM checkouts"),
+    "checkout_decision_stream": with_pieces("checkouts", "SELECT * FROM checkouts"),
+}
+
 # ---------------------------------------------------------------- comparison of totals and means
 # Two engines may differ in the last bit of a division; registry.py rounds these columns of its queries alike.
 ROUNDED = {
@@ -603,6 +716,11 @@ ROUNDED = {
         "trigger_segments": "avg_order_value",
         "audience_segments": "total_spend avg_order_value",
         "executive_kpis": "value",
+        "seller_cluster_tiers": "total_revenue avg_review_score",
+        "seller_cluster_top10": "total_revenue avg_review_score",
+        "installment_decisions": "total_spend avg_order_value",
+        "checkout_decisions": "order_value",
+        "checkout_decision_stream": "order_value",
     }.items()
 }
 ORACLES |= {name: rounded(ORACLES[name], columns) for name, columns in ROUNDED.items()}

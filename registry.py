@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import adapter
 import oracles
+from martloom.functions.aggregates import exact_sum
 from martloom.functions.numbers import half_even
 from martloom.operators.keys import ensure_columns, latest_by_key
 from martloom.operators.ranking import hash_fold, stratified_fold
@@ -19,10 +20,11 @@ from martloom.plans.analytics import ANALYTICS, SELLERS
 from martloom.plans.insights import points
 from martloom.plans.ml import installments, leads, sellers
 from martloom.plans.pipeline import ACQUISITION, DETAIL, PROFILE, STEPS, Marts
-from martloom.session import cut, input_bytes, scratch_dir, size_shuffles, tune
+from martloom.schemas import RAW_DDL, raw_schema
+from martloom.session import cut, scratch_dir, size_shuffles, tune
 from martloom.sources import marts as mart_tables
 from martloom.sources.quality import default_rules, dq_report, not_negative, not_null
-from martloom.sources.raw import normalize_strings, read_raw, rename_columns
+from martloom.sources.raw import normalize_strings, read_all_raw, read_raw, read_typed, rename_columns
 from martloom.streaming import checkout
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,9 +37,10 @@ def marts(spark: SparkSession, sf_dir: str) -> Marts:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _marts:
         tune(spark)
-        size_shuffles(spark, input_bytes(spark, sf_dir))
+        raw = adapter.raw_tables(spark, sf_dir)
+        size_shuffles(spark, raw.values())
         date = F.lit("2024-02-01").cast("date")
-        _marts[key] = Marts(adapter.raw_tables(spark, sf_dir), cut, adapter.CONFIG, date, cut)
+        _marts[key] = Marts(raw, cut, adapter.CONFIG, date, cut)
     return _marts[key]
 
 
@@ -73,13 +76,14 @@ def rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = marts(spark, sf_dir).raw
+    """The quality gate over CSV files, before blanks are filled."""
+    folder = _raw_csv_folder(spark, sf_dir)
     rules = default_rules() | {
         # rules that the test data breaks, so that counting violations is exercised too
         "products": [not_null("product_category_name")],
         "order_items": [not_null("order_id"), not_negative("price")],
     }
-    return dq_report(raw, rules)
+    return dq_report({name: read_typed(spark, folder, name) for name in rules}, rules)
 
 
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,14 +97,65 @@ def evolved_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _write_raw_csv(df: DataFrame, folder: str, name: str) -> None:
+    """Write a table the way the sources deliver it, with all declared columns."""
+    full = df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in raw_schema(name).fields
+        ]
+    )
+    writer = full.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+    writer.csv(f"{folder}/{name}.csv", header=True, quote='"', escape='"')
+
+
 def _as_raw_csv(df: DataFrame, name: str) -> str:
-    """Write a table the way the sources deliver it; returns the folder."""
     folder = f"{scratch_dir(df.sparkSession)}/raw-{uuid.uuid4().hex}"
-    writer = df.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-    writer.csv(f"{folder}/{name}.csv", header=True, quote='"', escape='"')
+    _write_raw_csv(df, folder, name)
     return folder
 
 
+_csv_folders: dict[tuple[str, str], str] = {}
+
+
+def _raw_csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """All raw inputs as CSV files; written once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _csv_folders:
+        folder = f"{scratch_dir(spark)}/raw-{uuid.uuid4().hex}"
+        raw = marts(spark, sf_dir).raw | {"geolocation": adapter.geolocation(spark, sf_dir)}
+        for name in RAW_DDL:
+            _write_raw_csv(raw[name], folder, name)
+        _csv_folders[key] = folder
+    return _csv_folders[key]
+
+
+#: An amount of each raw input.
+RAW_AMOUNTS = {
+    "order_items": "price + freight_value",
+    "order_payments": "payment_value",
+    "geolocation": "geolocation_lat",
+    "order_reviews": "CAST(review_score AS DOUBLE)",
+    "closed_deals": "declared_monthly_revenue",
+}
+
+
+def raw_csv_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw inputs through their CSV files: rows, keys that are not blank, and the total of an amount."""
+    read = read_all_raw(spark, _raw_csv_folder(spark, sf_dir))
+    reports = []
+    for name, df in read.items():
+        amount = F.expr(RAW_AMOUNTS[name]) if name in RAW_AMOUNTS else F.lit(None).cast("double")
+        reports.append(
+            df.agg(
+                F.count("*").alias("row_count"),
+                F.count_if(F.col(df.columns[0]) != "").alias("keys"),
+                half_even(exact_sum(amount), 6).alias("amount"),
+            ).select(F.lit(name).alias("input"), "row_count", "keys", "amount")
+        )
+    return reduce(DataFrame.unionByName, reports)
+
+
 def raw_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV scan: zip codes keep their leading zeros."""
     source = marts(spark, sf_dir).raw["customers"].select(
@@ -136,17 +191,15 @@ def mart_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two marts through the export, and the row counts that arrived."""
+    """All marts through the export, and the row counts that arrived."""
     folder = f"{scratch_dir(spark)}/export-{uuid.uuid4().hex}"
-    names = ["mart_monthly_revenue", "mart_repeat_customer"]
-    mart_tables.export_marts(
-        [(n, marts(spark, sf_dir).mart(n)) for n in names], mart_tables.parquet_writer(folder)
-    )
+    names = [name for step in STEPS for name in step]
+    mart_tables.export_marts([(n, marts(spark, sf_dir).mart(n)) for n in names], mart_tables.parquet_writer(folder))
     counted = [
         spark.read.parquet(f"{folder}/{n}").agg(F.count("*").alias("row_count")).select(F.lit(n).alias("mart"), "row_count")
         for n in names
     ]
-    return counted[0].unionByName(counted[1])
+    return reduce(DataFrame.unionByName, counted)
 
 
 def mart_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,17 +351,10 @@ def installment_final_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def checkout_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One event per order, as the checkout would send it."""
+    """One event per order, as the checkout would send it; a customer without a profile is a new one."""
     m = marts(spark, sf_dir)
     profile = m.mart(PROFILE).select("customer_unique_id", "total_orders", "is_high_value")
-    return m.mart(DETAIL).join(profile, "customer_unique_id").select(
-        "order_id",
-        "customer_state",
-        F.col("total_payment_value").alias("avg_order_value"),
-        "total_orders",
-        F.col("payment_type").alias("preferred_payment_type"),
-        "is_high_value",
-    )
+    return checkout.checkout_events(m.mart(DETAIL), profile)
 
 
 def checkout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,6 +370,47 @@ def checkout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+# ---------------------------------------------------------------- the rules behind the models, on a score from the tables
+def _score(column: str) -> Column:
+    """A number from 0 to 1 that depends on the key alone."""
+    return F.expr(f"pmod({column} * 7919, 1009) / 1009D")
+
+
+def lead_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acquisition = marts(spark, sf_dir).mart(ACQUISITION)
+    predicted = acquisition.select(
+        F.struct(*acquisition.columns).alias("lead"), "lead_behaviour_profile", (_score("mql_id") * 120).alias("days")
+    )
+    return leads.priorities(predicted, acquisition)
+
+
+def seller_cluster_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clustered = marts(spark, sf_dir).mart(SELLERS).withColumn("cluster", F.expr("CAST(seller_id % 3 AS INT)"))
+    return sellers.tiers_of_clusters(clustered, adapter.SELLER_CONFIG)
+
+
+def installment_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return installments.recommend(marts(spark, sf_dir).mart(PROFILE), _score("customer_unique_id"), adapter.CONFIG)
+
+
+def _decided(events: DataFrame) -> DataFrame:
+    return installments.decide(events.withColumn("_p", _score("order_id")), events.columns, adapter.CONFIG)
+
+
+def checkout_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decided(checkout_events(spark, sf_dir))
+
+
+def checkout_decision_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same decisions on a stream of event files, read back from the sink."""
+    base = f"{scratch_dir(spark)}/decisions-{uuid.uuid4().hex}"
+    events = checkout_events(spark, sf_dir)
+    events.write.parquet(f"{base}/in")
+    stream = checkout.read_checkouts(spark, f"{base}/in", events.schema)
+    checkout.start_sink(_decided(stream), f"{base}/out", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 QUERIES: dict[str, Query] = {
     "ingest_normalize": ingest_normalize,
     "rename_columns": rename,
@@ -332,6 +419,23 @@ QUERIES: dict[str, Query] = {
     "ensure_columns": evolved_profile,
     "raw_csv_customers": raw_csv_customers,
     "raw_csv_orders": raw_csv_orders,
+    "raw_csv_all": raw_csv_all,
+    "lead_priorities": lead_priorities,
+    "lead_priority_profiles": lambda spark, sf: leads.lead_profile_summary(lead_priorities(spark, sf)),
+    "lead_priority_tiers": lambda spark, sf: leads.lead_tier_distribution(lead_priorities(spark, sf)),
+    "lead_priority_top10": lambda spark, sf: leads.lead_top(lead_priorities(spark, sf)),
+    "seller_cluster_tiers": seller_cluster_tiers,
+    "seller_cluster_centroids": lambda spark, sf: sellers.seller_tier_centroids(seller_cluster_tiers(spark, sf)),
+    "seller_cluster_top10": lambda spark, sf: sellers.seller_top(seller_cluster_tiers(spark, sf)),
+    "installment_decisions": installment_decisions,
+    "installment_decision_tiers": lambda spark, sf: installments.installment_tier_distribution(
+        installment_decisions(spark, sf)
+    ),
+    "installment_decision_counts": lambda spark, sf: installment_decisions(spark, sf)
+    .groupBy("recommended_tier", "final_recommend")
+    .agg(F.count("*").alias("customer_count")),
+    "checkout_decisions": checkout_decisions,
+    "checkout_decision_stream": checkout_decision_stream,
 }
 QUERIES |= {name: partial(_mart, name) for step in STEPS for name in step}
 QUERIES |= {name: partial(_analytics, name) for name in ANALYTICS}

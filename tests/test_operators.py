@@ -54,20 +54,19 @@ def test_ensure_columns_adds_only_what_is_missing(frame):
     assert df.first()[:] == (1, "x", 0.0, "")
 
 
-@pytest.mark.parametrize("small", [100_000, 5])
+@pytest.mark.parametrize("bins,levels", [(4096, 2), (3, 1)])
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.75, 0.9, 1.0])
-def test_exact_quantile_equals_array_quantile(spark, monkeypatch, small, q):
-    monkeypatch.setattr(quantiles, "_SMALL", small)
+def test_exact_quantile_equals_array_quantile(spark, monkeypatch, bins, levels, q):
+    monkeypatch.setattr(quantiles, "_BINS", bins)
     rng = np.random.default_rng(3)
     # a third of all values are equal; the rest is long-tailed
     values = np.concatenate([np.full(700, 12.5), rng.lognormal(3, 2, 1301)])
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(5)
-    got = exact_quantile(df, "x", q, accuracy=50).first()[0]
+    got = exact_quantile(df, "x", q, accuracy=50, levels=levels).first()[0]
     assert got == pytest.approx(np.quantile(values, q), rel=1e-12)
 
 
-def test_exact_quantile_per_group_and_small_groups(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "_SMALL", 5)
+def test_exact_quantile_per_group_and_small_groups(spark):
     rng = random.Random(5)
     data = [("big", rng.gauss(0, 1)) for _ in range(900)] + [("one", 4.0), ("two", 1.0), ("two", 2.0)]
     df = spark.createDataFrame(data, "g string, x double")
@@ -77,11 +76,10 @@ def test_exact_quantile_per_group_and_small_groups(spark, monkeypatch):
 
 
 def test_exact_quantile_survives_a_sketch_that_misses(spark, monkeypatch):
-    """A bracket that does not hold the rank falls back to the full range."""
-    monkeypatch.setattr(quantiles, "_SMALL", 0)
-    broken = quantiles._QUERY.replace("percentile_approx(x, array({q_low}D, {q_high}D), {accuracy})", "array(min(x), min(x))")
-    assert broken != quantiles._QUERY
-    monkeypatch.setattr(quantiles, "_QUERY", broken)
+    """A bracket that does not hold the rank falls back to the full range, which is then narrowed."""
+    broken = quantiles._START.replace("percentile_approx(x, array({q_low}D, {q_high}D), {accuracy})", "array(min(x), min(x))")
+    assert broken != quantiles._START
+    monkeypatch.setattr(quantiles, "_START", broken)
     df = spark.range(101).select(F.col("id").cast("double").alias("x"))
     assert exact_quantile(df, "x", 0.75).first()[0] == 75.0
 
@@ -149,6 +147,17 @@ def test_stratified_fold_spreads_each_label_evenly(spark):
     assert sum(counts.values()) == 1003
 
 
+def test_a_missing_label_is_a_stratum(spark):
+    df = spark.range(100).select("id", F.when(F.col("id") % 5 != 0, F.col("id") % 2).alias("y"))
+    rows = stratified_fold(df, "id", "y", 5, 42).collect()
+    assert len(rows) == 100 and Counter(r.fold for r in rows if r.y is None) == dict.fromkeys(range(5), 4)
+
+
+def test_numbered_by_more_ranges(spark):
+    got = {r.id: r.n for r in numbered(spark.range(50), "id", 3, "n", digits=1).collect()}
+    assert got == {r.id: r.n for r in numbered(spark.range(50), "id", 3, "n", digits=5).collect()}
+
+
 def test_dense_levels_lists_empty_ones_in_order(frame):
     df = dense_levels(frame([("b", 4)], "t string, n int"), "t", ["a", "b", "c"]).orderBy("level_order")
     assert [tuple(r) for r in df.select("t", "n").collect()] == [("a", None), ("b", 4), ("c", None)]
