@@ -148,6 +148,45 @@ TRIGGER_ACTIONS = {
     "Invite to HVC early-access sale event.",
 }
 
+# thresholds and model parameters as published
+PUBLISHED = {
+    "hvc_quantile": 0.75,
+    "hvc_spend_threshold": 180.52,
+    "installments_above": 1.0,
+    "national_avg_order_value": 160.99,
+    "leakage_alert_pct": 5.0,
+    "push_plan_score": 1000.0,
+    "offer_upgrade_score": 500.0,
+    "friction_pct": 10.0,
+    "default_state": "SP",
+    "folds": 5,
+    "seed": 42,
+    "encoding_smoothing": 10.0,
+    "boosting_rounds": 400,
+    "boosting_depth": 4,
+    "boosting_rate": 0.05,
+    "boosting_row_share": 0.8,
+    "boosting_feature_share": 0.8,
+    "boosting_min_rows": 3,
+    "seller_clusters": 3,
+    "cluster_range": (2, 3, 4, 5, 6),
+    "cluster_range_starts": 10,
+    "cluster_starts": 20,
+}
+
+# what to do about an alert; names in braces are filled in
+ALERT_TEXTS = {
+    "routing": "CRITICAL ROUTING ERROR - {kind} linked to review scores 1.0-1.67. Escalate to payment ops. Manual review within 24h SLA.",
+    "plan": "Push 12-installment plan for {state} credit card orders above R$ {threshold}. "
+    "{gap}% below national avg across {orders} transactions.",
+    "upgrade": "Offer {state} boleto customers credit-card-with-installment upgrade at checkout. {gap}% below national avg.",
+    "friction": "{state} {kind}: {gap}% below national avg. Investigate checkout flow for friction points.",
+    "watch": "{state} {kind}: {gap}% below national avg. Monitor weekly.",
+}
+OVERRIDE_REASON_CHECKOUT = (
+    "LEAKAGE OVERRIDE: {state} credit card order > R${threshold}. Always surface 12-installment per Module 5 rule layer."
+)
+
 # End of the fixed values.
 
 
@@ -155,31 +194,31 @@ TRIGGER_ACTIONS = {
 class Config:
     """Values a deployment may need to move; the defaults are the published ones."""
 
-    hvc_quantile: float = 0.75
-    hvc_spend_threshold: float = 180.52
-    installments_above: float = 1.0
-    national_avg_order_value: float = 160.99
-    leakage_alert_pct: float = 5.0
-    push_plan_score: float = 1000.0
-    offer_upgrade_score: float = 500.0
-    friction_pct: float = 10.0
+    hvc_quantile: float = PUBLISHED["hvc_quantile"]
+    hvc_spend_threshold: float = PUBLISHED["hvc_spend_threshold"]
+    installments_above: float = PUBLISHED["installments_above"]
+    national_avg_order_value: float = PUBLISHED["national_avg_order_value"]
+    leakage_alert_pct: float = PUBLISHED["leakage_alert_pct"]
+    push_plan_score: float = PUBLISHED["push_plan_score"]
+    offer_upgrade_score: float = PUBLISHED["offer_upgrade_score"]
+    friction_pct: float = PUBLISHED["friction_pct"]
     top_categories: tuple = TOP_CATEGORIES
     frontier_states: tuple = FRONTIER_STATES
-    default_state: str = "SP"
+    default_state: str = PUBLISHED["default_state"]
     customer_tiers: tuple = CUSTOMER_TIERS
     seller_tiers: tuple = SELLER_TIERS
     seller_revenue_bands: tuple = SELLER_REVENUE_BANDS
     severity_tiers: tuple = SEVERITY_TIERS
-    folds: int = 5
-    seed: int = 42
-    encoding_smoothing: float = 10.0
-    boosting_rounds: int = 400
-    boosting_depth: int = 4
-    boosting_rate: float = 0.05
-    boosting_row_share: float = 0.8
-    boosting_feature_share: float = 0.8
-    boosting_min_rows: int = 3
-    seller_clusters: int = 3
-    cluster_range: tuple = (2, 3, 4, 5, 6)
-    cluster_range_starts: int = 10
-    cluster_starts: int = 20
+    folds: int = PUBLISHED["folds"]
+    seed: int = PUBLISHED["seed"]
+    encoding_smoothing: float = PUBLISHED["encoding_smoothing"]
+    boosting_rounds: int = PUBLISHED["boosting_rounds"]
+    boosting_depth: int = PUBLISHED["boosting_depth"]
+    boosting_rate: float = PUBLISHED["boosting_rate"]
+    boosting_row_share: float = PUBLISHED["boosting_row_share"]
+    boosting_feature_share: float = PUBLISHED["boosting_feature_share"]
+    boosting_min_rows: int = PUBLISHED["boosting_min_rows"]
+    seller_clusters: int = PUBLISHED["seller_clusters"]
+    cluster_range: tuple = PUBLISHED["cluster_range"]
+    cluster_range_starts: int = PUBLISHED["cluster_range_starts"]
+    cluster_starts: int = PUBLISHED["cluster_starts"]

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.config import CRITICAL_PAYMENT_TYPES, Config
+from martloom.config import ALERT_TEXTS, CRITICAL_PAYMENT_TYPES, Config
 from martloom.functions.aggregates import exact_mean, exact_sum
 from martloom.functions.numbers import half_even, one_decimal, pct_below, tier
+from martloom.functions.text import fill
 from martloom.operators.ranking import rank_rows
 
 
@@ -24,43 +25,20 @@ def leakage_alerts(leakage: DataFrame, cfg: Config = Config()) -> DataFrame:
         }
     )
     state, kind, score, gap = (F.col(c) for c in ("state", "payment_type", "leakage_score", "pct_below_national_avg"))
-    below = F.concat(one_decimal(gap), F.lit("% below national avg"))
+    named = {
+        "state": state,
+        "kind": kind,
+        "gap": one_decimal(gap),
+        "orders": F.format_number("order_count", 0),
+        "threshold": f"{cfg.hvc_spend_threshold:.2f}",
+    }
+    text = {name: fill(template, **named) for name, template in ALERT_TEXTS.items()}
     remedy = (
-        F.when(
-            kind.isin(*CRITICAL_PAYMENT_TYPES),
-            F.concat(
-                F.lit("CRITICAL ROUTING ERROR - "),
-                kind,
-                F.lit(" linked to review scores 1.0-1.67. Escalate to payment ops. Manual review within 24h SLA."),
-            ),
-        )
-        .when(
-            (kind == "credit_card") & (score > cfg.push_plan_score),
-            F.concat(
-                F.lit("Push 12-installment plan for "),
-                state,
-                F.lit(f" credit card orders above R$ {cfg.hvc_spend_threshold:.2f}. "),
-                below,
-                F.lit(" across "),
-                F.format_number("order_count", 0),
-                F.lit(" transactions."),
-            ),
-        )
-        .when(
-            (kind == "boleto") & (score > cfg.offer_upgrade_score),
-            F.concat(
-                F.lit("Offer "),
-                state,
-                F.lit(" boleto customers credit-card-with-installment upgrade at checkout. "),
-                below,
-                F.lit("."),
-            ),
-        )
-        .when(
-            gap > cfg.friction_pct,
-            F.concat(state, F.lit(" "), kind, F.lit(": "), below, F.lit(". Investigate checkout flow for friction points.")),
-        )
-        .otherwise(F.concat(state, F.lit(" "), kind, F.lit(": "), below, F.lit(". Monitor weekly.")))
+        F.when(kind.isin(*CRITICAL_PAYMENT_TYPES), text["routing"])
+        .when((kind == "credit_card") & (score > cfg.push_plan_score), text["plan"])
+        .when((kind == "boleto") & (score > cfg.offer_upgrade_score), text["upgrade"])
+        .when(gap > cfg.friction_pct, text["friction"])
+        .otherwise(text["watch"])
     )
     alerts = rated.withColumns({"alert_flag": gap > cfg.leakage_alert_pct, "remediation": remedy})
     return rank_rows(alerts, "alert_rank", [F.desc("leakage_score"), F.asc("state"), F.asc("payment_type")])

@@ -15,8 +15,9 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.config import CONFIDENCE_REASONS, CONFIDENCE_TIERS, OVERRIDE_REASON_BATCH, Config
+from martloom.config import CONFIDENCE_REASONS, CONFIDENCE_TIERS, OVERRIDE_REASON_BATCH, OVERRIDE_REASON_CHECKOUT, Config
 from martloom.functions.numbers import half_even, is_true, lookup, tier
+from martloom.functions.text import fill
 from martloom.operators.dense import dense_levels
 from martloom.operators.quantiles import exact_quantile
 from martloom.operators.ranking import stratified_fold
@@ -216,14 +217,7 @@ def decide(scored: DataFrame, columns: list[str], cfg: Config = Config()) -> Dat
     p = F.col("_p")
     model_tier = tier(p, CONFIDENCE_TIERS)
     chosen = F.when(override, CONFIDENCE_TIERS[0][1]).otherwise(model_tier)
-    reason = F.concat(
-        F.lit("LEAKAGE OVERRIDE: "),
-        F.col("customer_state"),
-        F.lit(
-            f" credit card order > R${cfg.hvc_spend_threshold:.2f}. "
-            "Always surface 12-installment per Module 5 rule layer."
-        ),
-    )
+    reason = fill(OVERRIDE_REASON_CHECKOUT, state=F.col("customer_state"), threshold=f"{cfg.hvc_spend_threshold:.2f}")
     kept = [c for c in columns if c not in ("customer_state", "avg_order_value")]
     return scored.select(
         *kept,

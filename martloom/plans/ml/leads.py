@@ -257,7 +257,7 @@ def conversion_training(mql: DataFrame, acquisition: DataFrame, cfg: Config = Co
 
 
 def conversion_classifier(
-    mql: DataFrame, acquisition: DataFrame, cut: Cut, cfg: Config = Config(), feature_sets: dict | None = None, at_once: int = 5
+    mql: DataFrame, acquisition: DataFrame, cut: Cut, cfg: Config = Config(), feature_sets: dict | None = None, at_once: int = 10
 ) -> DataFrame:
     """Cross-validated area under the precision-recall curve, next to the positive rate it must beat.
 
