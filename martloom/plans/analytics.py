@@ -33,7 +33,7 @@ def _seller_points(m: Marts) -> DataFrame:
 
 
 def _triggers(m: Marts) -> DataFrame:
-    return marketing.trigger_segments(m.mart(PROFILE), m.mart(REPEAT), m.cfg)
+    return marketing.trigger_segments(m.mart(PROFILE), m.mart(REPEAT), m.cfg, m.part("customer_quantiles"))
 
 
 def _audiences(m: Marts) -> DataFrame:
@@ -63,7 +63,9 @@ ANALYTICS: dict[str, Callable[[Marts], DataFrame]] = {
     "audience_segments": _audiences,
     "segment_summary": lambda m: marketing.segment_summary(_audiences(m)),
     "hvc_loyal_top_categories": lambda m: marketing.hvc_loyal_top_categories(_audiences(m)),
-    "executive_kpis": lambda m: kpis.executive_kpis(m.mart(PROFILE), m.mart(REPEAT), m.cfg),
+    "executive_kpis": lambda m: kpis.executive_kpis(
+        m.mart(PROFILE), m.mart(REPEAT), m.cfg, m.part("customer_quantiles")
+    ),
 }
 
 # report -> sort columns, a leading minus for descending

@@ -12,7 +12,9 @@ from martloom.functions.aggregates import exact_sum
 from martloom.operators.quantiles import exact_quantile
 
 
-def executive_kpis(profile: DataFrame, repeat: DataFrame, cfg: Config = Config()) -> DataFrame:
+def executive_kpis(
+    profile: DataFrame, repeat: DataFrame, cfg: Config = Config(), quantiles: DataFrame | None = None
+) -> DataFrame:
     """Long table (kpi, segment, value): threshold, high-value share, revenue concentration, repeat rates, spend per order."""
     high = F.col("is_high_value") == 1
     totals = profile.agg(
@@ -22,7 +24,12 @@ def executive_kpis(profile: DataFrame, repeat: DataFrame, cfg: Config = Config()
         exact_sum("total_spend").alias("total_revenue"),
     ).withColumn("hvc_revenue_share", F.col("hvc_revenue") / F.nullif("total_revenue", F.lit(0.0)))
     overall = totals.unpivot([], totals.columns, "kpi", "value").select("kpi", F.lit("all").alias("segment"), "value")
-    threshold = exact_quantile(profile, "total_spend", cfg.hvc_quantile, name="value").select(
+    found = (
+        exact_quantile(profile, "total_spend", cfg.hvc_quantile, name="value")
+        if quantiles is None
+        else quantiles.select(F.col("spend_quantile").alias("value"))
+    )
+    threshold = found.select(
         F.lit("hvc_spend_threshold").alias("kpi"), F.lit("all").alias("segment"), "value"
     )
     repeats = repeat.groupBy(F.when(high, "high_value").otherwise("regular").alias("segment")).agg(

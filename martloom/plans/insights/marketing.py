@@ -13,12 +13,19 @@ from martloom.functions.numbers import flag, half_even, lookup
 from martloom.operators.quantiles import exact_quantile
 
 
-def trigger_segments(profile: DataFrame, repeat: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Five 0/1 triggers per customer, how many are active, and the first active one with its action."""
+def trigger_segments(
+    profile: DataFrame, repeat: DataFrame, cfg: Config = Config(), quantiles: DataFrame | None = None
+) -> DataFrame:
+    """Five 0/1 triggers per customer, how many are active, and the first active one with its action.
+
+    ``quantiles``: the row of :func:`martloom.plans.marts.customers.customer_quantiles`, if it is at hand.
+    """
     facts = profile.join(
         repeat.select("customer_unique_id", "is_repeat_customer", "days_active"), "customer_unique_id", "left"
     )
-    median = exact_quantile(profile, "avg_order_value", 0.5).scalar()
+    median = (
+        exact_quantile(profile, "avg_order_value", 0.5) if quantiles is None else quantiles.select("median_order_value")
+    ).scalar()
     value, kind = F.col("avg_order_value"), F.col("preferred_payment_type")
     above = value > cfg.hvc_spend_threshold
     conditions = (

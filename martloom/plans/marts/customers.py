@@ -90,6 +90,12 @@ def customer_payment_profile(
     )
 
 
+def customer_quantiles(profile: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """One row: the spend from which a customer is of high value, and the median order value."""
+    spend = exact_quantile(profile, "total_spend", cfg.hvc_quantile, name="spend_quantile")
+    return spend.withColumn("median_order_value", exact_quantile(profile, "avg_order_value", 0.5).scalar())
+
+
 def geo_payment_summary(profile: DataFrame) -> DataFrame:
     """Per state. The two payment shares are true shares of customers (0..1)."""
     high = F.col("is_high_value") == 1

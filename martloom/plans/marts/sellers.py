@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.aggregates import exact_mean, exact_sum
+from martloom.functions.aggregates import join_parts, sum_parts
 from martloom.operators.keys import completed
 
 
@@ -15,11 +17,14 @@ def seller_performance(
     sellers: DataFrame,
     reviewed: DataFrame,
     categories: DataFrame,
+    cut: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Orders, revenue, mean item price, review mean (a missing review counts 0) and breadth per seller.
 
     Completed orders and their review mean are put together first, so the items meet one
-    order-level side instead of two. The seller's own columns join after the aggregation.
+    order-level side instead of two. The sold items are aggregated once per (seller, order) and once per
+    (seller, category): two distinct counts in one aggregation would triple the rows before the shuffle. ``cut`` writes
+    the sold items once for both. The seller's own columns join after the aggregation.
     """
     scored = (
         completed(orders)
@@ -31,16 +36,34 @@ def seller_performance(
         .select("order_id", "seller_id", "product_id", "price")
         .join(scored, "order_id")
         .join(categories, "product_id", "left")
+        .select(
+            "seller_id",
+            "order_id",
+            "price",
+            F.coalesce("score", F.lit(0.0)).alias("score"),
+            F.coalesce("product_category_en", F.lit("unknown")).alias("category"),
+        )
+    )
+    if cut is not None:
+        sold = cut(sold, "sold-items")
+    price, score = sum_parts("price"), sum_parts("score")
+    prices, scores = [f"_p{i}" for i in range(len(price))], [f"_s{i}" for i in range(len(score))]
+    per_order = sold.groupBy("seller_id", "order_id").agg(
+        F.count("price").alias("_priced"),
+        F.count("*").alias("_items"),
+        *[c.alias(n) for c, n in zip(price + score, prices + scores)],
     )
-    per_seller = sold.groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.coalesce(exact_sum("price"), F.lit(0.0)).alias("total_revenue"),
-        exact_mean("price").alias("avg_order_value"),
-        exact_mean(F.coalesce("score", F.lit(0.0))).alias("avg_review_score"),
-        F.count_distinct(F.coalesce("product_category_en", F.lit("unknown"))).alias("unique_categories"),
-        F.count("price").alias("total_items_sold"),
+    revenue, points = join_parts([F.sum(n) for n in prices]), join_parts([F.sum(n) for n in scores])
+    per_seller = per_order.groupBy("seller_id").agg(
+        F.count("*").alias("total_orders"),
+        F.coalesce(revenue, F.lit(0.0)).alias("total_revenue"),
+        (revenue / F.nullif(F.sum("_priced"), F.lit(0))).alias("avg_order_value"),
+        (points / F.sum("_items")).alias("avg_review_score"),
+        F.sum("_priced").alias("total_items_sold"),
     )
-    return per_seller.join(sellers.select("seller_id", "seller_state", "seller_city"), "seller_id", "left").select(
+    breadth = sold.select("seller_id", "category").distinct().groupBy("seller_id").agg(F.count("*").alias("unique_categories"))
+    named = sellers.select("seller_id", "seller_state", "seller_city")
+    return per_seller.join(breadth, "seller_id").join(named, "seller_id", "left").select(
         "seller_id",
         F.coalesce("seller_state", F.lit("")).alias("seller_state"),
         F.coalesce("seller_city", F.lit("")).alias("seller_city"),

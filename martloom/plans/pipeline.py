@@ -52,7 +52,7 @@ class Marts:
         cfg: Config = Config(),
         analysis_date: Column | None = None,
         cut: Callable[[DataFrame, str], DataFrame] | None = None,
-        shared: tuple[str, ...] = ("product_categories",),
+        shared: tuple[str, ...] = ("product_categories", "customer_quantiles"),
     ):
         self.raw = {name: finite_columns(df) for name, df in raw.items()}
         self.cfg, self.analysis_date = cfg, analysis_date
@@ -72,6 +72,8 @@ class Marts:
             "payments_by_order": lambda: common.payments_by_order(r["order_payments"]),
             "reviews_by_order": lambda: common.reviews_by_order(r["order_reviews"]),
             "product_categories": lambda: common.product_categories(r["products"], r["category_translation"]),
+            # one row, found once and read by every report over the customers
+            "customer_quantiles": lambda: customers.customer_quantiles(self.mart(PROFILE), self.cfg),
         }[name]()
         if self._cut is not None and name in self.shared:
             part = self._ready[name] = self._cut(part, name)
@@ -89,7 +91,7 @@ class Marts:
             ),
             ACQUISITION: lambda: leads.seller_acquisition(r["closed_deals"], r["mql"]),
             "mart_seller_performance": lambda: sellers.seller_performance(
-                r["order_items"], r["orders"], r["sellers"], part("reviews_by_order"), part("product_categories")
+                r["order_items"], r["orders"], r["sellers"], part("reviews_by_order"), part("product_categories"), self._cut
             ),
             "mart_product_price_range": lambda: products.product_price_range(
                 r["order_items"], r["orders"], part("product_categories")
