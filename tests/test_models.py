@@ -240,3 +240,15 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_dir(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(Session("yarn", None))
+
+
+def test_checkout_of_a_new_customer(spark):
+    from martloom.streaming.checkout import checkout_events
+
+    detail = spark.createDataFrame(
+        [("o1", "known", "SP", 10.0, "boleto"), ("o2", "new", "SP", 20.0, "credit_card")],
+        "order_id string, customer_unique_id string, customer_state string, total_payment_value double, payment_type string",
+    )
+    profile = spark.createDataFrame([("known", 4, 1)], "customer_unique_id string, total_orders bigint, is_high_value int")
+    got = {r.order_id: (r.total_orders, r.is_high_value) for r in checkout_events(detail, profile).collect()}
+    assert got == {"o1": (4, 1), "o2": (1, 0)}

@@ -182,3 +182,19 @@ def test_mapping_for_new_rows(spark):
     new = spark.createDataFrame([("a",), ("new",)], "c string")
     got = {r.c: r.c_enc for r in apply_mapping(new, mapping, ["c"], F.lit(30.0)).collect()}
     assert got == {"a": (30 + 10 * 30) / 12, "new": 30.0}
+
+
+def test_out_of_fold_encoding_leaves_rows_where_they_are(spark):
+    df = spark.range(300).repartition(7).select(
+        "id", (F.col("id") % 4).cast("string").alias("c"), F.col("id").alias("y"), (F.col("id") % 5).alias("fold"), F.spark_partition_id().alias("was")
+    )
+    df = spark.createDataFrame(df.collect(), df.schema).repartitionByRange(7, "id").withColumn("was", F.spark_partition_id())
+    out = encode_out_of_fold(df, ["c"], "y", "fold", 1.0)
+    assert out.where(F.col("was") != F.spark_partition_id()).count() == 0 and out.count() == 300
+
+
+def test_out_of_fold_encoding_of_unseen_and_missing_categories(spark):
+    rows = [(1, "a", 10.0, 0), (2, "a", 20.0, 1), (3, "only", 30.0, 0), (4, None, 40.0, 1)]
+    df = spark.createDataFrame(rows, "id int, c string, y double, fold int")
+    got = {r.id: r.c_enc for r in encode_out_of_fold(df, ["c"], "y", "fold", 0.0).collect()}
+    assert got == {1: 20.0, 2: 10.0, 3: 25.0, 4: 25.0}

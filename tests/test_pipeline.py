@@ -334,3 +334,14 @@ def test_bucketed_customer_marts_join_without_shuffle(spark, shop, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         for name in ("mart_customer_payment_profile", "mart_repeat_customer"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_seller_plan_does_not_multiply_rows(spark, shop):
+    marts = Marts(read_all_raw(spark, shop), cut, Config(), cut=cut)
+    assert "Expand" not in marts.define("mart_seller_performance")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_customer_quantiles_are_found_once(spark, shop):
+    marts = Marts(read_all_raw(spark, shop), cut, Config(), cut=cut)
+    first = marts.part("customer_quantiles")
+    assert first is marts.part("customer_quantiles") and first.count() == 1
