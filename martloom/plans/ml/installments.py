@@ -34,7 +34,8 @@ def fit_features(profile: DataFrame, cfg: Config = Config()) -> PipelineModel:
     """Feature stages, fitted: state index in alphabetical order, logs, flags, vector.
 
     A state not seen in training counts as the default state, a missing order value as the
-    training median. Both become constants of the saved pipeline, so batch and stream agree.
+    training median. Both become constants of the saved pipeline, so batch and stream agree. The index holds every
+    value of ``customer_state``, which has to be a state: some dozens of values, not a free text.
     """
     known = profile.select(F.coalesce("customer_state", F.lit(cfg.default_state)).alias("_state"))
     indexer = StringIndexer(inputCol="_state", outputCol="state_encoded", stringOrderType="alphabetAsc").fit(known)

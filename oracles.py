@@ -248,6 +248,23 @@ MART_PIECES = {
     "mart_mql_monthly": "mql_monthly",
     "mart_lead_behaviour": "behaviour",
 }
+# a column of each mart to add up
+MART_AMOUNTS = {
+    "mart_customer_payment_profile": "total_spend",
+    "mart_order_payment_detail": "total_payment_value",
+    "mart_seller_acquisition": "declared_monthly_revenue",
+    "mart_seller_performance": "total_revenue",
+    "mart_product_price_range": "total_revenue",
+    "mart_geo_payment_summary": "total_revenue",
+    "mart_monthly_revenue": "total_revenue",
+    "mart_payment_leakage": "leakage_score",
+    "mart_hv_category_preference": "total_spend",
+    "mart_repeat_customer": "total_orders",
+    "mart_review_by_segment": "total_reviews",
+    "mart_mql_funnel": "total_leads",
+    "mart_mql_monthly": "total_leads",
+    "mart_lead_behaviour": "total_deals",
+}
 ORACLES: dict[str, str] = {
     "mart_customer_payment_profile": with_pieces("profile", "SELECT * FROM profile"),
     "mart_order_payment_detail": with_pieces("detail", "SELECT * FROM detail"),
@@ -599,6 +616,10 @@ UNION ALL SELECT 'geolocation', count(*), count(c_custkey), round_even({money('c
 UNION ALL SELECT 'order_reviews', count(*), count(review_id), CAST(sum(review_score) AS DOUBLE) FROM order_reviews
 UNION ALL SELECT 'mql', count(*), count(mql_id), NULL FROM mql
 UNION ALL SELECT 'closed_deals', count(*), count(mql_id), round_even({money('declared_monthly_revenue')}, 6) FROM closed_deals"""),
+    "mart_csv_all": with_pieces(" ".join(MART_PIECES.values()), "\nUNION ALL ".join(
+        f"SELECT '{mart}' AS mart, count(*) AS row_count, round_even({money(f'CAST({MART_AMOUNTS[mart]} AS DOUBLE)')}, 6) AS total FROM {name}"
+        for mart, name in MART_PIECES.items()
+    )),
     "export_marts": with_pieces(" ".join(MART_PIECES.values()), "\nUNION ALL ".join(
         f"SELECT '{mart}' AS mart, count(*) AS row_count FROM {name}" for mart, name in MART_PIECES.items()
     )),

@@ -190,6 +190,17 @@ def mart_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart_tables.read_mart_csv(spark, "mart_monthly_revenue", path)
 
 
+def mart_csv_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All marts through their CSV form: rows, and the total of a column, after they are read back."""
+    folder, reports = f"{scratch_dir(spark)}/csv-{uuid.uuid4().hex}", []
+    for name, amount in oracles.MART_AMOUNTS.items():
+        mart_tables.write_csv(marts(spark, sf_dir).mart(name), f"{folder}/{name}")
+        back = mart_tables.read_mart_csv(spark, name, f"{folder}/{name}")
+        total = half_even(exact_sum(F.col(amount).cast("double")), 6)
+        reports.append(back.agg(F.count("*").alias("row_count"), total.alias("total")).select(F.lit(name).alias("mart"), "*"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All marts through the export, and the row counts that arrived."""
     folder = f"{scratch_dir(spark)}/export-{uuid.uuid4().hex}"
@@ -442,6 +453,7 @@ QUERIES |= {name: partial(_analytics, name) for name in ANALYTICS}
 QUERIES |= {"seller_points": seller_points, "tier_summary": tier_summary, "category_timing": category_timing}
 QUERIES |= {
     "mart_csv_round_trip": mart_csv_round_trip,
+    "mart_csv_all": mart_csv_all,
     "export_marts": export_marts,
     "mart_versions": mart_versions,
     "cross_validation_folds": cross_validation_folds,

@@ -163,3 +163,11 @@ def test_exact_mean_does_not_depend_on_the_order(spark):
     assert len(got) == 1
     assert got.pop() == pytest.approx(math.fsum(values) / len(values), rel=1e-12)
     assert column(spark, [None]).agg(A.exact_mean("x")).first()[0] is None
+
+
+def test_fill_puts_columns_and_texts_into_a_template(spark):
+    from martloom.functions.text import fill
+
+    df = spark.createDataFrame([("SP", 3), (None, 4)], "state string, n int")
+    got = [r[0] for r in df.select(fill("In {state}: {n} {what}.", state=F.col("state"), n=F.col("n").cast("string"), what="orders")).collect()]
+    assert got == ["In SP: 3 orders.", None]
