@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.arrays import pieces
 from martloom.llm.common import cut, id_and_text
-from martloom.llm.tokens import WordCache
+from martloom.llm.tokens import worker_cache
 
 Pattern = tuple[tuple[int, int], ...]  # (length, copies) by falling length
 
@@ -176,7 +176,7 @@ def tokenized(docs: DataFrame, tokenizer: str, room: int = 4096, end_id: int = 1
     """Pieces of the tokenized documents: doc_id, piece, start, length, ids_crc32 (of unsigned 32-bit ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(tokenizer)
+        cache = worker_cache(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         for batch in pieces(batches):
             out: list[list] = [[] for _ in range(5)]
@@ -198,11 +198,11 @@ def pack(docs: DataFrame, tokenizer: str, room: int = 4096, end_id: int = 1, buc
     """All documents in sequences of at most ``room`` tokens: the pieces, their sequence_id and offset.
 
     A NULL or empty text is one piece that holds only the end token. Documents that repeat a doc_id are packed each. No
-    documents, no rows. ``buckets``: parts in which the pieces of one length are numbered, by default ten times the
+    documents, no rows. ``buckets``: parts in which the pieces of one length are numbered, by default as many as
     shuffle partitions; each holds that share of the pieces of a length.
     """
     spark = docs.sparkSession
-    buckets = buckets or 10 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = cut(tokenized(docs, tokenizer, room, end_id), "pieces")
     part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int")
     found = found.withColumn("part", part)
