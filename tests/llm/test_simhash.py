@@ -78,3 +78,44 @@ def test_keep_first(docs, all_rows):
 def test_empty_table(empty_docs):
     assert simhash.near_duplicates(empty_docs).collect() == []
     assert simhash.keep_first(empty_docs).collect() == []
+
+
+def jaccard(a, b, n=5):
+    sets = []
+    for t in (a, b):
+        w = t.encode().translate(LOWER).split()
+        sets.append({tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set())
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1
+
+
+def edited(seed, docs=12, copies=6):
+    """Texts, and copies of them with more and more words replaced, which link by fingerprint long after 0.8."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for _ in range(docs):
+        base = [f"w{x}" for x in rng.integers(0, 10_000, 80)]
+        out.append(base)
+        for k in range(copies):
+            words = list(base)
+            for i in rng.choice(80, k, replace=False):
+                words[i] = f"x{rng.integers(0, 10_000)}"
+            out.append(words)
+    return [(i, " ".join(w)) for i, w in enumerate(out)]
+
+
+@pytest.mark.parametrize(("tile", "turns"), [(16384, simhash.TURNS), (8, (1, 2, None))])
+def test_keep_first_confirms_links(spark, monkeypatch, tile, turns):
+    monkeypatch.setattr(simhash, "TURNS", turns)
+    rows = edited(1)
+    prints = {i: brute_print(t, 5, 42) | brute_print(t, 5, 43) << 64 for i, t in rows}
+    group, unlike = {i: i for i, _ in rows}, 0
+    for i, s in rows:
+        for j, t in rows:
+            if i < j and (prints[i] ^ prints[j]).bit_count() <= 25:
+                if jaccard(s, t) < 0.8:
+                    unlike += 1
+                    continue
+                a, b = sorted((group[i], group[j]))
+                group = {x: a if g == b else g for x, g in group.items()}
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), tile=tile)
+    assert unlike and sorted(r.doc_id for r in kept.collect()) == [i for i, _ in rows if group[i] == i]
