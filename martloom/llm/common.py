@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import martloom
@@ -49,4 +49,9 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-__all__ = ["cut", "id_and_text", "prepared", "table"]
+def text_digest() -> Column:
+    """Tells the texts of rows apart; a NULL text is an empty one."""
+    return F.md5(F.coalesce("text", F.lit("")))
+
+
+__all__ = ["cut", "id_and_text", "prepared", "table", "text_digest"]

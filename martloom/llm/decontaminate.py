@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm import arrays
-from martloom.llm.common import cut, id_and_text, prepared
+from martloom.llm.common import cut, id_and_text, prepared, text_digest
 
 WINDOW, COVER, LITERALS = 8, 0.5, 4
 #: Slots of a filter of benchmark windows that documents are read with; its size does not depend on any data.
@@ -108,7 +108,7 @@ class Tokens:
         return text[ok], start[ok] - self.first[text[ok]], h[ok]
 
 
-_WINDOWS = "id long, size int, place int, of int, hash long, slots array<long>"
+_WINDOWS = "id long, row string, size int, place int, of int, hash long, slots array<long>"
 
 
 def _windows(column: str, sizes: list[int] | None, size: int, keep: np.ndarray | None):
@@ -132,13 +132,14 @@ def _windows(column: str, sizes: list[int] | None, size: int, keep: np.ndarray |
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(column).take(pa.array(text)),
+                        batch.column("row").take(pa.array(text)),
                         pa.array(np.full(len(text), n, np.int32)),
                         pa.array(place.astype(np.int32)),
                         pa.array((count[text] - n + 1).astype(np.int32)),
                         pa.array(h),
                         pa.array(held, pa.list_(pa.int64())),
                     ],
-                    ["id", "size", "place", "of", "hash", "slots"],
+                    ["id", "row", "size", "place", "of", "hash", "slots"],
                 )
 
     return run
@@ -149,11 +150,18 @@ def contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover
 
     ``coverage`` is the share of the item's windows that consistent alignments match, at least ``cover``; ``slots`` the
     item's distinct values at placeholders there, ``changed`` those that the document replaces. Texts that are NULL, empty or
-    without words contain nothing and are contained in nothing; items of fewer than ``window`` tokens match as a whole. Rows
-    with a NULL id count under NULL. Documents that repeat a doc_id are one document, items that repeat an item_id one item.
+    without words contain nothing and are contained in nothing; items of fewer than ``window`` tokens match as a whole.
+    Documents that repeat a doc_id are one document, items that repeat an item_id one item, and the best of its texts counts.
+    Each text without a doc_id is a document of its own, with its own rows under NULL.
     """
+    return _contained(docs, benchmark, window, cover).drop("own")
+
+
+def _contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
+    """What :func:`contained` returns, and own, which tells documents without a doc_id apart (NULL for others)."""
     prepared(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    items = items.withColumn("row", text_digest())
     items = cut(items.mapInArrow(_windows("item_id", None, window, None), _WINDOWS), "benchmark-windows")
     # bounded: the window sizes, and the places in the filter
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())
@@ -165,11 +173,11 @@ def contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _windows("doc_id", sizes, window, np.unpackbits(sent.value))(batches)
 
-    seen = id_and_text(docs).mapInArrow(run, _WINDOWS)
-    items = items.selectExpr("id AS item_id", "size", "place AS item_place", "of AS item_windows", "hash", "slots AS item_slots")
-    hits = seen.select(F.col("id").alias("doc_id"), "size", "place", "hash", "slots").join(items, ["hash", "size"])
+    seen = id_and_text(docs).withColumn("row", text_digest()).mapInArrow(run, _WINDOWS)
+    items = items.selectExpr("id AS item_id", "row AS item_row", "size", "place AS item_place", "of AS item_windows", "hash", "slots AS item_slots")
+    hits = seen.select(F.col("id").alias("doc_id"), "row", "size", "place", "hash", "slots").join(items, ["hash", "size"])
     hits = hits.where("size(slots) = size(item_slots)").withColumn("shift", F.expr("place - item_place"))
-    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(
+    aligned = hits.groupBy("doc_id", "row", "item_id", "item_row", "shift").agg(
         F.collect_set("item_place").alias("places"),
         F.max("item_windows").alias("item_windows"),
         F.array_distinct(
@@ -179,8 +187,9 @@ def contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover
     was = F.array_distinct(F.transform("pairs", lambda p: p["was"]))
     consistent = aligned.where(F.size(was) == F.size("pairs"))
     changed = F.size(F.filter("pairs", lambda p: p["was"] != p["now"]))
-    consistent = consistent.select("doc_id", "item_id", "item_windows", "places", F.size("pairs").alias("slots"), changed.alias("changed"))
-    found = consistent.groupBy("doc_id", "item_id").agg(
+    own = F.when(F.col("doc_id").isNull(), F.col("row")).alias("own")
+    consistent = consistent.select("doc_id", own, "item_id", "item_row", "item_windows", "places", F.size("pairs").alias("slots"), changed.alias("changed"))
+    found = consistent.groupBy("doc_id", "own", "item_id", "item_row").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("windows"),
         F.max("item_windows").alias("item_windows"),
         F.max("slots").cast("long").alias("slots"),
@@ -188,11 +197,15 @@ def contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover
     )
     found = found.withColumn("coverage", F.col("windows") / F.col("item_windows")).where(F.col("coverage") >= cover)
     kind = F.when(F.col("changed") > 0, "reparameterised").otherwise("verbatim")
-    return found.select("doc_id", "item_id", "windows", "coverage", "slots", "changed", kind.alias("kind"))
+    best = F.max(F.struct("coverage", "windows", "slots", "changed")).alias("best")
+    found = found.groupBy("doc_id", "own", "item_id").agg(best).select("doc_id", "own", "item_id", "best.*")
+    return found.select("doc_id", "own", "item_id", "windows", "coverage", "slots", "changed", kind.alias("kind"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows, with all their columns, of documents that contain no benchmark item."""
-    hit = contained(docs, benchmark).select(F.col("doc_id").alias("hit_doc")).distinct()
+    hit = _contained(docs, benchmark).select(F.col("doc_id").alias("hit_doc"), F.col("own").alias("hit_own")).distinct()
     hit = cut(hit, "contaminated")
-    return docs.join(hit, docs["doc_id"].cast("long").eqNullSafe(hit["hit_doc"]), "left_anti")
+    known = docs["doc_id"].cast("long")
+    own = F.when(known.isNull(), F.md5(F.coalesce(docs["text"], F.lit(""))))
+    return docs.join(hit, known.eqNullSafe(hit["hit_doc"]) & own.eqNullSafe(hit["hit_own"]), "left_anti")

@@ -13,18 +13,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm import arrays
-from martloom.llm.common import cut, id_and_text
+from martloom.llm.common import cut, id_and_text, text_digest
 
 #: Fingerprints of one tile; 16 bytes each per lane and id.
 TILE = 16384
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: Stands for a NULL doc_id while components are found; it counts as the largest.
-_NO_ID = (1 << 63) - 1
 
 
 def _spaced(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,7 +72,7 @@ def _shingled(column: pa.Array, words: int) -> tuple[list[bytes], np.ndarray]:
 def fingerprints(docs: DataFrame, words: int = 3, lanes: int = 1, seed: int = 42, digest: bool = False) -> DataFrame:
     """doc_id and f0, f1, ...: ``lanes`` times 64 bits, lane i from XXH64 with seed + i of the shingles, a-z for A-Z.
 
-    ``digest``: also the text's digest, see :func:`text_digest`.
+    ``digest``: also the text's digest, see :func:`~martloom.llm.common.text_digest`.
     """
     names = [f"f{i}" for i in range(lanes)]
     own = ["doc_id", "digest"] if digest else ["doc_id"]
@@ -268,19 +266,19 @@ def near_duplicates(docs: DataFrame, words: int = 3, lanes: int = 1, radius: int
     """doc_id, f0, ... and component_id, the smallest doc_id that links of at most ``radius`` differing bits reach.
 
     A NULL text is an empty one; texts without words have fingerprint 0 and link like any other. Rows that repeat a doc_id
-    keep each their fingerprint. A NULL doc_id stays NULL, counts as the largest, and is the component_id only of
-    components without any other. No rows, no rows.
+    keep each their fingerprint and do not link by it. A NULL doc_id stays NULL, counts as the largest, and is the
+    component_id only of components without any other. No rows, no rows.
     """
     names = [f"f{i}" for i in range(lanes)]
-    marked = fingerprints(docs, words, lanes).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)))
-    marked = cut(marked, "fingerprints")
-    nodes = cut(marked.groupBy(*names).agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
-    # rows that share a doc_id may be the smallest of two fingerprints; they are one node in the forest
-    roots = components(links(nodes, lanes, radius, tile))
-    rooted = nodes.join(roots, "node", "left").withColumn("component_id", F.coalesce("root", "node"))
-    out = marked.join(rooted.select(*names, "component_id"), names)
-    known = [F.nullif(c, F.lit(_NO_ID)).alias(c) for c in ("doc_id", "component_id")]
-    return out.select(known[0], *names, known[1])
+    marked = cut(fingerprints(docs, words, lanes), "fingerprints")
+    nodes = marked.groupBy(*names).agg(F.min("doc_id").alias("least"))
+    # a key of its own: several fingerprints may share their smallest doc_id, or have none
+    nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "distinct-fingerprints")
+    roots = components(links(nodes.drop("least"), lanes, radius, tile))
+    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    out = marked.join(rooted.join(first, "root").select(*names, "component_id"), names)
+    return out.select("doc_id", *names, "component_id")
 
 
 #: Near copies among documents: links of 128 bits, at least 0.8 of them equal, that five-word shingles confirm.
@@ -289,11 +287,6 @@ COPIES = {"words": 5, "lanes": 2, "radius": 25}
 TURNS = (1, 16, 256, None)
 
 
-def text_digest() -> Column:
-    """Tells the texts of rows apart; a NULL text is an empty one."""
-    return F.md5(F.coalesce("text", F.lit("")))
-
-
 def alike(links: DataFrame, sets: DataFrame) -> DataFrame:
     """The links (a, b) whose ends have a Jaccard similarity of their shingles of 0.8 or more; no shingles equal none."""
     ends = links.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a")

@@ -110,3 +110,9 @@ def test_empty_tables(tables, empty_docs):
     assert decontaminate.contained(empty_docs, benchmark).collect() == []
     assert decontaminate.contained(docs, benchmark.where("item_id < 0")).collect() == []
     assert decontaminate.clean(docs, benchmark.where("item_id < 0")).count() == len(DOCS)
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark, tables):
+    docs = spark.createDataFrame([(None, SAME), (None, "clean text about nothing"), (None, None)], "doc_id long, text string")
+    kept = decontaminate.clean(docs.repartition(2), tables[1])
+    assert sorted((r.text for r in kept.collect()), key=repr) == ["clean text about nothing", None]

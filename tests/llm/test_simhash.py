@@ -119,3 +119,18 @@ def test_keep_first_confirms_links(spark, monkeypatch, tile, turns):
                 group = {x: a if g == b else g for x, g in group.items()}
     kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), tile=tile)
     assert unlike and sorted(r.doc_id for r in kept.collect()) == [i for i, _ in rows if group[i] == i]
+
+
+def test_rows_without_or_with_one_id_do_not_link(spark):
+    rng = np.random.default_rng(2)
+    a, b, c, d = (" ".join(f"w{x}" for x in rng.integers(0, 10_000, 60)) for _ in range(4))
+    rows = [(5, a), (None, a), (9, b), (None, b), (None, c), (None, d), (3, c + " x"), (3, d + " y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    prints = [brute_print(t) for _, t in rows]
+    # the texts of doc_id 3 are near two that have no id
+    expected = zip((i for i, _ in rows), prints, brute_components(prints, [i for i, _ in rows], 6), strict=True)
+    got = [(r.doc_id, r.f0 & (1 << 64) - 1, r.component_id) for r in simhash.near_duplicates(df, radius=6).collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    assert {(i, k) for i, _, k in got if i in (5, 9)} == {(5, 5), (9, 9)}
+    kept = simhash.keep_first(spark.createDataFrame([*rows[:6], (None, c)], df.schema).repartition(3))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(5, a), (9, b), (None, c), (None, d)], key=repr)
