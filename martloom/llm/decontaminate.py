@@ -2,7 +2,8 @@
 
 Text is canonicalised to a sequence of tokens: a number is a placeholder, a unit after a number another, a capitalised word
 inside a sentence a third; every other word stands for itself in lower case, signs are dropped. Windows of ``window``
-tokens are joined by hash with those of the benchmark. What stood at the placeholders are a window's slots: along one
+tokens are joined by hash with those of the benchmark; a window with few words that stand for themselves is joined as it
+stands, numbers, units and names included. What stood at the placeholders are a window's slots: along one
 alignment of a document with an item, a value of the item must always meet the same value in the document. An item counts
 as contained if consistent alignments cover enough of its windows.
 """
@@ -76,7 +77,7 @@ class Tokens:
         start, end = change[word], stop[word]
         self.first = np.searchsorted(start, at)
         if not len(start):
-            self.hashes = self.slots = np.zeros(0, np.uint64)
+            self.hashes = self.slots = self.own = np.zeros(0, np.uint64)
             return
         low = _LOWER[data]
         own = arrays.span_hashes(low, start, end)
@@ -92,23 +93,27 @@ class Tokens:
         second = np.minimum(start + 1, len(data) - 1)
         capital = (data[start] >= 65) & (data[start] <= 90) & (end - start > 1) & (data[second] > 90)
         name = ~number & ~unit & ~begins & capital
+        self.own = own
         self.hashes = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, own)))
         self.slots = np.where(number | unit | name, own, np.uint64(0))
 
-    def windows(self, size: int, literals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, place in it and hash of every window that has at least ``literals`` words that stand for themselves."""
+    def windows(self, size: int, literals: int, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, place in it and hash of every window that has at least ``literals`` words that stand for themselves.
+
+        ``plain``: of every other window, and each word in them stands for itself.
+        """
         if len(self.hashes) < size:
             none = np.zeros(0, np.int64)
             return none, none, none
-        h = arrays.gram_hashes(self.hashes, size).view(np.int64) ^ np.int64(size)
-        plain = np.concatenate([[0], np.cumsum(self.slots == 0)])
+        h = arrays.gram_hashes(self.own if plain else self.hashes, size).view(np.int64) ^ np.int64(-size if plain else size)
+        literal = np.concatenate([[0], np.cumsum(self.slots == 0)])
         start = np.arange(len(h))
         text = np.searchsorted(self.first, start, "right") - 1
-        ok = (start + size <= self.first[text + 1]) & (plain[size:] - plain[:-size] >= literals)
+        ok = (start + size <= self.first[text + 1]) & ((literal[size:] - literal[:-size] >= literals) != plain)
         return text[ok], start[ok] - self.first[text[ok]], h[ok]
 
 
-_WINDOWS = "id long, row string, size int, place int, of int, hash long, slots array<long>"
+_WINDOWS = "id long, row string, size int, place int, of int, plain boolean, hash long, slots array<long>"
 
 
 def _windows(column: str, sizes: list[int] | None, size: int, keep: np.ndarray | None):
@@ -119,8 +124,9 @@ def _windows(column: str, sizes: list[int] | None, size: int, keep: np.ndarray |
             tokens = Tokens(*arrays.texts(batch.column("text")))
             count = np.diff(tokens.first)
             # an item of fewer tokens than a window is one window, of its own size
-            for n in sizes if sizes is not None else sorted({min(size, int(c)) for c in count if c}):
-                text, place, h = tokens.windows(n, min(n, LITERALS))
+            wanted = sizes if sizes is not None else sorted({min(size, int(c)) for c in count if c})
+            for n, plain in [(n, plain) for n in wanted for plain in (False, True)]:
+                text, place, h = tokens.windows(n, min(n, LITERALS), plain)
                 if sizes is None:
                     ok = np.minimum(count[text], size) == n
                 else:
@@ -136,10 +142,11 @@ def _windows(column: str, sizes: list[int] | None, size: int, keep: np.ndarray |
                         pa.array(np.full(len(text), n, np.int32)),
                         pa.array(place.astype(np.int32)),
                         pa.array((count[text] - n + 1).astype(np.int32)),
+                        pa.array(np.full(len(text), plain)),
                         pa.array(h),
                         pa.array(held, pa.list_(pa.int64())),
                     ],
-                    ["id", "row", "size", "place", "of", "hash", "slots"],
+                    ["id", "row", "size", "place", "of", "plain", "hash", "slots"],
                 )
 
     return run
@@ -174,8 +181,9 @@ def _contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
         yield from _windows("doc_id", sizes, window, np.unpackbits(sent.value))(batches)
 
     seen = id_and_text(docs).withColumn("row", text_digest()).mapInArrow(run, _WINDOWS)
-    items = items.selectExpr("id AS item_id", "row AS item_row", "size", "place AS item_place", "of AS item_windows", "hash", "slots AS item_slots")
-    hits = seen.select(F.col("id").alias("doc_id"), "row", "size", "place", "hash", "slots").join(items, ["hash", "size"])
+    items = items.selectExpr("id AS item_id", "row AS item_row", "size", "place AS item_place", "of AS item_windows", "plain", "hash", "slots AS item_slots")
+    hits = seen.select(F.col("id").alias("doc_id"), "row", "size", "place", "plain", "hash", "slots")
+    hits = hits.join(items, ["hash", "size", "plain"])
     hits = hits.where("size(slots) = size(item_slots)").withColumn("shift", F.expr("place - item_place"))
     aligned = hits.groupBy("doc_id", "row", "item_id", "item_row", "shift").agg(
         F.collect_set("item_place").alias("places"),

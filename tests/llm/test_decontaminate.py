@@ -116,3 +116,18 @@ def test_rows_without_an_id_are_documents_of_their_own(spark, tables):
     docs = spark.createDataFrame([(None, SAME), (None, "clean text about nothing"), (None, None)], "doc_id long, text string")
     kept = decontaminate.clean(docs.repartition(2), tables[1])
     assert sorted((r.text for r in kept.collect()), key=repr) == ["clean text about nothing", None]
+
+
+def test_items_of_numbers_and_names_match_verbatim(spark):
+    items = [(1, "What is 12 plus 30?"), (2, "Add 1 kg 2 kg 3 kg 4 kg 5 kg 6 kg 7 kg and 8 kg."), (3, "5 7 11 13")]
+    docs = [
+        (1, "see: What is 12 plus 30? Think."),
+        (2, "x. " + items[1][1]),
+        (3, "so 5 7 11 13 go"),
+        (4, "see: What is 13 plus 30? Think."),
+        (5, "x. Add 2 kg 3 kg 4 kg 5 kg 6 kg 7 kg 8 kg and 9 kg."),
+    ]
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contained(*tables).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3)}
+    assert {(r.kind, r.coverage) for r in got.values()} == {("verbatim", 1.0)}
