@@ -47,14 +47,22 @@ BASE = (
 )
 # ---- end of fixed values
 
+#: A private key of any type: to its END line, or, where another BEGIN or the text's end comes first, to the end of the
+#: header lines and the base64 block. Lines may be parted by the two characters of an escaped line break.
+PEM = (
+    r"-----BEGIN (?P<type>[A-Z0-9 ]{0,40})PRIVATE KEY(?P<block> BLOCK)?-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END (?P=type)PRIVATE KEY(?(block) BLOCK)-----"
+    r"|(?:(?:(?:\s|\\[nr])*(?:(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID): [^\r\n\\]*|[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9+/]+={1,2}|=[A-Za-z0-9+/]{4}(?![A-Za-z0-9+/])))+"
+    r"(?:\s*\n[A-Za-z0-9+/]{1,15}(?![^\r\n]))?)?)"
+)
 #: Further forms; their spans are added to those of the base.
 MORE = (
-    Rule("pem", r"-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----"),
+    Rule("pem", PEM),
     Rule("bearer", r"[Bb]earer [A-Za-z0-9._~+/-]{20,}"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{30,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url", r"[a-z][a-z0-9+]{1,9}://[^\s:/@]{1,64}:[^\s/@]{3,64}@"),
+    Rule("url", r"[a-z][a-z0-9+]{1,9}://[^\s:/@]+:[^\s/@]{3,}@"),
 )
 
 Query = frozenset[frozenset[str]]  # any of these sets of trigrams, in lower case; the empty query asks for nothing
