@@ -70,7 +70,9 @@ class WordCache:
             self._learn(list(unknown))
         found = self.known.__getitem__
         out = [b"".join(map(found, words)) for words in split]
-        direct = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        # lower-casing may have made one, which the tokenizer would not see
+        both = [(t, t.lower()) for t in texts]
+        direct = [i for i, (t, low) in enumerate(both) if any(s in t or s in low for s in self.special)]
         if direct:
             for i, ids in zip(direct, self._direct([texts[i] for i in direct]), strict=True):
                 out[i] = ids

@@ -130,3 +130,12 @@ def test_many_pieces_of_one_length(spark):
 
 def test_empty_table(empty_docs):
     assert packing.pack(empty_docs, TOKENIZER).collect() == []
+
+
+def test_special_tokens_in_mixed_case(tokenizer):
+    special = [s for s in WordCache(TOKENIZER).special if s != s.upper()]
+    texts = [f"a {form} b" for s in special for form in (s.upper(), s.title(), s.swapcase(), s)] + ["a <|EndOfText|> É", "x<|ENDOFTEXT|>y"]
+    assert special
+    assert WordCache(TOKENIZER).encode(texts) == [
+        np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)
+    ]
