@@ -4,8 +4,8 @@ Text is canonicalised to a sequence of tokens: a number is a placeholder, a unit
 inside a sentence a third; every other word stands for itself in lower case, signs are dropped. Windows of ``window``
 tokens are joined by hash with those of the benchmark; a window with few words that stand for themselves is joined as it
 stands, numbers, units and names included. What stood at the placeholders are a window's slots: along one
-alignment of a document with an item, a value of the item must always meet the same value in the document. An item counts
-as contained if consistent alignments cover enough of its windows.
+alignment of a document with an item, a value of the item must always meet the same value in the document, or the windows
+that hold it and differ from the item's do not count. An item counts as contained if the others cover enough of its windows.
 """
 
 from __future__ import annotations
@@ -155,7 +155,7 @@ def _windows(column: str, sizes: list[int] | None, size: int, keep: np.ndarray |
 def contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
     """doc_id, item_id, windows, coverage, slots, changed and kind ('verbatim' or 'reparameterised') of contained items.
 
-    ``coverage`` is the share of the item's windows that consistent alignments match, at least ``cover``; ``slots`` the
+    ``coverage`` is the share of the item's windows that are matched, at least ``cover``; ``slots`` the
     item's distinct values at placeholders there, ``changed`` those that the document replaces. Texts that are NULL, empty or
     without words contain nothing and are contained in nothing; items of fewer than ``window`` tokens match as a whole.
     Documents that repeat a doc_id are one document, items that repeat an item_id one item, and the best of its texts counts.
@@ -185,15 +185,19 @@ def _contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     hits = seen.select(F.col("id").alias("doc_id"), "row", "size", "place", "plain", "hash", "slots")
     hits = hits.join(items, ["hash", "size", "plain"])
     hits = hits.where("size(slots) = size(item_slots)").withColumn("shift", F.expr("place - item_place"))
+    pairs = F.arrays_zip(F.col("item_slots").alias("was"), F.col("slots").alias("now"))
+    window_of = F.struct(F.col("item_place").alias("place"), (F.col("slots") == F.col("item_slots")).alias("same"), pairs.alias("pairs"))
     aligned = hits.groupBy("doc_id", "row", "item_id", "item_row", "shift").agg(
-        F.collect_set("item_place").alias("places"),
-        F.max("item_windows").alias("item_windows"),
-        F.array_distinct(
-            F.flatten(F.collect_list(F.arrays_zip(F.col("item_slots").alias("was"), F.col("slots").alias("now"))))
-        ).alias("pairs"),
+        F.collect_set(window_of).alias("met"), F.max("item_windows").alias("item_windows")
     )
-    was = F.array_distinct(F.transform("pairs", lambda p: p["was"]))
-    consistent = aligned.where(F.size(was) == F.size("pairs"))
+    # a value that meets several values takes the changed windows that hold it along
+    aligned = aligned.withColumn("pairs", F.array_sort(F.array_distinct(F.flatten(F.col("met")["pairs"]))))
+    several = F.filter("pairs", lambda p, i: (i > 0) & (F.get(F.col("pairs")["was"], i - 1) == p["was"]))
+    aligned = aligned.withColumn("several", several["was"])
+    kept = F.filter("met", lambda w: w["same"] | ~F.arrays_overlap(w["pairs"]["was"], F.col("several")))
+    consistent = aligned.withColumn("met", kept).where(F.size("met") > 0)
+    consistent = consistent.withColumn("pairs", F.array_distinct(F.flatten(F.col("met")["pairs"])))
+    consistent = consistent.withColumn("places", F.col("met")["place"])
     changed = F.size(F.filter("pairs", lambda p: p["was"] != p["now"]))
     own = F.when(F.col("doc_id").isNull(), F.col("row")).alias("own")
     consistent = consistent.select("doc_id", own, "item_id", "item_row", "item_windows", "places", F.size("pairs").alias("slots"), changed.alias("changed"))

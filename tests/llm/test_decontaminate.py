@@ -131,3 +131,19 @@ def test_items_of_numbers_and_names_match_verbatim(spark):
     got = {(r.doc_id, r.item_id): r for r in decontaminate.contained(*tables).collect()}
     assert set(got) == {(1, 1), (2, 2), (3, 3)}
     assert {(r.kind, r.coverage) for r in got.values()} == {("verbatim", 1.0)}
+
+
+def test_one_altered_value_does_not_hide_the_rest(spark):
+    first = "Tom has 12 red marbles in a bag that his aunt gave to him on the first day of the long summer break"
+    item = f"{first} and later on, after a walk in the park with all of the other children, he finds 12 blue ones near the old well."
+    docs = [
+        (1, f"x. {item.replace('12 blue', '13 blue')}"),
+        # rows of one document at one place, one as it is and one with another value
+        (2, f"x. {item}"),
+        (2, f"x. {item.replace('12', '40')}"),
+        (3, "x a bag that his aunt gave to somebody else altogether, and nothing more"),
+    ]
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.contained(*tables).collect()}
+    assert set(got) == {1, 2}
+    assert 0.5 < got[1].coverage < 1 and got[2].coverage == 1
