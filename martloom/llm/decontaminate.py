@@ -2,8 +2,8 @@
 
 Text is canonicalised to a sequence of tokens: a number is a placeholder, a unit after a number another, a capitalised word
 inside a sentence a third; every other word stands for itself in lower case, signs are dropped. Windows of ``window``
-tokens are joined by hash with those of the benchmark; a window with few words that stand for themselves is joined as it
-stands, numbers, units and names included. What stood at the placeholders are a window's slots: along one
+tokens are joined by hash with those of the benchmark, and also as they stand, numbers, units and names included, without
+regard to case: so windows with few words that stand for themselves match, and names in another case. What stood at the placeholders are a window's slots: along one
 alignment of a document with an item, a value of the item must always meet the same value in the document, or the windows
 that hold it and differ from the item's do not count. An item counts as contained if the others cover enough of its windows.
 """
@@ -57,6 +57,32 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(arrays.span_hashes(data, start, end))
 
 
+def _runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The kind of each byte, and start and end of each run of letters or digits."""
+    kind = _KIND[data]
+    if len(data) > 2:  # a point or comma between digits belongs to the number
+        inner = (data[1:-1] == 46) | (data[1:-1] == 44)
+        kind[1:-1][inner & (kind[:-2] == _DIGIT) & (kind[2:] == _DIGIT)] = _DIGIT
+    edge = np.zeros(len(data) + 1, bool)
+    edge[at] = True
+    change = np.flatnonzero(edge[:-1] | np.r_[True, kind[1:] != kind[:-1]]) if len(data) else np.zeros(0, np.int64)
+    stop = np.r_[change[1:], len(data)]
+    word = kind[change] != _OTHER if len(change) else np.zeros(0, bool)
+    return kind, change[word], stop[word]
+
+
+def _folded(data: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words without regard to case, of any script."""
+    if (data < 128).all():
+        return arrays.span_hashes(_LOWER[data], start, end)
+    raw = data.tobytes()
+    texts = [raw[a:b].decode("utf-8", "replace").casefold().encode() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    folded, bounds = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    _, begin, stop = _runs(folded, bounds)
+    # folding turns letters into letters, so the words stay the same ones
+    return arrays.span_hashes(folded, begin, stop)
+
+
 class Tokens:
     """Canonical tokens of texts: ``hashes``, ``slots`` (hash of what a placeholder stands for, else 0), first per text."""
 
@@ -65,22 +91,12 @@ class Tokens:
     def __init__(self, data: np.ndarray, at: np.ndarray):
         if Tokens.units is None:
             Tokens.units = _unit_hashes()
-        kind = _KIND[data]
-        if len(data) > 2:  # a point or comma between digits belongs to the number
-            inner = (data[1:-1] == 46) | (data[1:-1] == 44)
-            kind[1:-1][inner & (kind[:-2] == _DIGIT) & (kind[2:] == _DIGIT)] = _DIGIT
-        edge = np.zeros(len(data) + 1, bool)
-        edge[at] = True
-        change = np.flatnonzero(edge[:-1] | np.r_[True, kind[1:] != kind[:-1]]) if len(data) else np.zeros(0, np.int64)
-        stop = np.r_[change[1:], len(data)]
-        word = kind[change] != _OTHER if len(change) else np.zeros(0, bool)
-        start, end = change[word], stop[word]
+        kind, start, end = _runs(data, at)
         self.first = np.searchsorted(start, at)
         if not len(start):
             self.hashes = self.slots = self.own = np.zeros(0, np.uint64)
             return
-        low = _LOWER[data]
-        own = arrays.span_hashes(low, start, end)
+        own = _folded(data, at, start, end)
         number = kind[start] == _DIGIT
         text = arrays.owner(at, start)
         same = np.r_[False, text[1:] == text[:-1]]
@@ -100,7 +116,7 @@ class Tokens:
     def windows(self, size: int, literals: int, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, place in it and hash of every window that has at least ``literals`` words that stand for themselves.
 
-        ``plain``: of every other window, and each word in them stands for itself.
+        ``plain``: of every window, and each word in them stands for itself.
         """
         if len(self.hashes) < size:
             none = np.zeros(0, np.int64)
@@ -109,7 +125,7 @@ class Tokens:
         literal = np.concatenate([[0], np.cumsum(self.slots == 0)])
         start = np.arange(len(h))
         text = np.searchsorted(self.first, start, "right") - 1
-        ok = (start + size <= self.first[text + 1]) & ((literal[size:] - literal[:-size] >= literals) != plain)
+        ok = (start + size <= self.first[text + 1]) & (plain | (literal[size:] - literal[:-size] >= literals))
         return text[ok], start[ok] - self.first[text[ok]], h[ok]
 
 
@@ -184,7 +200,9 @@ def _contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     items = items.selectExpr("id AS item_id", "row AS item_row", "size", "place AS item_place", "of AS item_windows", "plain", "hash", "slots AS item_slots")
     hits = seen.select(F.col("id").alias("doc_id"), "row", "size", "place", "plain", "hash", "slots")
     hits = hits.join(items, ["hash", "size", "plain"])
-    hits = hits.where("size(slots) = size(item_slots)").withColumn("shift", F.expr("place - item_place"))
+    # a plain window is the item's, whatever counts as a name in the case of either
+    hits = hits.where("plain OR size(slots) = size(item_slots)").withColumn("shift", F.expr("place - item_place"))
+    hits = hits.withColumn("slots", F.expr("if(plain, item_slots, slots)"))
     pairs = F.arrays_zip(F.col("item_slots").alias("was"), F.col("slots").alias("now"))
     window_of = F.struct(F.col("item_place").alias("place"), (F.col("slots") == F.col("item_slots")).alias("same"), pairs.alias("pairs"))
     aligned = hits.groupBy("doc_id", "row", "item_id", "item_row", "shift").agg(

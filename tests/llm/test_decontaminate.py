@@ -147,3 +147,23 @@ def test_one_altered_value_does_not_hide_the_rest(spark):
     got = {r.doc_id: r for r in decontaminate.contained(*tables).collect()}
     assert set(got) == {1, 2}
     assert 0.5 < got[1].coverage < 1 and got[2].coverage == 1
+
+
+def test_any_case(spark):
+    items = [
+        (1, "Did Anna tell Boris that Clara and Dmitri saw Elena near Fulda with Greta before Heinz met Irina in Jena?"),
+        (2, "Die Straße über den großen Fluß führt für ältere Männer ständig zurück zum Café, süß und schön."),
+    ]
+    docs = [(10 * i + k, f"x {form} y") for i, t in items for k, form in enumerate((t.lower(), t.upper(), t.title(), t.swapcase(), t))]
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.kind, r.coverage) for r in decontaminate.contained(*tables).collect()}
+    assert got == {(10 * i + k, i): ("verbatim", 1.0) for i, _ in items for k in range(5)}
+
+
+def test_folding_keeps_the_words():
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x1FFFF)]):
+        for text in (f"1,{c} a.{c}2 {c}", c.casefold()):
+            data = np.frombuffer(text.encode(), np.uint8)
+            folded = np.frombuffer(text.casefold().encode(), np.uint8)
+            counts = {len(decontaminate._runs(d, np.array([0, len(d)]))[1]) for d in (data, folded)}
+            assert len(counts) == 1, c
