@@ -230,7 +230,8 @@ def _tile_pairs(nodes: DataFrame, lanes: int, radius: int, tile: int, more: tupl
     sizes = nodes.groupBy("ones").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
     dealt = nodes.join(F.broadcast(sizes), "ones").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     member = F.struct("node", *(f"f{i}" for i in range(lanes)), *more)
-    tiles = cut(dealt.groupBy("ones", "part").agg(F.collect_list(member).alias("tile")), "tiles")
+    # by node, so that the links of a place have the same numbers whenever tiles are built
+    tiles = cut(dealt.groupBy("ones", "part").agg(F.sort_array(F.collect_list(member)).alias("tile")), "tiles")
     near = tiles.select("ones", "part", F.explode(F.sequence("ones", F.col("ones") + radius)).alias("ones2"))
     near = near.join(F.broadcast(sizes.withColumnsRenamed({"ones": "ones2"})), "ones2")
     near = near.select("ones", "part", "ones2", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part2"))
