@@ -54,7 +54,7 @@ _KIND, _LOWER, _ENDS = _tables()
 def _unit_hashes() -> np.ndarray:
     data = np.frombuffer(" ".join(UNITS).encode(), np.uint8)
     start, end, _ = arrays.words(data, np.array([0, len(data)]))
-    return np.sort(arrays.span_hashes(data, start, end))
+    return np.sort(arrays.word_hashes(data, start, end))
 
 
 def _runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,13 +74,13 @@ def _runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 def _folded(data: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the words without regard to case, of any script."""
     if (data < 128).all():
-        return arrays.span_hashes(_LOWER[data], start, end)
+        return arrays.word_hashes(_LOWER[data], start, end)
     raw = data.tobytes()
     texts = [raw[a:b].decode("utf-8", "replace").casefold().encode() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
     folded, bounds = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
     _, begin, stop = _runs(folded, bounds)
     # folding turns letters into letters, so the words stay the same ones
-    return arrays.span_hashes(folded, begin, stop)
+    return arrays.word_hashes(folded, begin, stop)
 
 
 class Tokens:

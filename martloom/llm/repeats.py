@@ -53,7 +53,7 @@ def bytes_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def words_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start, end, bounds = arrays.words(data, at)
-    return arrays.span_hashes(data, start, end), bounds
+    return arrays.word_hashes(data, start, end), bounds
 
 
 def row_keys(texts: pa.Array) -> np.ndarray:

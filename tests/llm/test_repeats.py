@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from martloom.llm import bwt_dedup, superkmers
+from martloom.llm import arrays, bwt_dedup, superkmers
 from martloom.llm.arrays import sliding_min, words
 from martloom.llm.repeats import union_spans
 
@@ -76,6 +76,26 @@ def test_a_long_periodic_text(spark):
     assert sorted(tuple(r)[:4] for r in bwt_dedup.remove_repeats(df).collect()) == [(1, 300_000, 300_000, 1), (2, 350, 350, 1)]
 
 
+def test_long_words_that_polynomial_hashes_confuse(spark):
+    """A Thue-Morse word and its complement agree in every polynomial modulo 2 ** 64."""
+    a = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    b = a.translate(str.maketrans("ab", "ba"))
+    text = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*text[:25], w, *text[26:]])) for i, w in ((1, a), (2, b), (3, b))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r)[:3] for r in superkmers.remove_seen(df).collect()) == [(1, 60, 0), (2, 60, 0), (3, 60, 60)]
+
+
+def test_word_hashes_tell_words_apart():
+    rng = np.random.default_rng(4)
+    words_ = sorted({bytes(rng.integers(97, 99, rng.integers(1, 40), dtype=np.uint8)) for _ in range(5000)})
+    data = np.frombuffer(b"".join(words_), np.uint8)
+    end = np.cumsum([len(w) for w in words_])
+    h = arrays.word_hashes(data, end - [len(w) for w in words_], end)
+    assert len(set(h.tolist())) == len(words_)
+    assert (arrays.word_hashes(data[::-1][::-1].copy(), end[:9] - [len(w) for w in words_[:9]], end[:9]) == h[:9]).all()
+
+
 def test_empty_tables(empty_docs):
     assert bwt_dedup.remove_repeats(empty_docs).collect() == []
     assert superkmers.remove_seen(empty_docs).collect() == []
