@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bwt_dedup, chat, decontaminate, hamming, packing, quality, secret_scan, simhash, superkmers, toxicity
+from martloom.llm import (
+    bwt_dedup,
+    chat,
+    decontaminate,
+    fp_search,
+    hamming,
+    minhash,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    superkmers,
+    toxicity,
+    whitening,
+)
 from martloom.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -102,6 +116,63 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH RECURSIVE said AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS MATERIALIZED (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s FROM said
+), shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS MATERIALIZED (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM sets
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM sets JOIN reach USING (doc_id) GROUP BY doc_id, s
+"""
+
+
+def op13_fp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = """
+WITH texts AS (
+    SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+), terms AS (
+    SELECT kind, id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM texts
+), counted AS MATERIALIZED (SELECT kind, id, term, count(*) AS tf FROM terms GROUP BY ALL),
+sized AS (SELECT id, CAST(sum(tf) AS BIGINT) AS n FROM counted WHERE kind = 'd' GROUP BY id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+weighed AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counted, whole WHERE kind = 'd' GROUP BY term
+), scored AS (
+    SELECT i.id AS item_id, d.id AS doc_id,
+           CAST(sum(i.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM counted i JOIN counted d ON i.term = d.term JOIN weighed ON i.term = weighed.term JOIN sized ON sized.id = d.id, whole
+    WHERE i.kind = 'i' AND d.kind = 'd' GROUP BY i.id, d.id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
 OP9_SQL = """
 WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -133,5 +204,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_seen": op8_seen,
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
+    "op11_whitening": op11_whitening,
+    "op12_minhash": op12_minhash,
+    "op13_fp_search": op13_fp_search,
 }
-ORACLES: dict[str, str] = {"op4_hamming": OP4_SQL, "op9_chat": OP9_SQL}
+ORACLES: dict[str, str] = {"op4_hamming": OP4_SQL, "op9_chat": OP9_SQL, "op12_minhash": OP12_SQL, "op13_fp_search": OP13_SQL}
