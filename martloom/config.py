@@ -168,6 +168,8 @@ PUBLISHED = {
     "boosting_row_share": 0.8,
     "boosting_feature_share": 0.8,
     "boosting_min_rows": 3,
+    "boosting_l1": 0.1,
+    "boosting_l2": 1.0,
     "seller_clusters": 3,
     "cluster_range": (2, 3, 4, 5, 6),
     "cluster_range_starts": 10,
@@ -218,6 +220,8 @@ class Config:
     boosting_row_share: float = PUBLISHED["boosting_row_share"]
     boosting_feature_share: float = PUBLISHED["boosting_feature_share"]
     boosting_min_rows: int = PUBLISHED["boosting_min_rows"]
+    boosting_l1: float = PUBLISHED["boosting_l1"]
+    boosting_l2: float = PUBLISHED["boosting_l2"]
     seller_clusters: int = PUBLISHED["seller_clusters"]
     cluster_range: tuple = PUBLISHED["cluster_range"]
     cluster_range_starts: int = PUBLISHED["cluster_range_starts"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.functions.aggregates import exact_mean, exact_sum, join_parts, sum_parts
+from martloom.functions.aggregates import decimal_sum, exact_mean, exact_sum
 from martloom.functions.dates import year_month
 from martloom.operators.keys import completed
 
@@ -55,18 +55,16 @@ def payment_leakage(detail: DataFrame, analysis_date: Column | None = None) -> D
 
     The national mean comes from the group totals, so the orders are read once.
     """
-    parts = sum_parts("total_payment_value")
-    names = [f"_p{i}" for i in range(len(parts))]
     groups = detail.groupBy("customer_state", "payment_type").agg(
-        F.count("total_payment_value").alias("order_count"), *[p.alias(n) for p, n in zip(parts, names)]
+        F.count("total_payment_value").alias("order_count"), decimal_sum("total_payment_value").alias("_total")
     )
     everything = Window.partitionBy()
-    national = join_parts([F.sum(n).over(everything) for n in names]) / F.sum("order_count").over(everything)
+    national = F.sum("_total").over(everything).cast("double") / F.sum("order_count").over(everything)
     scored = groups.select(
         "customer_state",
         "payment_type",
         "order_count",
-        (join_parts([F.col(n) for n in names]) / F.col("order_count")).alias("avg_value"),
+        (F.col("_total").cast("double") / F.col("order_count")).alias("avg_value"),
         national.alias("national_avg"),
     )
     gap = (F.col("national_avg") - F.col("avg_value")) / F.nullif("national_avg", F.lit(0.0))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.aggregates import join_parts, sum_parts
+from martloom.functions.aggregates import decimal_sum
 from martloom.operators.keys import completed
 
 
@@ -46,14 +46,13 @@ def seller_performance(
     )
     if cut is not None:
         sold = cut(sold, "sold-items")
-    price, score = sum_parts("price"), sum_parts("score")
-    prices, scores = [f"_p{i}" for i in range(len(price))], [f"_s{i}" for i in range(len(score))]
     per_order = sold.groupBy("seller_id", "order_id").agg(
         F.count("price").alias("_priced"),
         F.count("*").alias("_items"),
-        *[c.alias(n) for c, n in zip(price + score, prices + scores)],
+        decimal_sum("price").alias("_price"),
+        decimal_sum("score").alias("_score"),
     )
-    revenue, points = join_parts([F.sum(n) for n in prices]), join_parts([F.sum(n) for n in scores])
+    revenue, points = F.sum("_price").cast("double"), F.sum("_score").cast("double")
     per_seller = per_order.groupBy("seller_id").agg(
         F.count("*").alias("total_orders"),
         F.coalesce(revenue, F.lit(0.0)).alias("total_revenue"),

@@ -8,16 +8,14 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.config import LEAD_PACKAGE_BANDS, PRIORITY_BANDS, Config
 from martloom.functions.aggregates import exact_mean, most_frequent, pct
 from martloom.functions.numbers import band, blank_to_unknown, half_even
+from martloom.operators.boosting import Boosting, Fit, Trees, boost
 from martloom.operators.encoding import apply_mapping, encode_out_of_fold, target_mapping
 from martloom.operators.ranking import hash_fold, numbered, rank_rows, share_of_total
 
@@ -54,56 +52,59 @@ def lead_encodings(acquisition: DataFrame, cfg: Config = Config()) -> DataFrame:
     return target_mapping(lead_features(acquisition), CATEGORIES, "days_to_close", cfg.encoding_smoothing)
 
 
-def _vectors(df: DataFrame, columns: list[str] | None = None, out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=columns or FEATURES, outputCol=out).transform(df)
-
-
-def _regressor(cfg: Config) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features",
-        labelCol="label",
-        maxIter=cfg.boosting_rounds,
-        maxDepth=cfg.boosting_depth,
-        stepSize=cfg.boosting_rate,
-        subsamplingRate=cfg.boosting_row_share,
-        featureSubsetStrategy=str(cfg.boosting_feature_share),
-        minInstancesPerNode=cfg.boosting_min_rows,
+def _boosting(cfg: Config, logistic: bool = False) -> Boosting:
+    return Boosting(
+        rounds=cfg.boosting_rounds,
+        depth=cfg.boosting_depth,
+        rate=cfg.boosting_rate,
+        row_share=cfg.boosting_row_share,
+        feature_share=cfg.boosting_feature_share,
+        min_weight=cfg.boosting_min_rows,
+        l1=cfg.boosting_l1,
+        l2=cfg.boosting_l2,
         seed=cfg.seed,
+        logistic=logistic,
     )
 
 
 @dataclass
 class LeadModel:
-    regressor: GBTRegressionModel
+    """``checked``: label, days_to_close, fold, the model's own prediction and that of the fit that left the fold out."""
+
+    trees: Trees
     encodings: DataFrame
     mean_days: float
     training: DataFrame
+    checked: DataFrame
 
     def save(self, path: str) -> None:
-        self.regressor.write().overwrite().save(f"{path}/regressor")
-        self.encodings.write.mode("overwrite").parquet(f"{path}/encodings")
-        self.training.write.mode("overwrite").parquet(f"{path}/training")
         spark = self.encodings.sparkSession
+        self.trees.save(spark, f"{path}/trees")
+        for name in ("encodings", "training", "checked"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
         meta = json.dumps({"mean_days": self.mean_days, "features": FEATURES})
         spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> LeadModel:
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        return LeadModel(
-            GBTRegressionModel.load(f"{path}/regressor"),
-            spark.read.parquet(f"{path}/encodings"),
-            meta["mean_days"],
-            spark.read.parquet(f"{path}/training"),
-        )
+        read = {name: spark.read.parquet(f"{path}/{name}") for name in ("encodings", "training", "checked")}
+        return LeadModel(Trees.load(spark, f"{path}/trees"), mean_days=meta["mean_days"], **read)
 
 
 def train_lead_model(acquisition: DataFrame, cut: Cut, cfg: Config = Config()) -> LeadModel:
-    """Fit on log days. Boosting reads its input once per tree level, so the encoded rows are written first."""
-    training = cut(encoded_leads(acquisition, cfg).withColumn("label", F.log1p("days_to_close")), "lead-training")
+    """Fit on log days; the fits of the cross-validation grow along with the model, in the same passes."""
+    encoded = encoded_leads(acquisition, cfg).withColumn("label", F.log1p("days_to_close"))
+    training = cut(encoded.withColumn("cv_fold", hash_fold(KEY, cfg.folds, cfg.seed + 1)), "lead-training")
     encodings = cut(lead_encodings(acquisition, cfg), "lead-encodings")
     mean_days = training.agg(F.avg("days_to_close")).first()[0]
-    return LeadModel(_regressor(cfg).fit(_vectors(training)), encodings, mean_days, training)
+    every = tuple(range(len(FEATURES)))
+    fits = [Fit(every), *(Fit(every, fold) for fold in range(cfg.folds))]
+    fitted = boost(training, FEATURES, "label", KEY, fits, _boosting(cfg), cut, "cv_fold", keep=["days_to_close"])
+    checked = fitted.rows.select(
+        "label", "days_to_close", "fold", F.col("predictions")[0].alias("own"), F.get("predictions", F.col("fold") + 1).alias("held_out")
+    )
+    return LeadModel(fitted.trees[0], encodings, mean_days, training, cut(checked, "lead-checked"))
 
 
 def _error_columns(actual, predicted) -> list:
@@ -116,21 +117,11 @@ def _error_columns(actual, predicted) -> list:
     ]
 
 
-def lead_model_metrics(model: LeadModel, cfg: Config = Config()) -> DataFrame:
-    """Cross-validated error on the log scale and in-sample error in days."""
-    rows = _vectors(model.training.withColumn("cv_fold", hash_fold(KEY, cfg.folds, cfg.seed + 1)))
-
-    def held_out(fold: int):
-        fitted = _regressor(cfg).fit(rows.where(F.col("cv_fold") != fold))
-        scored = fitted.transform(rows.where(F.col("cv_fold") == fold))
-        return scored.agg(*_error_columns(F.col("label"), F.col("prediction"))).first()
-
-    # one small row per fold comes back; the fits run side by side on the cluster
-    with ThreadPool(cfg.folds) as pool:
-        folds = pool.map(held_out, range(cfg.folds))
-    days = model.regressor.transform(rows).agg(
-        *_error_columns(F.col("days_to_close"), F.expm1("prediction"))
-    ).first()
+def lead_model_metrics(model: LeadModel) -> DataFrame:
+    """Cross-validated error on the log scale and in-sample error in days, from the predictions made while training."""
+    # one small row per fold comes back
+    folds = model.checked.groupBy("fold").agg(*_error_columns(F.col("label"), F.col("held_out"))).orderBy("fold").collect()
+    days = model.checked.agg(*_error_columns(F.col("days_to_close"), F.expm1("own"))).first()
     values = {
         "cv_rmse_log_mean": fmean(f.rmse for f in folds),
         "cv_rmse_log_std": pstdev(f.rmse for f in folds),
@@ -140,7 +131,7 @@ def lead_model_metrics(model: LeadModel, cfg: Config = Config()) -> DataFrame:
         "insample_mae_days": days.mae,
         "insample_r2": days.r2,
     }
-    spark = rows.sparkSession
+    spark = model.checked.sparkSession
     return spark.createDataFrame([(k, float(v)) for k, v in values.items()], "metric string, value double")
 
 
@@ -158,17 +149,16 @@ def feature_importance(model: LeadModel, cfg: Config = Config()) -> DataFrame:
     scored = rows.join(donors, "_i")
     variants = [("base", FEATURES)] + [(f, [f"{g}_d" if g == f else g for g in FEATURES]) for f in FEATURES]
     for name, columns in variants:
-        regressor = model.regressor.copy()
-        regressor.setFeaturesCol(f"v_{name}").setPredictionCol(f"p_{name}")
-        scored = regressor.transform(_vectors(scored, columns, f"v_{name}"))
+        scored = model.trees.predict(scored, f"p_{name}", columns)
     errors = scored.agg(
         *[F.sqrt(F.avg((F.col("label") - F.col(f"p_{name}")) ** 2)).alias(name) for name, _ in variants]
     )
+    split = model.trees.importance()
     gains = [
         F.struct(
             F.lit(f.removesuffix("_enc")).alias("feature"),
             (F.col(f) - F.col("base")).alias("permutation_importance"),
-            F.lit(float(model.regressor.featureImportances[i])).alias("split_importance"),
+            F.lit(float(split[i])).alias("split_importance"),
         )
         for i, f in enumerate(FEATURES)
     ]
@@ -191,7 +181,7 @@ def lead_scores(leads: DataFrame, model: LeadModel, history: DataFrame, cut: Cut
     )
     days = F.greatest(F.expm1("prediction"), F.lit(0.0))
     predicted = cut(
-        model.regressor.transform(_vectors(features)).select("lead", "lead_behaviour_profile", days.alias("days")),
+        model.trees.predict(features).select("lead", "lead_behaviour_profile", days.alias("days")),
         "lead-predictions",
     )
     return priorities(predicted, history)
@@ -270,28 +260,20 @@ def conversion_classifier(
     rows = cut(
         encode_out_of_fold(training, columns, "is_converted", "fold", cfg.encoding_smoothing), "conversion-training"
     )
-    evaluator = BinaryClassificationEvaluator(labelCol="is_converted", metricName="areaUnderPR")
-
-    def held_out(item) -> float:
-        (_, used), fold = item
-        data = _vectors(rows, [f"{c}_enc" for c in used])
-        classifier = GBTClassifier(
-            featuresCol="features",
-            labelCol="is_converted",
-            weightCol="weight",
-            maxIter=cfg.boosting_rounds,
-            maxDepth=cfg.boosting_depth,
-            stepSize=cfg.boosting_rate,
-            subsamplingRate=cfg.boosting_row_share,
-            minInstancesPerNode=cfg.boosting_min_rows,
-            seed=cfg.seed,
-        )
-        fitted = classifier.fit(data.where(F.col("fold") != fold))
-        return float(evaluator.evaluate(fitted.transform(data.where(F.col("fold") == fold))))
+    # every feature set and fold is a fit, and all grow in the same passes
+    parts = [(used, fold) for used in feature_sets.values() for fold in range(cfg.folds)]
+    fits = [Fit(tuple(columns.index(c) for c in used), fold) for used, fold in parts]
+    encoded = [f"{c}_enc" for c in columns]
+    fitted = boost(rows, encoded, "is_converted", KEY, fits, _boosting(cfg, logistic=True), cut, "fold", "weight")
+    scored = cut(fitted.rows, "conversion-scored")
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="margin", metricName="areaUnderPR")
+
+    def held_out(k: int) -> float:
+        own = scored.where(F.col("fold") == fits[k].left_out)
+        return float(evaluator.evaluate(own.select("label", F.col("predictions")[k].alias("margin"))))
 
-    fits = [(item, fold) for item in feature_sets.items() for fold in range(cfg.folds)]
     with ThreadPool(min(at_once, len(fits))) as pool:
-        areas = pool.map(held_out, fits)
+        areas = pool.map(held_out, range(len(fits)))
     found = []
     for i, name in enumerate(feature_sets):
         own = areas[i * cfg.folds : (i + 1) * cfg.folds]

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application; Spark copies the file to the executors."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for module in sorted(root.rglob("*.py")):
+                z.write(module, module.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(application)
+
+
 def input_bytes(tables: Iterable[DataFrame]) -> int:
     """Bytes of the files and tables these plans read, from their listings; nothing is read."""
     total = 0

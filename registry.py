@@ -324,7 +324,7 @@ def lead_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lead_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leads.lead_model_metrics(lead_model(spark, sf_dir), adapter.CONFIG)
+    return leads.lead_model_metrics(lead_model(spark, sf_dir))
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -172,7 +172,7 @@ def test_lead_model(spark, deals, tmp_path):
     assert len(top) == 10 and top[0].priority_score == 1.0
     importance = leads.feature_importance(loaded, cfg).orderBy("rank").collect()
     assert importance[0].feature == "lead_behaviour_profile" and len(importance) == 6
-    metrics = {r.metric: r.value for r in leads.lead_model_metrics(loaded, cfg).collect()}
+    metrics = {r.metric: r.value for r in leads.lead_model_metrics(loaded).collect()}
     assert metrics["insample_r2"] > 0.5 and metrics["cv_rmse_log_mean"] > 0
 
 
