@@ -2,38 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import martloom
-from martloom.session import cut, tune
+from martloom.session import cut, ship_package, tune
 
 #: Rows and bytes of one Arrow batch; with texts of up to megabytes a batch has to stay small.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
-_shipped: set[str] = set()
-
-
-def _ship(spark: SparkSession) -> None:
-    """Give the package to the Python workers, once per application; Spark copies the file to the executors."""
-    application = spark.sparkContext.applicationId
-    if application not in _shipped:
-        root = Path(martloom.__file__).parent
-        archive = Path(tempfile.mkdtemp()) / "martloom.zip"
-        with zipfile.ZipFile(archive, "w") as z:
-            for module in sorted(root.rglob("*.py")):
-                z.write(module, module.relative_to(root.parent))
-        spark.sparkContext.addPyFile(str(archive))
-        _shipped.add(application)
-
-
 def prepared(spark: SparkSession) -> SparkSession:
-    _ship(spark)
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return tune(spark)
