@@ -94,20 +94,6 @@ def fingerprints(docs: DataFrame, words: int = 3, lanes: int = 1, seed: int = 42
     return read.mapInArrow(run, ", ".join(kinds))
 
 
-def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """node and shingles, the distinct 64-bit hashes of the shingles, of rows (node, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = xxhash.xxh64_intdigest
-        for batch in arrays.pieces(batches):
-            shingles, count = _shingled(batch.column("text"), words)
-            hashes = np.array([hashed(s) for s in shingles], np.uint64).view(np.int64)
-            sets = [np.unique(part) for part in np.split(hashes, np.cumsum(count)[:-1])]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    return texts.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
-
-
 class Forest:
     """Sets of linked places that grow together."""
 
@@ -148,37 +134,10 @@ def _linked(left: np.ndarray, right: np.ndarray | None, radius: int) -> np.ndarr
     return forest.root
 
 
-def _ranked(left: np.ndarray, right: np.ndarray | None, radius: int, low: int, high: int | None) -> Iterator[tuple[np.ndarray, ...]]:
-    """Places (left, right) of the links that are number ``low`` up to ``high`` of their left place, then those of the later ones.
-
-    Links of a place are numbered from another right place on for each left one, so that no right place is first for all.
-    """
-    n, other, rows = left.shape[1], left if right is None else right, 32
-    m = other.shape[1]
-    for at in range(0, n, rows):
-        differ = np.zeros((min(rows, n - at), m), np.uint16)
-        for a, b in zip(left, other, strict=True):
-            differ += np.bitwise_count(a[at : at + rows, None] ^ b[None])
-        x, y = np.nonzero(differ <= radius)
-        x += at
-        if right is None:
-            x, y = x[x < y], y[x < y]
-        if not len(x):
-            continue
-        turn = (y - x) % m  # within one tile the places after the left one, in turn
-        order = np.lexsort((turn, x))
-        x, y = x[order], y[order]
-        number = np.arange(len(x)) - np.searchsorted(x, x)
-        late = np.zeros(len(x), bool) if high is None else number >= high
-        now = (number >= low) & ~late
-        yield x[now], y[now], x[late], y[late]
-
-
-def _tile_of(column: pa.Array, i: int, lanes: int, more: int = 0) -> tuple[np.ndarray, ...]:
-    """Nodes, fingerprints and ``more`` further columns of a tile."""
+def _tile_of(column: pa.Array, i: int, lanes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and fingerprints of a tile."""
     held = column[i].values
-    prints = np.stack([held.field(k + 1).to_numpy().view(np.uint64) for k in range(lanes)])
-    return held.field(0).to_numpy(), prints, *(held.field(lanes + 1 + k).to_numpy() for k in range(more))
+    return held.field(0).to_numpy(), np.stack([held.field(k + 1).to_numpy().view(np.uint64) for k in range(lanes)])
 
 
 def _compare(lanes: int, radius: int):
@@ -197,41 +156,21 @@ def _compare(lanes: int, radius: int):
     return run
 
 
-def _pairs(lanes: int, radius: int, low: int, high: int | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                nodes, left, group = _tile_of(batch.column("tile"), i, lanes, 1)
-                right, nodes2, group2 = None, nodes, group
-                if not batch.column("itself")[i].as_py():
-                    nodes2, right, group2 = _tile_of(batch.column("other"), i, lanes, 1)
-                later = False
-                for x, y, x2, y2 in _ranked(left, right, radius, low, high):
-                    apart = group[x] != group2[y]
-                    later |= bool((group[x2] != group2[y2]).any())
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes[x[apart]]), pa.array(nodes2[y[apart]])], ["a", "b"])
-                if later:  # a row without a second node
-                    yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([None], pa.int64())], ["a", "b"])
-
-    return run
-
-
 def links(nodes: DataFrame, lanes: int, radius: int, tile: int = TILE) -> DataFrame:
     """Edges (a, b) between nodes (node, f0, ...) that connect exactly what lies within ``radius`` bits."""
-    pairs = _tile_pairs(nodes, lanes, radius, tile, ())
+    pairs = _tile_pairs(nodes, lanes, radius, tile)
     return pairs.mapInArrow(_compare(lanes, radius), "a long, b long").distinct()
 
 
-def _tile_pairs(nodes: DataFrame, lanes: int, radius: int, tile: int, more: tuple[str, ...]) -> DataFrame:
-    """Pairs of tiles that may hold links, each of members (node, f0, ..., ``more``)."""
+def _tile_pairs(nodes: DataFrame, lanes: int, radius: int, tile: int) -> DataFrame:
+    """Pairs of tiles that may hold links, each of members (node, f0, ...)."""
     ones = sum((F.bit_count(f"f{i}") for i in range(lanes)), F.lit(0))
     nodes = nodes.withColumn("ones", ones)
     # at most 64 rows per lane and one: the numbers of set bits there can be
     sizes = nodes.groupBy("ones").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
     dealt = nodes.join(F.broadcast(sizes), "ones").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    member = F.struct("node", *(f"f{i}" for i in range(lanes)), *more)
-    # by node, so that the links of a place have the same numbers whenever tiles are built
-    tiles = cut(dealt.groupBy("ones", "part").agg(F.sort_array(F.collect_list(member)).alias("tile")), "tiles")
+    member = F.struct("node", *(f"f{i}" for i in range(lanes)))
+    tiles = cut(dealt.groupBy("ones", "part").agg(F.collect_list(member).alias("tile")), "tiles")
     near = tiles.select("ones", "part", F.explode(F.sequence("ones", F.col("ones") + radius)).alias("ones2"))
     near = near.join(F.broadcast(sizes.withColumnsRenamed({"ones": "ones2"})), "ones2")
     near = near.select("ones", "part", "ones2", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part2"))
@@ -272,82 +211,39 @@ def near_duplicates(docs: DataFrame, words: int = 3, lanes: int = 1, radius: int
     """
     names = [f"f{i}" for i in range(lanes)]
     marked = cut(fingerprints(docs, words, lanes), "fingerprints")
-    nodes = marked.groupBy(*names).agg(F.min("doc_id").alias("least"))
-    # a key of its own: several fingerprints may share their smallest doc_id, or have none
-    nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "distinct-fingerprints")
-    roots = components(links(nodes.drop("least"), lanes, radius, tile))
-    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = _rooted(marked, lanes, radius, tile)
     first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     out = marked.join(rooted.join(first, "root").select(*names, "component_id"), names)
     return out.select("doc_id", *names, "component_id")
 
 
-#: Near copies among documents: links of 128 bits, at least 0.8 of them equal, that five-word shingles confirm.
-COPIES = {"words": 5, "lanes": 2, "radius": 25}
-#: Links of a node in a pair of tiles are confirmed in turn up to these numbers, at last all.
-TURNS = (1, 16, 256, None)
+def _rooted(marked: DataFrame, lanes: int, radius: int, tile: int) -> DataFrame:
+    """The distinct fingerprints f0, ... of rows (doc_id, f0, ...), the smallest doc_id of each and the root of its component."""
+    names = [f"f{i}" for i in range(lanes)]
+    nodes = marked.groupBy(*names).agg(F.min("doc_id").alias("least"))
+    # a key of its own: several fingerprints may share their smallest doc_id, or have none
+    nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "distinct-fingerprints")
+    roots = components(links(nodes.drop("least"), lanes, radius, tile))
+    return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node")
 
 
-def alike(links: DataFrame, sets: DataFrame) -> DataFrame:
-    """The links (a, b) whose ends have a Jaccard similarity of their shingles of 0.8 or more; no shingles equal none."""
-    ends = links.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a")
-    ends = ends.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
-    ends = ends.where("5 * least(size(s), size(t)) >= 4 * greatest(size(s), size(t))")
-    both = ends.select("a", "b", (F.size("s") + F.size("t")).alias("n"), F.size(F.array_intersect("s", "t")).alias("same"))
-    return both.where("5 * same >= 4 * (n - same)").select("a", "b")
+_DIGEST = "text digest"
 
 
-def confirmed(nodes: DataFrame, sets: DataFrame, lanes: int, radius: int, tile: int = TILE) -> DataFrame:
-    """Rows (node, root): components of nodes (node, f0, ...) over all links within ``radius`` bits whose shingles are alike.
+def keep_first(docs: DataFrame, words: int = 3, lanes: int = 1, radius: int = 2, tile: int = TILE) -> DataFrame:
+    """The rows, with all their columns, of one document per component of :func:`near_duplicates`: the smallest doc_id's.
 
-    A link inside a component changes nothing, so only those between two components are confirmed: first a few of each
-    node, then, where such links remain, the ones after them.
-    """
-    grouped, edges, low = nodes.withColumn("group", F.col("node")), None, 0
-    for high in TURNS:
-        pairs = _tile_pairs(grouped, lanes, radius, tile, ("group",))
-        found = cut(pairs.mapInArrow(_pairs(lanes, radius, low, high), "a long, b long"), "candidates")
-        good = cut(alike(found.where("b IS NOT NULL"), sets), "confirmed")
-        edges = good if edges is None else edges.unionByName(good)
-        roots = components(edges)
-        if found.where("b IS NULL").isEmpty():
-            break
-        grouped = nodes.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
-        grouped, low = cut(grouped, "grouped"), high
-    return roots
-
-
-def keep_first(docs: DataFrame, tile: int = TILE) -> DataFrame:
-    """The rows, with all their columns, of one document per group of near copies: the one with the smallest doc_id.
-
-    Near copies are documents whose fingerprints link and whose five-word shingles have a Jaccard similarity of 0.8 or
-    more; groups are closed over such pairs. Of rows that repeat a doc_id one stays and takes part. A text without a
-    doc_id is a document of its own, after all others; its exact copies are one.
+    Of rows that repeat a doc_id one stays and takes part. A row without a doc_id is a document of its own, after all
+    others; its exact copies are one. Texts without words have one fingerprint, so one of them stays.
     """
-    words, lanes, radius = (COPIES[k] for k in ("words", "lanes", "radius"))
     names = [f"f{i}" for i in range(lanes)]
     marked = fingerprints(docs, words, lanes, digest=True)
     rows = marked.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("own"))
     rows = cut(rows.agg(F.min(F.struct("digest", *names)).alias("row")).select("doc_id", "row.*"), "fingerprints")
-    nodes = rows.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), *(F.first(n).alias(n) for n in names))
-    nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")
-    near = cut(links(nodes.select("node", *names), lanes, radius, tile), "links")
-    near = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    linked = cut(nodes.join(near, "node", "left_semi"), "linked")
-
+    rooted = _rooted(rows, lanes, radius, tile)
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest")
+    firsts = rows.join(rooted, names).groupBy("root").agg(F.min(order).alias("first"))
+    firsts = cut(firsts.select(F.col("first.doc_id").alias("first_doc"), "first.digest"), "firsts")
     keyed = docs.withColumn(_DIGEST, text_digest())
-    of = (keyed["doc_id"].cast("long").eqNullSafe(linked["first_doc"])) & (keyed[_DIGEST] == linked["digest"])
-    texts = keyed.select("doc_id", "text", _DIGEST).join(linked.select("first_doc", "digest", "node"), of)
-    texts = texts.select("node", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["node"])
-    sets = cut(shingle_sets(texts, words), "shingles")
-    roots = confirmed(linked.select("node", *names), sets, lanes, radius, tile)
-
-    grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    order = F.struct(F.col("first_doc").isNull().alias("unknown"), "first_doc", "digest")
-    firsts = grouped.groupBy("root").agg(F.min(order).alias("first")).select("first.first_doc", "first.digest")
-    firsts = cut(firsts, "firsts")
     same = keyed["doc_id"].cast("long").eqNullSafe(firsts["first_doc"]) & (keyed[_DIGEST] == firsts["digest"])
     return keyed.join(firsts, same, "left_semi").dropDuplicates(["doc_id", _DIGEST]).drop(_DIGEST)
-
-
-_DIGEST = "text digest"
