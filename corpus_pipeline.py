@@ -18,8 +18,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id."""
-    return simhash.keep_first(docs)
+    """Of each group of near copies the document with the smallest doc_id; groups as op10 has them."""
+    return simhash.keep_first(docs, words=3, radius=2)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
