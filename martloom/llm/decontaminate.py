@@ -3,9 +3,14 @@
 Text is canonicalised to a sequence of tokens: a number is a placeholder, a unit after a number another, a capitalised word
 inside a sentence a third; every other word stands for itself in lower case, signs are dropped. Windows of ``window``
 tokens are joined by hash with those of the benchmark, and also as they stand, numbers, units and names included, without
-regard to case: so windows with few words that stand for themselves match, and names in another case. What stood at the placeholders are a window's slots: along one
-alignment of a document with an item, a value of the item must always meet the same value in the document, or the windows
-that hold it and differ from the item's do not count. An item counts as contained if the others cover enough of its windows.
+regard to case: so windows of numbers match, and names in another case. What stood at the placeholders are a window's slots:
+along one alignment of a document with an item, a value of the item must always meet the same value in the document, or the
+windows that hold it and differ from the item's do not count. An item counts as contained if the others cover enough of its
+windows. An item of fewer tokens than a window is one window, of all its tokens.
+
+A document and an item meet in one row per common window, with the places on both sides, and in one row of those in all. As they
+stand windows need no alignment, however often either side repeats them; alignments of changed ones are looked at by ranges
+of shifts, so that a table of numbers within an item and a longer one within a document take time but no space.
 """
 
 from __future__ import annotations
@@ -20,7 +25,11 @@ from pyspark.sql import functions as F
 from martloom.llm import arrays
 from martloom.llm.common import cut, id_and_text, prepared, text_digest
 
-WINDOW, COVER, LITERALS = 8, 0.5, 4
+#: A window of less than ``LEAST`` tokens, or ``LITERALS`` words that stand for themselves, counts only as it stands: with
+#: other numbers it would be found anywhere.
+WINDOW, COVER, LITERALS, LEAST = 8, 0.5, 2, 4
+#: Pairs of equal windows of a document and an item that are aligned at once.
+PAIRS = 1 << 18
 #: Slots of a filter of benchmark windows that documents are read with; its size does not depend on any data.
 FILTER = 1 << 22
 
@@ -141,13 +150,16 @@ def _windows(column: str, sizes: list[int] | None, size: int, keep: np.ndarray |
             count = np.diff(tokens.first)
             # an item of fewer tokens than a window is one window, of its own size
             wanted = sizes if sizes is not None else sorted({min(size, int(c)) for c in count if c})
-            for n, plain in [(n, plain) for n in wanted for plain in (False, True)]:
-                text, place, h = tokens.windows(n, min(n, LITERALS), plain)
+            for n, plain in [(n, plain) for n in wanted for plain in (False, True) if plain or n >= min(size, LEAST)]:
+                text, place, h = tokens.windows(n, LITERALS, plain)
                 if sizes is None:
                     ok = np.minimum(count[text], size) == n
                 else:
                     ok = keep[h & (FILTER - 1)] > 0
                 text, place, h = text[ok], place[ok], h[ok]
+                if plain and sizes is not None:  # where in a document does not matter
+                    first = np.unique(np.stack([text, h]), axis=1, return_index=True)[1]
+                    text, place, h = text[first], place[first], h[first]
                 start = tokens.first[text] + place
                 slots = tokens.slots[start[:, None] + np.arange(n)].view(np.int64)
                 held = [row[row != 0] for row in slots]
@@ -168,6 +180,111 @@ def _windows(column: str, sizes: list[int] | None, size: int, keep: np.ndarray |
     return run
 
 
+def _within(at_doc: np.ndarray, at_item: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the places (item, document) whose shift is at least ``low`` and less than ``high``; ``at_doc`` ascends."""
+    begin, end = np.searchsorted(at_doc, at_item + low), np.searchsorted(at_doc, at_item + high)
+    item = np.repeat(np.arange(len(at_item)), end - begin)
+    return item, np.arange(len(item)) + np.repeat(begin - (np.cumsum(end - begin) - (end - begin)), end - begin)
+
+
+def consistent(templates: list[tuple[np.ndarray, ...]], pairs: int = PAIRS) -> tuple[set[int], int, int]:
+    """Item places that some alignment matches, and the values and changed values of the alignment with the most changed.
+
+    ``templates``: per common window the ascending places and the slots in the document, then in the item.
+    """
+    places: set[int] = set()
+    slots = changed = 0
+    several = []
+    for at_doc, held_doc, at_item, held_item in templates:
+        if held_doc.shape[1]:
+            several.append((at_doc, held_doc, at_item, held_item))
+        else:  # without placeholders there is nothing to be consistent about
+            places |= set(at_item.tolist())
+    if not several:
+        return places, slots, changed
+    low = min(int(d[0] - i.max()) for d, _, i, _ in several)
+    high = max(int(d[-1] - i.min()) for d, _, i, _ in several) + 1
+    names = np.unique(np.concatenate([held.ravel() for t in several for held in (t[1], t[3])]))
+    several = [(d, np.searchsorted(names, hd), i, np.searchsorted(names, hi)) for d, hd, i, hi in several]
+    blocks = max(-(-sum(len(d) * len(i) for d, _, i, _ in several) // pairs), (high - low) * len(names) // (16 * pairs) + 1)
+    step = max(1, -(-(high - low) // blocks))
+    for begin in range(low, high, step):
+        met = [_within(at_doc, at_item, begin, begin + step) for at_doc, _, at_item, _ in several]
+        # by alignment and value of the item: a value it met, whether it met several, whether it counts, and as changed
+        first, many, seen, other = np.full(step * len(names), -1), *np.zeros((3, step * len(names)), bool)
+        rows = []
+        for (item, doc), (at_doc, held_doc, at_item, held_item) in zip(met, several, strict=True):
+            key = (at_doc[doc] - at_item[item] - begin)[:, None] * len(names) + held_item[item]
+            rows.append((key, held_doc[doc], held_doc[doc] != held_item[item]))
+            first[key] = held_doc[doc]
+        for key, now, _ in rows:
+            many[key[first[key] != now]] = True
+        for (item, _), (_, _, at_item, _), (key, _, differs) in zip(met, several, rows, strict=True):
+            # a value that meets several values takes the changed windows that hold it along
+            good = ~(differs.any(axis=1) & many[key].any(axis=1))
+            places |= set(np.unique(at_item[item[good]]).tolist())
+            seen[key[good]] = True
+            other[key[good][differs[good]]] = True
+        count = zip(other.reshape(step, -1).sum(axis=1).tolist(), seen.reshape(step, -1).sum(axis=1).tolist(), strict=True)
+        changed, slots = max((changed, slots), max(count))
+    return places, slots, changed
+    low = min(int(d[0] - i.max()) for d, _, i, _ in several)
+    high = max(int(d[-1] - i.min()) for d, _, i, _ in several) + 1
+    blocks = -(-sum(len(d) * len(i) for d, _, i, _ in several) // pairs)
+    step = max(1, -(-(high - low) // blocks))
+    for begin in range(low, high, step):
+        window, shift, was, now, of = [], [], [], [], []
+        for at_doc, held_doc, at_item, held_item in several:
+            item, doc = _within(at_doc, at_item, begin, begin + step)
+            number = len(of) + np.arange(len(item))
+            of += at_item[item].tolist()
+            width = held_doc.shape[1]
+            window.append(np.repeat(number, width))
+            shift.append(np.repeat(at_doc[doc] - at_item[item], width))
+            was.append(held_item[item].ravel())
+            now.append(held_doc[doc].ravel())
+        if not of:
+            continue
+        window, shift, was, now = (np.concatenate(a) for a in (window, shift, was, now))
+        # a value that meets several values along an alignment takes the changed windows that hold it along
+        order = np.lexsort((now, was, shift))
+        s, a, b = shift[order], was[order], now[order]
+        value = np.cumsum(np.r_[True, (s[1:] != s[:-1]) | (a[1:] != a[:-1])]) - 1
+        many = np.zeros(value[-1] + 1, bool)
+        many[value[1:][(value[1:] == value[:-1]) & (b[1:] != b[:-1])]] = True
+        altered, torn = np.zeros(len(of), bool), np.zeros(len(of), bool)
+        altered[window[was != now]] = True
+        torn[window[order][many[value]]] = True
+        good = ~(altered & torn)
+        places |= set(np.array(of)[good].tolist())
+        rows = np.unique(np.stack([shift, was, now], axis=1)[good[window]], axis=0)
+        if len(rows):
+            along, count = np.unique(rows[:, 0], return_counts=True)
+            other = np.bincount(np.searchsorted(along, rows[:, 0]), rows[:, 1] != rows[:, 2], len(along)).astype(int)
+            best = max(zip(other.tolist(), count.tolist(), strict=True))
+            if best > (changed, slots):
+                changed, slots = best
+    return places, slots, changed
+
+
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document and item the number of windows matched, of values at placeholders there, and of changed ones."""
+
+    def arrays_of(windows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        windows = sorted(windows, key=lambda w: w["place"])
+        held = np.array([w["slots"] for w in windows], np.int64).reshape(len(windows), -1)
+        return np.array([w["place"] for w in windows], np.int64), held
+
+    for batch in batches:
+        out = []
+        for plain, values, templates in zip(*(batch.column(c).to_pylist() for c in ("plain_places", "plain_slots", "templates")), strict=True):
+            places, slots, changed = consistent([(*arrays_of(t["at_doc"]), *arrays_of(t["at_item"])) for t in templates])
+            out.append((len(places | set(plain)), max(slots, len(values)), changed))
+        same = [batch.column(c) for c in ("doc_id", "row", "item_id", "item_row", "item_windows")]
+        new = [pa.array([r[i] for r in out], pa.int64()) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([*same, *new], ["doc_id", "row", "item_id", "item_row", "item_windows", "windows", "slots", "changed"])
+
+
 def contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
     """doc_id, item_id, windows, coverage, slots, changed and kind ('verbatim' or 'reparameterised') of contained items.
 
@@ -193,38 +310,32 @@ def _contained(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     keep[places.to_numpy(dtype=np.int64)] = 1
     sent = docs.sparkSession.sparkContext.broadcast(np.packbits(keep))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _windows("doc_id", sizes, window, np.unpackbits(sent.value))(batches)
+    def run(batches: Iterator[pa.RecordBatch], size=window) -> Iterator[pa.RecordBatch]:
+        yield from _windows("doc_id", sizes, size, np.unpackbits(sent.value))(batches)
 
     seen = id_and_text(docs).withColumn("row", text_digest()).mapInArrow(run, _WINDOWS)
-    items = items.selectExpr("id AS item_id", "row AS item_row", "size", "place AS item_place", "of AS item_windows", "plain", "hash", "slots AS item_slots")
-    hits = seen.select(F.col("id").alias("doc_id"), "row", "size", "place", "plain", "hash", "slots")
-    hits = hits.join(items, ["hash", "size", "plain"])
-    # a plain window is the item's, whatever counts as a name in the case of either
-    hits = hits.where("plain OR size(slots) = size(item_slots)").withColumn("shift", F.expr("place - item_place"))
-    hits = hits.withColumn("slots", F.expr("if(plain, item_slots, slots)"))
-    pairs = F.arrays_zip(F.col("item_slots").alias("was"), F.col("slots").alias("now"))
-    window_of = F.struct(F.col("item_place").alias("place"), (F.col("slots") == F.col("item_slots")).alias("same"), pairs.alias("pairs"))
-    aligned = hits.groupBy("doc_id", "row", "item_id", "item_row", "shift").agg(
-        F.collect_set(window_of).alias("met"), F.max("item_windows").alias("item_windows")
+    at = F.struct("place", "slots")
+    of_item = items.groupBy("hash", "size", "plain", F.col("id").alias("item_id"), F.col("row").alias("item_row")).agg(
+        F.max("of").alias("item_windows"), F.collect_list(at).alias("at_item")
     )
-    # a value that meets several values takes the changed windows that hold it along
-    aligned = aligned.withColumn("pairs", F.array_sort(F.array_distinct(F.flatten(F.col("met")["pairs"]))))
-    several = F.filter("pairs", lambda p, i: (i > 0) & (F.get(F.col("pairs")["was"], i - 1) == p["was"]))
-    aligned = aligned.withColumn("several", several["was"])
-    kept = F.filter("met", lambda w: w["same"] | ~F.arrays_overlap(w["pairs"]["was"], F.col("several")))
-    consistent = aligned.withColumn("met", kept).where(F.size("met") > 0)
-    consistent = consistent.withColumn("pairs", F.array_distinct(F.flatten(F.col("met")["pairs"])))
-    consistent = consistent.withColumn("places", F.col("met")["place"])
-    changed = F.size(F.filter("pairs", lambda p: p["was"] != p["now"]))
-    own = F.when(F.col("doc_id").isNull(), F.col("row")).alias("own")
-    consistent = consistent.select("doc_id", own, "item_id", "item_row", "item_windows", "places", F.size("pairs").alias("slots"), changed.alias("changed"))
-    found = consistent.groupBy("doc_id", "own", "item_id", "item_row").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("windows"),
+    of_doc = seen.groupBy(F.col("id").alias("doc_id"), "row", "hash", "size", "plain").agg(
+        F.collect_list(F.when(~F.col("plain"), at)).alias("at_doc")
+    )
+    hits = of_doc.join(of_item, ["hash", "size", "plain"])
+    met = hits.groupBy("doc_id", "row", "item_id", "item_row").agg(
         F.max("item_windows").alias("item_windows"),
-        F.max("slots").cast("long").alias("slots"),
-        F.max("changed").cast("long").alias("changed"),
+        F.array_distinct(F.flatten(F.collect_list("at_item.place"))).alias("reach"),
+        F.array_distinct(F.flatten(F.collect_list(F.when(F.col("plain"), F.col("at_item.place"))))).alias("plain_places"),
+        F.array_distinct(F.flatten(F.flatten(F.collect_list(F.when(F.col("plain"), F.col("at_item.slots")))))).alias("plain_slots"),
+        F.collect_list(F.when(~F.col("plain"), F.struct("at_doc", "at_item"))).alias("templates"),
     )
+    # what does not reach the share with all windows, consistent or not, cannot with fewer
+    met = met.where(F.size("reach") >= cover * F.col("item_windows")).drop("reach")
+    found = met.mapInArrow(_matched, "doc_id long, row string, item_id long, item_row string, item_windows int, windows long, slots long, changed long")
+    own = F.when(F.col("doc_id").isNull(), F.col("row")).alias("own")
+    found = found.where("windows > 0").select("doc_id", own, "item_id", "item_row", "item_windows", "windows", "slots", "changed")
+    found = found.groupBy("doc_id", "own", "item_id", "item_row", "item_windows").agg(F.max(F.struct("windows", "slots", "changed")).alias("best"))
+    found = found.select("doc_id", "own", "item_id", "item_windows", "best.*")
     found = found.withColumn("coverage", F.col("windows") / F.col("item_windows")).where(F.col("coverage") >= cover)
     kind = F.when(F.col("changed") > 0, "reparameterised").otherwise("verbatim")
     best = F.max(F.struct("coverage", "windows", "slots", "changed")).alias("best")

@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import numpy as np
 import pytest
 
@@ -48,44 +52,89 @@ def test_pairs(tables):
     assert got[1, 2].coverage == 1 and got[3, 1].changed >= 3
 
 
-def brute(window=8, literals=4):
-    """Windows as tuples of tokens, compared one by one."""
+WORD = re.compile(r"[0-9]+(?:[.,][0-9]+)*|[A-Za-z\x80-\U0010FFFF]+")
+
+
+def canonical(text):
+    """Tokens as (kind, word): n, u and N for numbers, units and names, else the word itself."""
+    out, end = [], 0
+    for m in WORD.finditer(text or ""):
+        word, gap = m.group(), (text or "")[end : m.start()]
+        number_before = bool(out) and out[-1][0] == "n" and len(gap) <= 1
+        begins = not out or bool(re.search(r'[.!?:\n\r|"]', gap))
+        if word[0].isdigit():
+            kind = "n"
+        elif number_before and word.lower() in decontaminate.UNITS:
+            kind = "u"
+        else:
+            kind = "N" if not begins and re.match(r"[A-Z][^A-Z]", word) else ""
+        out.append((kind, word.casefold()))
+        end = m.end()
+    return out
 
-    def canonical(text):
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        t = Tokens(data, np.array([0, len(data)]))
-        return t.hashes.tolist(), t.slots.tolist()
 
+def brute(docs, items, window=8):
+    """Windows compared one by one."""
     out = set()
-    for d, text in DOCS:
-        words, slots = canonical(text)
-        if len(words) > 5000:
+    for d, text in docs:
+        have = canonical(text)
+        if len(have) > 5000:
             continue
-        for i, item in ITEMS:
-            iw, islots = canonical(item)
-            n = min(window, len(iw))
-            if not n:
-                continue
-            hit = {}
-            for a in range(len(iw) - n + 1):
-                if sum(s == 0 for s in islots[a : a + n]) < min(n, literals):
-                    continue
-                for b in range(len(words) - n + 1):
-                    if words[b : b + n] == iw[a : a + n]:
-                        hit.setdefault(b - a, []).append((a, b))
-            places = set()
-            for pairs in hit.values():
-                met = {(x, y) for a, b in pairs for x, y in zip(islots[a : a + n], slots[b : b + n], strict=True) if x}
-                if len({x for x, _ in met}) == len(met):
-                    places |= {a for a, _ in pairs}
-            if places and len(places) / (len(iw) - n + 1) >= 0.5:
+        for i, item in items:
+            want = canonical(item)
+            n = min(window, len(want))
+            places, along = set(), {}
+            for a in range(len(want) - n + 1) if n else ():
+                left = want[a : a + n]
+                for b in range(len(have) - n + 1):
+                    right = have[b : b + n]
+                    if [w for _, w in left] == [w for _, w in right]:
+                        places.add(a)
+                    if n >= 4 and sum(not k for k, _ in left) >= 2 and all(k == l and (k or v == w) for (k, v), (l, w) in zip(left, right)):
+                        along.setdefault(b - a, []).append((a, [(v, w) for (k, v), (_, w) in zip(left, right) if k]))
+            for met in along.values():
+                pairs = {p for _, held in met for p in held}
+                torn = {v for v, w in pairs if any(x == v and y != w for x, y in pairs)}
+                places |= {a for a, held in met if all(v == w for v, w in held) or not any(v in torn for v, _ in held)}
+            if places and len(places) / (len(want) - n + 1) >= 0.5:
                 out.add((d, i))
     return out
 
 
 def test_against_brute_force(tables):
     got = {(r.doc_id, r.item_id) for r in decontaminate.contained(*tables).collect()}
-    assert got - {(12, 2)} == brute()
+    assert got - {(12, 2)} == brute(DOCS, ITEMS)
+
+
+def test_random_templates_against_brute_force(spark):
+    """Short texts of few words, names, units and numbers, so that windows repeat on both sides."""
+    rnd = random.Random(6)
+    bits = ["cost", "and", "of", "Anna", "Bob", "12 kg", "7", "7 km", "3", "plus"]
+    items = [(i, " ".join(rnd.choice(bits) for _ in range(rnd.randint(2, 14)))) for i in range(40)]
+    items += [(90, "row 1 value 2 " * 8), (91, "is 4 plus 5 a 9")]
+    docs = [(i, "so " + " ".join(rnd.choice(bits) for _ in range(rnd.randint(5, 60)))) for i in range(30)]
+    docs += [(100 + i, f"x {t.replace('7', '8').replace('Bob', 'Eve')} y") for i, t in items] + [(200, "row 3 value 4 row 5 value 6 " * 9)]
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contained(*tables).collect()}
+    assert got == brute(docs, items) and len(got) > 60
+
+
+def test_long_tables_of_one_number_take_seconds(spark):
+    docs = spark.createDataFrame([(1, "0 " * 20_000), (2, "row 1 of 2 " * 4000), (3, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "0 " * 2000), (2, "row 3 of 4 " * 300)], "item_id long, text string")
+    start = time.monotonic()
+    got = {(r.doc_id, r.item_id): (r.kind, r.coverage) for r in decontaminate.contained(docs, items).collect()}
+    assert got == {(1, 1): ("verbatim", 1.0), (2, 2): ("reparameterised", 1.0)}
+    assert time.monotonic() - start < 60
+
+
+def test_blocks_of_shifts_change_nothing():
+    rng = np.random.default_rng(3)
+    templates = []
+    for _ in range(5):
+        a, b = np.sort(rng.choice(300, 40, replace=False)), np.sort(rng.choice(60, 12, replace=False))
+        templates.append((a, rng.integers(0, 4, (40, 2)), b, rng.integers(0, 4, (12, 2))))
+    assert len({(tuple(sorted(p)), s, c) for p, s, c in (decontaminate.consistent(templates, n) for n in (7, 100, 1 << 18))}) == 1
 
 
 def test_canonical_tokens():
@@ -118,19 +167,21 @@ def test_rows_without_an_id_are_documents_of_their_own(spark, tables):
     assert sorted((r.text for r in kept.collect()), key=repr) == ["clean text about nothing", None]
 
 
-def test_items_of_numbers_and_names_match_verbatim(spark):
+def test_items_of_numbers_and_names(spark):
     items = [(1, "What is 12 plus 30?"), (2, "Add 1 kg 2 kg 3 kg 4 kg 5 kg 6 kg 7 kg and 8 kg."), (3, "5 7 11 13")]
     docs = [
         (1, "see: What is 12 plus 30? Think."),
         (2, "x. " + items[1][1]),
         (3, "so 5 7 11 13 go"),
         (4, "see: What is 13 plus 30? Think."),
+        (6, "see: What is 45 plus 81? Think."),
         (5, "x. Add 2 kg 3 kg 4 kg 5 kg 6 kg 7 kg 8 kg and 9 kg."),
     ]
     tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id): r for r in decontaminate.contained(*tables).collect()}
-    assert set(got) == {(1, 1), (2, 2), (3, 3)}
-    assert {(r.kind, r.coverage) for r in got.values()} == {("verbatim", 1.0)}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 1), (6, 1)}
+    assert {k for k, r in got.items() if r.kind == "reparameterised"} == {(4, 1), (6, 1)}
+    assert {r.coverage for r in got.values()} == {1.0} and got[6, 1].changed == 2
 
 
 def test_one_altered_value_does_not_hide_the_rest(spark):
