@@ -6,7 +6,8 @@ code not yet seen differs by at least r + 1 bits in each segment, so by at least
 k-th verified distance is below that, the answer is complete (Norouzi et al., 2012).
 
 Codes are deduplicated first. As ties are broken by id, the k + 1 smallest ids of a code are all that can be answers.
-Queries are dealt in blocks, each of which meets every shard.
+Every query first searches the shard its hash names. The k-th distance found there bounds its search in the other shards,
+which ends with the radius that cannot come below. A code travels once to its shard for either pass, a query as 24 bytes to each.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import cut, prepared
 
-#: Codes of a shard, and of a block of queries.
-SHARD, BLOCK = 1 << 17, 1024
+#: Codes of a shard.
+SHARD = 1 << 17
 SEGMENTS, BITS = 4, 16
 
 
@@ -53,12 +54,16 @@ class Shard:
     def part(codes: np.ndarray, j: int) -> np.ndarray:
         return (codes >> np.uint64(BITS * j)).astype(np.int64) & ((1 << BITS) - 1)
 
-    def nearest(self, query: np.uint64, k: int, ties: np.ndarray, masks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and distances of the k nearest codes, equal distances by ``ties``."""
+    def nearest(
+        self, query: np.uint64, k: int, ties: np.ndarray, masks: list[np.ndarray], bound: int = 64
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and distances of the k nearest codes within ``bound``, equal distances by ``ties``."""
         found, distance = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         parts = [int(self.part(np.array([query], np.uint64), j)[0]) for j in range(SEGMENTS)]
         held = 0
         for radius in range(BITS + 1):
+            if SEGMENTS * radius > bound:  # all that is left is further away
+                break
             for j in range(SEGMENTS):
                 values = parts[j] ^ masks[radius]
                 low, high = self.first[j][values], self.first[j][values + 1]
@@ -84,34 +89,55 @@ class Shard:
                     break
         found, distance = np.concatenate(found), np.concatenate(distance)
         best = np.lexsort((ties[found], distance))[:k]
+        best = best[distance[best] <= bound]
         return found[best], distance[best]
 
 
 def _search(k: int):
+    """Of rows (shard, bound, code, least_id), sorted by shard and bound: rows without a bound are a shard's codes, others ask."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = [
             np.array([sum(1 << b for b in bits) for bits in combinations(range(BITS), r)], np.int64) for r in range(BITS + 1)
         ]
-        known, shard = None, None
+        number, held, shard, ids = None, [], None, None
         for batch in batches:
-            for i in range(batch.num_rows):
-                number = batch.column("shard")[i].as_py()
-                held = batch.column("members")[i].values
-                codes, ids = (held.field(n).to_numpy() for n in (0, 1))
-                if known != number:
-                    known, shard = number, Shard(codes.view(np.uint64))
-                out = ([], [], [], [])
-                for q in batch.column("queries")[i].values.to_numpy():
-                    near, distance = shard.nearest(q.view(np.uint64), k, ids, masks)
-                    for column, values in zip(out, (np.full(len(near), q), codes[near], distance, ids[near]), strict=True):
+            at, bounds = batch.column("shard").to_numpy(), batch.column("bound").to_numpy()
+            codes, least = batch.column("code").to_numpy(), batch.column("least_id").to_numpy()
+            out = ([], [], [], [])
+            cuts = np.flatnonzero((np.diff(at) != 0) | ((bounds[1:] < 0) != (bounds[:-1] < 0))) + 1
+            for part in np.split(np.arange(len(at)), cuts):
+                if not len(part):
+                    continue
+                if at[part[0]] != number:
+                    number, held, shard = at[part[0]], [], None
+                if bounds[part[0]] < 0:
+                    held.append((codes[part], least[part]))
+                    continue
+                if not held:
+                    continue
+                if shard is None:
+                    shard, ids = Shard(np.concatenate([c for c, _ in held]).view(np.uint64)), np.concatenate([i for _, i in held])
+                for q, bound in zip(codes[part], bounds[part].tolist(), strict=True):
+                    near, distance = shard.nearest(q.view(np.uint64), k, ids, masks, bound)
+                    found = (np.full(len(near), q), shard.codes[near].view(np.int64), distance, ids[near])
+                    for column, values in zip(out, found, strict=True):
                         column.append(values)
-                columns = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in out]
-                yield pa.RecordBatch.from_arrays(columns, ["query_code", "code", "distance", "least_id"])
+            columns = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in out]
+            yield pa.RecordBatch.from_arrays(columns, ["query_code", "code", "distance", "least_id"])
 
     return run
 
 
-def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+def _found(codes: DataFrame, asked: DataFrame, k: int, shards: int) -> DataFrame:
+    """Rows (query_code, code, distance, least_id): what ``asked`` (shard, code, bound) find in the shards of ``codes``."""
+    own = codes.select("shard", F.lit(-1).alias("bound"), "code", "least_id")
+    both = own.unionByName(asked.select("shard", "bound", "code", F.lit(0).cast("long").alias("least_id")))
+    dealt = both.repartition(shards, "shard").sortWithinPartitions("shard", "bound")
+    return dealt.mapInArrow(_search(k), "query_code long, code long, distance long, least_id long")
+
+
+def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHARD) -> DataFrame:
     """query_id, rank (1 to k), id and distance: the k rows nearest to each query, itself left out, ties by id.
 
     ``rows`` and ``queries``: id, code (long). Rows with a NULL id or code are ignored; rows that repeat an id with one code
@@ -128,23 +154,20 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHARD,
     whole = Window.partitionBy("code").orderBy("id")
     first = cut(first.withColumn("n", F.row_number().over(whole)).where(F.col("n") <= k + 1).select("code", "id"), "first-ids")
     distinct = first.groupBy("code").agg(F.min("id").alias("least_id"))
-    n_codes, n_queries = distinct.count(), queries.select("query_code").distinct().count()
-    n_shards, n_blocks = max(1, -(-n_codes // shard)), max(1, -(-n_queries // block))
-    shards = distinct.groupBy(F.pmod(F.xxhash64("code"), F.lit(n_shards)).alias("shard")).agg(
-        F.collect_list(F.struct("code", "least_id")).alias("members")
-    )
-    blocks = (
-        queries.select("query_code")
-        .distinct()
-        .groupBy(F.pmod(F.xxhash64("query_code"), F.lit(n_blocks)).alias("block"))
-        .agg(F.collect_list("query_code").alias("queries"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))))
-    )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = blocks.join(shards, "shard").repartition(parts, "block", "shard").sortWithinPartitions("shard")
-    near = met.select("shard", "members", "queries").mapInArrow(
-        _search(k + 1), "query_code long, code long, distance long, least_id long"
-    )
+    # smaller shards where there are few codes, so that all cores have some
+    n_codes, cores = distinct.count(), spark.sparkContext.defaultParallelism
+    n_shards = max(-(-n_codes // shard), min(cores, -(-n_codes // min(shard, 1 << 13))), 1)
+    home = F.pmod(F.xxhash64("code"), F.lit(n_shards)).alias("shard")
+    codes = cut(distinct.select("code", "least_id", home), "shards")
+    asked = cut(queries.select(F.col("query_code").alias("code")).distinct().select("code", home), "asked")
+    near = cut(_found(codes, asked.withColumn("bound", F.lit(64)), k + 1, n_shards), "near-home")
+    if n_shards > 1:
+        # the (k + 1)-th distance, where the home shard has so many
+        last = near.groupBy(F.col("query_code").alias("code")).agg(F.max("distance").cast("int").alias("last"), F.count("*").alias("n"))
+        bounds = asked.join(last.where(F.col("n") > k).drop("n"), "code", "left").withColumn("bound", F.coalesce("last", F.lit(64)))
+        every = F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))
+        others = bounds.select("code", "bound", F.explode(F.array_remove(every, F.col("shard"))).alias("shard"))
+        near = near.unionByName(_found(codes, others, k + 1, n_shards))
     best = Window.partitionBy("query_code").orderBy("distance", "least_id")
     near = near.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n", "least_id")
     ids = near.join(first, "code").groupBy("query_code").agg(
