@@ -93,11 +93,9 @@ def reduce_by_dominance(histogram: dict[int, int], room: int) -> tuple[list[tupl
                 if mates is None:
                     break
                 members = Counter((s, *mates))
-                # a set that is exactly full, or holds one piece, dominates for every copy of its members alike
-                alike = sum(x * c for x, c in members.items()) == room or not mates
-                times = min(left[x] // c for x, c in members.items()) if alike else 1
-                if not alike and len(mates) == 1 and s != mates[0]:
-                    times = min(left[s], left[mates[0]])  # the next copy of s sees the same lengths, less these two
+                # all copies at once: with fewer pieces left, whatever was shown not to fit, or not to be better, still is
+                # not, and the set's own members are there until one of them runs out
+                times = min(left[x] // c for x, c in members.items())
                 for x, c in members.items():
                     left[x] -= c * times
                 fixed.append((tuple(sorted(members.items(), reverse=True)), times))
@@ -212,14 +210,14 @@ def pack(docs: DataFrame, tokenizer: str, room: int = 4096, end_id: int = 1, buc
     first = cut(counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "first-ranks")
     # at most ``room`` rows: the lengths are whole numbers from 1 to room
     histogram = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    # its rows are bounded by the patterns, which number a few for each length, never by the documents
+    # its rows are bounded by the patterns: each uses up a length, or the last copies of one, so a few for each length
     places = spark.createDataFrame(
         slots(plan(histogram, room)) or [(0, 0, 0, 0, 0)], "length long, rank long, ranks long, sequence long, offset long"
     )
     within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32", "start")
     ranked = found.withColumn("nth", F.row_number().over(within)).join(first, ["length", "part"])
     ranked = ranked.withColumn("rank", F.col("first") + F.col("nth") - 1).drop("first", "nth", "part")
-    p, r = F.broadcast(places.withColumnRenamed("rank", "from")), ranked
+    p, r = places.withColumnRenamed("rank", "from"), ranked
     joined = r.join(p, "length").where("rank >= from AND rank < from + ranks")
     return joined.select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("sequence") + F.col("rank") - F.col("from")).alias("sequence_id"), "offset"

@@ -139,3 +139,16 @@ def test_special_tokens_in_mixed_case(tokenizer):
     assert WordCache(TOKENIZER).encode(texts) == [
         np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)
     ]
+
+
+def test_patterns_are_bounded_by_lengths_not_by_pieces():
+    for histogram in ({1500: 20_000}, {1500: 20_001, 1200: 7}, {2000: 9000, 1500: 20_000, 500: 30_000}, {1365: 100_000, 1366: 50_001}):
+        patterns = packing.plan(histogram, 4096)
+        assert len(patterns) <= 4 * len(histogram) + 4
+        used = Counter()
+        for pattern, times in patterns:
+            assert sum(s * c for s, c in pattern) <= 4096
+            for s, c in pattern:
+                used[s] += c * times
+        assert used == histogram
+    assert sum(n for _, n in packing.plan({1500: 20_000}, 4096)) == 10_000
