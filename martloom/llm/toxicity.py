@@ -15,6 +15,7 @@ subsequences, the machine is one weight per subsequence: a document is scored by
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -184,8 +185,8 @@ def landmarks(toxic: list[bytes], clean: list[bytes], most: int = LANDMARKS) ->
     """Beginnings that mark toxic documents, each for documents the ones before do not cover well, and ordinary ones."""
     often = np.zeros(1 << 22, np.uint16)  # documents by hash: most beginnings occur in one only and are not kept
     for t in toxic:
-        often[np.unique([hash(b) & (1 << 22) - 1 for b in _beginnings(t)] or [0])] += 1
-    held = [{b for b in _beginnings(t) if often[hash(b) & (1 << 22) - 1] >= 3} for t in toxic]
+        often[np.unique([zlib.crc32(b) & (1 << 22) - 1 for b in _beginnings(t)] or [0])] += 1
+    held = [{b for b in _beginnings(t) if often[zlib.crc32(b) & (1 << 22) - 1] >= 3} for t in toxic]
     in_toxic, in_clean = Counter(b for h in held for b in h), Counter()
     for t in clean:
         in_clean.update(b for b in _beginnings(t) if b in in_toxic)
