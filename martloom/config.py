@@ -222,6 +222,9 @@ class Config:
     boosting_min_rows: int = PUBLISHED["boosting_min_rows"]
     boosting_l1: float = PUBLISHED["boosting_l1"]
     boosting_l2: float = PUBLISHED["boosting_l2"]
+    # sizes of sketches that replace exact quantiles and distinct counts, where those cost too much
+    quantile_sketch: int | None = None
+    distinct_sketch: int | None = None
     seller_clusters: int = PUBLISHED["seller_clusters"]
     cluster_range: tuple = PUBLISHED["cluster_range"]
     cluster_range_starts: int = PUBLISHED["cluster_range_starts"]

@@ -19,6 +19,8 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
+from itertools import combinations
+from math import factorial
 
 import numpy as np
 import pyarrow as pa
@@ -106,6 +108,60 @@ class Trees:
 
         return df.mapInArrow(run, _with(df.schema, (name, "double")))
 
+    def paths(self) -> list[tuple[list[tuple[int, float, float]], np.ndarray]]:
+        """Of every leaf that rows reach: its conditions (feature, above, at most) and :func:`shares` of its value."""
+        found, inner = [], self.feature.shape[1]
+        for feature, threshold, leaf, cover in zip(self.feature, self.threshold, self.leaf, self.cover, strict=True):
+            for place, value in enumerate(leaf):
+                node, held = place + inner, {}
+                if cover[node] <= 0:
+                    continue
+                while node:
+                    parent, right = (node - 1) // 2, node % 2 == 0
+                    f, t = int(feature[parent]), float(threshold[parent])
+                    low, high, part = held.get(f, (-np.inf, np.inf, 1.0))
+                    low, high = (max(low, t), high) if right else (low, min(high, t))
+                    held[f] = (low, high, part * float(cover[node] / cover[parent]))
+                    node = parent
+                # a feature whose nodes do not split says nothing
+                held = {f: v for f, v in held.items() if v[0] > -np.inf or v[1] < np.inf}
+                found.append(([(f, low, high) for f, (low, high, _) in held.items()], float(value) * shares([p for *_, p in held.values()])))
+        return found
+
+    def expected(self) -> float:
+        """The mean margin of the rows the trees were grown on, each node's rows going on by their shares."""
+        total, inner = self.base, self.feature.shape[1]
+        return total + sum(float((leaf * cover[inner:]).sum() / cover[0]) for leaf, cover in zip(self.leaf, self.cover, strict=True) if cover[0] > 0)
+
+    def attributions(self, x: np.ndarray, paths: list | None = None) -> np.ndarray:
+        """How much each feature adds to each row's margin, compared to :meth:`expected`: Shapley values over the trees.
+
+        An unknown feature lets a row go both ways at its nodes, by the shares of the rows the trees were grown on.
+        """
+        out = np.zeros(x.shape)
+        for conditions, table in self.paths() if paths is None else paths:
+            met = np.zeros(len(x), np.int64)
+            for i, (f, low, high) in enumerate(conditions):
+                # a missing value goes left: it is never above anything
+                inside = ~(x[:, f] > high) if low == -np.inf else (x[:, f] > low) & ~(x[:, f] > high)
+                met |= inside.astype(np.int64) << i
+            for i, (f, _, _) in enumerate(conditions):
+                out[:, f] += table[met, i]
+        return out
+
+    def attribute(self, df: DataFrame, name: str = "attributions", columns: Sequence[str] | None = None) -> DataFrame:
+        """``df`` with the :meth:`attributions`, an array in the order of the features."""
+        ship_package(df.sparkSession)
+        sent, used = df.sparkSession.sparkContext.broadcast((self, self.paths())), list(columns or self.names)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trees, paths = sent.value
+            for batch in batches:
+                found = pa.array(list(trees.attributions(values_of(batch, used), paths)), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
+
+        return df.mapInArrow(run, _with(df.schema, (name, "array<double>")))
+
     def importance(self) -> np.ndarray:
         """Each feature's share of the gain of all splits."""
         total = np.bincount(self.feature.ravel(), self.gain.ravel(), minlength=len(self.names))
@@ -137,6 +193,28 @@ def _with(schema: StructType, *columns: tuple[str, str]) -> StructType:
     return StructType([*schema.fields, *(StructField(name, StructType.fromDDL(f"c {kind}")[0].dataType) for name, kind in columns)])
 
 
+def shares(part: list[float]) -> np.ndarray:
+    """Of a leaf with value 1 the Shapley value of each condition, for every set of conditions that hold (bits of the row).
+
+    ``part``: the share of rows that meet each condition, where it is unknown whether they do.
+    """
+    d = len(part)
+    holds = np.array([[(p >> i) & 1 for i in range(d)] for p in range(1 << d)], float).reshape(1 << d, d)
+    out = np.zeros((1 << d, d))
+    for j in range(d):
+        others = [k for k in range(d) if k != j]
+        total = np.zeros(1 << d)
+        for size in range(d):
+            weight = factorial(size) * factorial(d - size - 1) / factorial(d)
+            for known in combinations(others, size):
+                term = np.full(1 << d, weight)
+                for k in others:
+                    term = term * (holds[:, k] if k in known else part[k])
+                total += term
+        out[:, j] = (holds[:, j] - part[j]) * total
+    return out
+
+
 def values_of(batch: pa.RecordBatch, columns: Sequence[str]) -> np.ndarray:
     """The columns as an array of doubles, a missing value as NaN."""
     held = [batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns]

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from martloom.operators.sketches import merge_quantiles, quantile_sketches
+
 #: Equal widths into which a bracket is cut when it is narrowed; so many rows per group are sorted at once.
 _BINS = 4096
 
@@ -98,3 +100,11 @@ def exact_quantile(
         query += _NARROW.format(**fixed, k=k, v_with_before=v_with(f"level{k - 1}"))
     query += _END.format(**fixed, v_with_last=v_with(f"level{levels}"))
     return df.sparkSession.sql(query, rows=df)
+
+
+def quantile(df: DataFrame, value: str, q: float, by: Sequence[str] = (), name: str = "quantile", sketch: int | None = None) -> DataFrame:
+    """The exact quantile, or with ``sketch`` (a size) the one of a sketch: one pass, rank error as :func:`rank_error` says."""
+    if sketch is None:
+        return exact_quantile(df, value, q, by, name)
+    found = merge_quantiles(quantile_sketches(df, value, by, sketch), {name: q}, by, sketch)
+    return found.select(*by, name)

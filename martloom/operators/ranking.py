@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.numbers import as_col
 
+Cut = Callable[[DataFrame, str], DataFrame]
+
 
 def rank_rows(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
     """Number all rows 1..n. One task sees every row: only for aggregated reports."""
@@ -27,6 +31,48 @@ def average_percentile_rank(value) -> Column:
     return (rank + (peers - 1) / 2) / F.count("*").over(Window.partitionBy())
 
 
+def _in_ranges(df: DataFrame, order: list[Column], amount: Column, cut: Cut, name: str) -> tuple[DataFrame, int]:
+    """``df`` written in ranges of ``order``, with its range ``_part`` and ``_before``, the total of ``amount`` in those below.
+
+    Also the total of all.
+
+    The totals are one number per range; they come to the driver and back as a small table.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), name)
+    sums = sorted((r["_part"], r["n"]) for r in ranged.groupBy("_part").agg(F.sum(amount).alias("n")).collect())
+    before, rows = 0, []
+    for part, n in sums:
+        rows.append((part, before))
+        before += n
+    starts = spark.createDataFrame(rows or [(0, 0)], "_part int, _before long")
+    return ranged.join(starts, "_part"), before
+
+
+def rank_all(df: DataFrame, name: str, order: list[Column], cut: Cut) -> DataFrame:
+    """Number all rows 1..n in ``order``, for any number of rows: ranges of the order are numbered side by side.
+
+    ``order`` should end with a key. Rows that are equal in it are numbered in any order, and lie in one range.
+    """
+    held, _ = _in_ranges(df, order, F.lit(1), cut, "ranked-rows")
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return held.withColumn(name, F.col("_before") + inside).drop("_part", "_before")
+
+
+def percentile_rank_all(df: DataFrame, value: str, name: str, cut: Cut) -> DataFrame:
+    """Rank over n where equal values share the mean of their ranks, for any number of rows; NULL for a missing value.
+
+    Equal values are one row while ranks are found, so ties never lie on both sides of a range's border.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_c"))
+    held, n = _in_ranges(counts, [F.asc(value)], F.col("_c"), cut, "ranked-values")
+    upto = F.sum("_c").over(Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    below = held.withColumn("_below", F.col("_before") + upto - F.col("_c"))
+    ranks = below.select(F.col(value).alias("_v"), ((F.col("_below") + (F.col("_c") + 1) / 2) / F.lit(max(n, 1))).alias(name))
+    return df.join(ranks, F.col(value) == F.col("_v"), "left").drop("_v")
+
+
 def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """First ``n`` rows per group; the limit is also applied before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -12,7 +12,7 @@ from martloom.functions.aggregates import exact_mean, exact_sum, first_by, most_
 from martloom.functions.dates import elapsed_days
 from martloom.functions.numbers import band, flag
 from martloom.operators.keys import completed
-from martloom.operators.quantiles import exact_quantile
+from martloom.operators.quantiles import quantile
 
 
 def customer_review_scores(orders: DataFrame, customers: DataFrame, reviewed: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def customer_payment_profile(
     base = base.withColumn("avg_review_score", F.coalesce("avg_review_score", F.lit(0.0)))
     if cut is not None:
         base = cut(base, "customer-base")
-    threshold = exact_quantile(base, "total_spend", cfg.hvc_quantile).scalar()
+    threshold = quantile(base, "total_spend", cfg.hvc_quantile, sketch=cfg.quantile_sketch).scalar()
     return base.select(
         "customer_unique_id",
         "customer_state",
@@ -92,8 +92,8 @@ def customer_payment_profile(
 
 def customer_quantiles(profile: DataFrame, cfg: Config = Config()) -> DataFrame:
     """One row: the spend from which a customer is of high value, and the median order value."""
-    spend = exact_quantile(profile, "total_spend", cfg.hvc_quantile, name="spend_quantile")
-    return spend.withColumn("median_order_value", exact_quantile(profile, "avg_order_value", 0.5).scalar())
+    spend = quantile(profile, "total_spend", cfg.hvc_quantile, name="spend_quantile", sketch=cfg.quantile_sketch)
+    return spend.withColumn("median_order_value", quantile(profile, "avg_order_value", 0.5, sketch=cfg.quantile_sketch).scalar())
 
 
 def geo_payment_summary(profile: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ def run_lead_scoring(marts: Marts, folder: str, cut: Cut) -> list[str]:
         {
             "lead_scores": (scores, ["-priority_score"]),
             "lead_importance": (leads.feature_importance(model, marts.cfg), ["rank"]),
+            "lead_attributions": (leads.feature_attributions(model), ["rank"]),
             "lead_metrics": (leads.lead_model_metrics(model), ["metric"]),
             "lead_profile_summary": (leads.lead_profile_summary(scores), ["avg_predicted_days"]),
             "lead_tier_distribution": (leads.lead_tier_distribution(scores), ["-lead_count"]),

@@ -167,6 +167,20 @@ def feature_importance(model: LeadModel, cfg: Config = Config()) -> DataFrame:
     )
 
 
+def feature_attributions(model: LeadModel) -> DataFrame:
+    """Per feature the mean size and the mean of what it adds to a lead's predicted log days, largest size first."""
+    per_lead = model.trees.attribute(model.training.select(*FEATURES)).select("attributions")
+    means = per_lead.agg(
+        *[exact_mean(F.abs(F.col("attributions")[i])).alias(f"a{i}") for i in range(len(FEATURES))],
+        *[exact_mean(F.col("attributions")[i]).alias(f"m{i}") for i in range(len(FEATURES))],
+    )
+    rows = [
+        F.struct(F.lit(f.removesuffix("_enc")).alias("feature"), F.col(f"a{i}").alias("mean_abs"), F.col(f"m{i}").alias("mean"))
+        for i, f in enumerate(FEATURES)
+    ]
+    return rank_rows(means.select(F.inline(F.array(*rows))), "rank", [F.desc("mean_abs"), F.asc("feature")])
+
+
 def lead_scores(leads: DataFrame, model: LeadModel, history: DataFrame, cut: Cut) -> DataFrame:
     """Predicted days, inverse min-max priority, tier, likely segment and onboarding package per lead.
 

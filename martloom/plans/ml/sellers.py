@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.config import AD_CREDIT_SHARE, CLUSTER_AD_PACKAGES, SELLER_VALUE_MULTIPLIER, Config
 from martloom.functions.aggregates import exact_mean
 from martloom.functions.numbers import flag, half_even, lookup
+from martloom.operators.clustering import Clusters, Start, kmeans, silhouettes
 from martloom.operators.quantiles import exact_quantile
 from martloom.operators.ranking import rank_rows, share_of_total
+from martloom.session import cut
 
 CLUSTER_FEATURES = ["log_revenue", "avg_review_score", "log_orders", "unique_categories"]
 TIERS = ("Starter", "Growth", "Premium")
 
+Cut = Callable[[DataFrame, str], DataFrame]
+
 
 def cluster_columns(performance: DataFrame) -> DataFrame:
     return performance.withColumns({"log_revenue": F.log1p("total_revenue"), "log_orders": F.log1p("total_orders")})
@@ -47,70 +50,65 @@ def seller_cluster_features(performance: DataFrame) -> DataFrame:
     )
 
 
-def _fit(scaled: DataFrame, k: int, starts: int, cfg: Config, at_once: int = 8) -> KMeansModel:
-    """The best of ``starts`` k-means runs by cost, the first of equals; ``at_once`` of them share the cluster."""
+def _points(performance: DataFrame, scaler: PipelineModel) -> DataFrame:
+    return scaled_sellers(performance, scaler).select("seller_id", vector_to_array("features").alias("features"))
 
-    def run(i: int) -> KMeansModel:
-        means = KMeans(k=k, seed=cfg.seed + i, featuresCol="features", predictionCol="cluster", maxIter=300, tol=1e-4)
-        return means.fit(scaled)
 
-    with ThreadPool(min(at_once, starts)) as pool:
-        return min(pool.map(run, range(starts)), key=lambda m: m.summary.trainingCost)
+def _best(found: list[Clusters]) -> Clusters:
+    """The run with the least cost, the first of equals."""
+    return min(found, key=lambda c: c.cost)
 
 
-def cluster_validation(performance: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Inertia and silhouette for each candidate k.
+def cluster_validation(performance: DataFrame, cfg: Config = Config(), cut: Cut = cut) -> DataFrame:
+    """Inertia and silhouette, on Euclidean distances, for each candidate k.
 
-    Inertia is on features scaled by the population deviation. The silhouette uses squared
-    distances, which needs one pass instead of all pairs of sellers.
+    Inertia is on features scaled by the population deviation. All starts of all candidates move in the same passes.
     """
-    scaled = scaled_sellers(performance, fit_scaler(performance)).select("features").persist()
-    try:
-        n = scaled.count()
-        evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
-
-        def measure(k: int):
-            model = _fit(scaled, k, cfg.cluster_range_starts, cfg, at_once=2)
-            inertia = model.summary.trainingCost * n / max(n - 1, 1)
-            return k, round(inertia, 2), round(evaluator.evaluate(model.transform(scaled)), 4)
-
-        # the candidates are independent fits; each brings back two numbers
-        with ThreadPool(len(cfg.cluster_range)) as pool:
-            rows = pool.map(measure, cfg.cluster_range)
-    finally:
-        scaled.unpersist()
-    best = max(rows, key=lambda r: r[2])[0]
+    scaler = fit_scaler(performance)
+    points = cut(_points(performance, scaler), "seller-points")
+    n = points.count()
+    starts = [Start(k, cfg.seed + i) for k in cfg.cluster_range for i in range(cfg.cluster_range_starts)]
+    found = kmeans(points, starts)
+    best = [_best([c for c, s in zip(found, starts, strict=True) if s.k == k]) for k in cfg.cluster_range]
+    scores = silhouettes(points, "seller_id", [c.nearest(F.col("features")) for c in best], cut)
+    rows = [
+        # one standard deviation is that of a sample, the other that of the population
+        (k, round(c.cost * n / max(n - 1, 1), 2), round(s, 4)) for k, c, s in zip(cfg.cluster_range, best, scores, strict=True)
+    ]
+    top = max(rows, key=lambda r: r[2])[0]
     return performance.sparkSession.createDataFrame(
-        [(*r, int(r[0] == best)) for r in rows], "k int, inertia double, silhouette_score double, is_best int"
+        [(*r, int(r[0] == top)) for r in rows], "k int, inertia double, silhouette_score double, is_best int"
     )
 
 
 @dataclass
 class SellerModel:
     scaler: PipelineModel
-    clusters: KMeansModel
+    clusters: Clusters
 
     def save(self, path: str) -> None:
         self.scaler.write().overwrite().save(f"{path}/scaler")
-        self.clusters.write().overwrite().save(f"{path}/clusters")
+        rows = [(i, c.tolist(), self.clusters.cost) for i, c in enumerate(self.clusters.centers)]
+        table = SparkSession.active().createDataFrame(rows, "cluster int, center array<double>, cost double")
+        table.coalesce(1).write.mode("overwrite").parquet(f"{path}/clusters")
 
     @staticmethod
     def load(path: str) -> SellerModel:
-        return SellerModel(PipelineModel.load(f"{path}/scaler"), KMeansModel.load(f"{path}/clusters"))
+        rows = SparkSession.active().read.parquet(f"{path}/clusters").orderBy("cluster").collect()  # one per cluster
+        clusters = Clusters(np.array([r["center"] for r in rows]), rows[0]["cost"])
+        return SellerModel(PipelineModel.load(f"{path}/scaler"), clusters)
 
 
-def train_seller_model(performance: DataFrame, cfg: Config = Config()) -> SellerModel:
+def train_seller_model(performance: DataFrame, cfg: Config = Config(), cut: Cut = cut) -> SellerModel:
     scaler = fit_scaler(performance)
-    scaled = scaled_sellers(performance, scaler).select("features").persist()
-    try:
-        return SellerModel(scaler, _fit(scaled, cfg.seller_clusters, cfg.cluster_starts, cfg))
-    finally:
-        scaled.unpersist()
+    points = cut(_points(performance, scaler), "seller-points")
+    return SellerModel(scaler, _best(kmeans(points, [Start(cfg.seller_clusters, cfg.seed + i) for i in range(cfg.cluster_starts)])))
 
 
 def seller_tiers(performance: DataFrame, model: SellerModel, cfg: Config = Config()) -> DataFrame:
     """Cluster and revenue tier per seller, value flag, advertising package and credit."""
-    return tiers_of_clusters(model.clusters.transform(scaled_sellers(performance, model.scaler)), cfg)
+    scaled = scaled_sellers(performance, model.scaler)
+    return tiers_of_clusters(scaled.withColumn("cluster", model.clusters.nearest(vector_to_array("features"))), cfg)
 
 
 def tiers_of_clusters(clustered: DataFrame, cfg: Config = Config()) -> DataFrame:

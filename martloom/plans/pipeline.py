@@ -11,8 +11,8 @@ from martloom.config import Config
 from martloom.plans.marts import common, customers, leads, orders, products, reviews, sellers
 from martloom.session import cut, run_folder, size_shuffles, tune
 from martloom.sources.marts import export_marts, write_bucketed, write_mart
-from martloom.sources.quality import validate
-from martloom.sources.raw import finite_columns, read_all_raw, read_all_typed
+from martloom.sources.quality import load, passed
+from martloom.sources.raw import finite_columns, read_all_typed
 
 PROFILE = "mart_customer_payment_profile"
 DETAIL = "mart_order_payment_detail"
@@ -91,7 +91,8 @@ class Marts:
             ),
             ACQUISITION: lambda: leads.seller_acquisition(r["closed_deals"], r["mql"]),
             "mart_seller_performance": lambda: sellers.seller_performance(
-                r["order_items"], r["orders"], r["sellers"], part("reviews_by_order"), part("product_categories"), self._cut
+                r["order_items"], r["orders"], r["sellers"], part("reviews_by_order"), part("product_categories"), self._cut,
+                self.cfg.distinct_sketch,
             ),
             "mart_product_price_range": lambda: products.product_price_range(
                 r["order_items"], r["orders"], part("product_categories")
@@ -156,13 +157,16 @@ def run_daily(
 ) -> dict[str, int]:
     """The whole run over a folder of raw CSV files: presence, quality gate, load, marts, export.
 
-    Stops before anything is written if an input is missing or breaks a rule. Returns the rows of the checked inputs.
+    Each CSV file is read once: the gate counts while the inputs are loaded, and the marts read what was loaded. Stops
+    before any mart is written if an input is missing or breaks a rule. Returns the rows of the checked inputs.
     Intermediate tables are removed at the end; ``store`` and ``exporter`` say where the marts go.
     """
     tune(spark)
-    counts = validate(read_all_typed(spark, folder))
+    typed = read_all_typed(spark, folder)
     with run_folder(spark):
-        marts = Marts(read_all_raw(spark, folder), store, cfg, analysis_date, cut)
+        raw, report = load(typed, cut)
+        counts = passed(report)
+        marts = Marts(raw, store, cfg, analysis_date, cut)
         built = run_all(marts)
         if exporter is not None:
             export_marts(built.items(), exporter)

@@ -712,6 +712,22 @@ SELECT recommended_tier, final_recommend, count(*) AS customer_count FROM decisi
     "checkout_decision_stream": with_pieces("checkouts", "SELECT * FROM checkouts"),
 }
 
+# ---------------------------------------------------------------- sketches, ranks in ranges, refreshed months
+ORACLES |= {
+    "mart_compaction": ORACLES["mart_versions"],
+    "order_value_quantiles": with_pieces("detail", """
+SELECT customer_state, count(total_order_value) AS n, 1 AS q1_within, 1 AS q2_within, 1 AS q3_within FROM detail GROUP BY customer_state"""),
+    "seller_breadth": with_pieces("seller_perf", "SELECT seller_id, total_orders, unique_categories FROM seller_perf"),
+    "seller_performance_sketched": with_pieces("seller_perf", "SELECT * FROM seller_perf"),
+    "customer_ranks": with_pieces("profile", """
+SELECT customer_unique_id, total_orders, row_number() OVER (ORDER BY total_orders DESC, customer_unique_id) AS order_rank,
+       (rank() OVER (ORDER BY total_orders) + (count(*) OVER (PARTITION BY total_orders) - 1) / 2.0) / count(*) OVER () AS order_percentile
+FROM profile"""),
+    "refreshed_monthly_revenue": with_pieces("monthly", "SELECT * FROM monthly"),
+    "refreshed_price_range": with_pieces("price_range", "SELECT * FROM price_range"),
+    "refreshed_mql_monthly": with_pieces("mql_monthly", "SELECT * FROM mql_monthly"),
+}
+
 # ---------------------------------------------------------------- comparison of totals and means
 # Two engines may differ in the last bit of a division; registry.py rounds these columns of its queries alike.
 ROUNDED = {
@@ -722,6 +738,9 @@ ROUNDED = {
         "mart_geo_payment_summary": "total_revenue avg_order_value credit_card_pct boleto_pct installment_avg high_value_revenue_share",
         "mart_monthly_revenue": "total_revenue avg_order_value",
         "mart_csv_round_trip": "total_revenue avg_order_value",
+        "refreshed_monthly_revenue": "total_revenue avg_order_value",
+        "refreshed_price_range": "total_revenue avg_price",
+        "seller_performance_sketched": "total_revenue avg_order_value avg_review_score",
         "mart_hv_category_preference": "total_spend",
         "mart_seller_performance": "total_revenue avg_order_value avg_review_score",
         "mart_product_price_range": "total_revenue avg_price",

@@ -13,18 +13,24 @@ from pyspark.sql import functions as F
 import adapter
 import oracles
 from martloom.functions.aggregates import exact_sum
+from martloom.functions.dates import year_month
 from martloom.functions.numbers import half_even
+from martloom.operators import sketches
 from martloom.operators.keys import ensure_columns, latest_by_key
-from martloom.operators.ranking import hash_fold, stratified_fold
+from martloom.operators.ranking import hash_fold, percentile_rank_all, rank_all, stratified_fold
+from martloom.plans import monthly
 from martloom.plans.analytics import ANALYTICS, SELLERS
 from martloom.plans.insights import points
+from martloom.plans.marts import sellers as seller_marts
 from martloom.plans.ml import installments, leads, sellers
 from martloom.plans.pipeline import ACQUISITION, DETAIL, PROFILE, STEPS, Marts
 from martloom.schemas import RAW_DDL, raw_schema
 from martloom.session import cut, scratch_dir, size_shuffles, tune
 from martloom.sources import marts as mart_tables
-from martloom.sources.quality import default_rules, dq_report, not_negative, not_null
+from martloom.sources.quality import default_rules, load, not_negative, not_null
 from martloom.sources.raw import normalize_strings, read_all_raw, read_raw, read_typed, rename_columns
+from martloom.sources.refresh import read_months
+from martloom.sources.versions import VersionedMart
 from martloom.streaming import checkout
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,14 +82,15 @@ def rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quality gate over CSV files, before blanks are filled."""
+    """The quality gate, which counts while the CSV files are loaded, before blanks are filled."""
     folder = _raw_csv_folder(spark, sf_dir)
     rules = default_rules() | {
         # rules that the test data breaks, so that counting violations is exercised too
         "products": [not_null("product_category_name")],
         "order_items": [not_null("order_id"), not_negative("price")],
     }
-    return dq_report({name: read_typed(spark, folder, name) for name in rules}, rules)
+    _, report = load({name: read_typed(spark, folder, name) for name in rules}, cut, rules)
+    return report
 
 
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,6 +230,98 @@ def mart_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart_tables.read_latest(spark, name, folder).drop("updated_at")
 
 
+def order_value_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles per state, merged from monthly sketches, and whether their true ranks are within the stated error.
+
+    Twice the error that a sketch exceeds in 1 % of cases, as some hundred quartiles are looked at.
+    """
+    detail = marts(spark, sf_dir).mart(DETAIL).select(
+        "customer_state", year_month("order_purchase_timestamp").alias("year_month"), "total_order_value"
+    )
+    months = cut(sketches.quantile_sketches(detail, "total_order_value", ["year_month", "customer_state"]), "order-value-sketches")
+    quarters = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    found = sketches.merge_quantiles(months, quarters, ["customer_state"])
+    value, error = F.col("total_order_value"), 2 * sketches.rank_error()
+    joined = detail.join(found, "customer_state")
+    ranks = [F.count_if(value < F.col(q)).alias(f"{q}_below") for q in quarters] + [F.count_if(value <= F.col(q)).alias(f"{q}_upto") for q in quarters]
+    checked = joined.groupBy("customer_state", "n").agg(*ranks)
+    near = [
+        ((F.col(f"{name}_below") <= (q + error) * F.col("n")) & (F.col(f"{name}_upto") >= (q - error) * F.col("n"))).cast("int").alias(f"{name}_within")
+        for name, q in quarters.items()
+    ]
+    return checked.select("customer_state", "n", *near)
+
+
+def seller_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders and categories per seller, from sketches that were written per month."""
+    m = marts(spark, sf_dir)
+    sold = seller_marts.sold_items(m.raw["order_items"].where("seller_id IS NOT NULL"), m.raw["orders"], m.part("reviews_by_order"), m.part("product_categories"))
+    return seller_marts.seller_breadth(cut(seller_marts.seller_month_sketches(sold), "seller-sketches"))
+
+
+def seller_performance_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seller mart with distinct counts by sketches, exact at this size."""
+    m = marts(spark, sf_dir)
+    return seller_marts.seller_performance(
+        m.raw["order_items"], m.raw["orders"], m.raw["sellers"], m.part("reviews_by_order"), m.part("product_categories"), sketch=sketches.LOG_VALUES
+    )
+
+
+def customer_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's rank by orders and average percentile rank, found in ranges."""
+    profile = marts(spark, sf_dir).mart(PROFILE).select("customer_unique_id", "total_orders")
+    ranked = rank_all(profile, "order_rank", [F.desc("total_orders"), F.asc("customer_unique_id")], cut)
+    return percentile_rank_all(ranked, "total_orders", "order_percentile", cut)
+
+
+def _grown_files(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    """Monthly marts built from raw files, then refreshed after more files came; the marts' folder."""
+    base = f"{scratch_dir(spark)}/monthly-{uuid.uuid4().hex}"
+    raw = marts(spark, sf_dir).raw
+    late = {
+        "orders": F.col("order_id") % 50 == 0,
+        "order_payments": F.col("order_id") % 50 == 0,
+        "order_items": F.col("order_id") % 50 == 0,
+        "mql": F.col("mql_id") % 50 == 0,
+        "closed_deals": F.col("mql_id") % 50 == 0,
+    }
+    for name, later in late.items():
+        raw[name].where(~later).write.parquet(f"{base}/raw/{name}")
+
+    def read() -> dict[str, DataFrame]:
+        files = {name: spark.read.schema(raw[name].schema).parquet(f"{base}/raw/{name}") for name in late}
+        return files | {name: raw[name] for name in ("customers", "products", "category_translation")}
+
+    _, moment = monthly.refresh(read(), f"{base}/marts", None)
+    for name, later in late.items():
+        raw[name].where(later).write.mode("append").parquet(f"{base}/raw/{name}")
+    monthly.refresh(read(), f"{base}/marts", moment)
+    return f"{base}/marts", read()
+
+
+def monthly_refresh(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A monthly mart after a refresh of the months that late files touched."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _refreshed:
+        _refreshed[key] = _grown_files(spark, sf_dir)[0]
+    return read_months(spark, name, _refreshed[key])
+
+
+_refreshed: dict[tuple[str, str], str] = {}
+
+
+def mart_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions of :func:`mart_versions` in buckets, compacted into one base."""
+    repeat = marts(spark, sf_dir).mart("mart_repeat_customer")
+    kept = VersionedMart(spark, "mart_repeat_customer", f"{scratch_dir(spark)}/buckets-{uuid.uuid4().hex}", "customer_unique_id", 8)
+    kept.refresh(repeat, F.current_timestamp())
+    for days in (-2, -1):
+        newer = repeat.where("total_orders > 6").withColumn("days_active", F.lit(days))
+        kept.append(newer, F.current_timestamp() + F.expr("INTERVAL 1 DAY"))
+    kept.compact()
+    return kept.read().drop("updated_at")
+
+
 def cross_validation_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stratified and plain folds of the customers."""
     profile = marts(spark, sf_dir).mart(PROFILE).select("customer_unique_id", "uses_installments")
@@ -457,6 +556,14 @@ QUERIES |= {
     "export_marts": export_marts,
     "mart_versions": mart_versions,
     "cross_validation_folds": cross_validation_folds,
+    "mart_compaction": mart_compaction,
+    "order_value_quantiles": order_value_quantiles,
+    "seller_breadth": seller_breadth,
+    "seller_performance_sketched": seller_performance_sketched,
+    "customer_ranks": customer_ranks,
+    "refreshed_monthly_revenue": partial(monthly_refresh, monthly.REVENUE),
+    "refreshed_price_range": partial(monthly_refresh, monthly.PRICES),
+    "refreshed_mql_monthly": partial(monthly_refresh, monthly.LEADS),
     "lead_features": lead_features,
     "target_encode_oof": target_encode_oof,
     "target_encode_mapping": target_encode_mapping,
@@ -466,6 +573,7 @@ QUERIES |= {
     "lead_tier_distribution": lambda spark, sf: leads.lead_tier_distribution(lead_scores(spark, sf)),
     "lead_top10": lambda spark, sf: leads.lead_top(lead_scores(spark, sf)),
     "feature_importance": feature_importance,
+    "feature_attributions": lambda spark, sf: leads.feature_attributions(lead_model(spark, sf)),
     "lead_conversion_classifier": lead_conversion_classifier,
     "seller_cluster_features": lambda spark, sf: sellers.seller_cluster_features(marts(spark, sf).mart(SELLERS)),
     "cluster_validation": lambda spark, sf: sellers.cluster_validation(marts(spark, sf).mart(SELLERS), adapter.CONFIG),
