@@ -162,9 +162,8 @@ def run_daily(
     Intermediate tables are removed at the end; ``store`` and ``exporter`` say where the marts go.
     """
     tune(spark)
-    typed = read_all_typed(spark, folder)
     with run_folder(spark):
-        raw, report = load(typed, cut)
+        raw, report = load(spark, lambda session: read_all_typed(session, folder))
         counts = passed(report)
         marts = Marts(raw, store, cfg, analysis_date, cut)
         built = run_all(marts)

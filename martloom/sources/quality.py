@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.session import scratch_dir, tune
 from martloom.sources.raw import BROKEN, normalize_strings
 
 
@@ -64,19 +66,24 @@ def dq_report(tables: dict[str, DataFrame], rules: dict[str, list[Rule]] | None
 
 
 def load(
-    tables: dict[str, DataFrame],
-    store: Callable[[DataFrame, str], DataFrame],
+    spark: SparkSession,
+    read: Callable[[SparkSession], dict[str, DataFrame]],
     rules: dict[str, list[Rule]] | None = None,
     concurrent: int = 4,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Write every input once, repaired, and count what breaks the rules while it is written: gate and load are one scan.
 
-    ``tables`` come from ``read_typed``, blanks still missing. Returns the stored tables and the rows of :func:`dq_report` for
-    the inputs that have rules; see :func:`passed`. The counts are those of the rows written.
+    ``read`` gives the inputs of a session, as ``read_typed`` does, blanks still missing. Returns the stored tables and the rows
+    of :func:`dq_report` for the inputs that have rules; see :func:`passed`. The counts are those of the rows written.
+
+    Counting has a session of its own, since one that has observed anything can no longer be part of a task, as some
+    fitted models make it.
     """
     rules = default_rules() if rules is None else rules
+    folder, counting = f"{scratch_dir(spark)}/load-{uuid.uuid4().hex}", tune(spark.newSession())
+    tables = read(counting)
 
-    def write(item: tuple[str, DataFrame]) -> tuple[str, DataFrame, list[tuple]]:
+    def write(item: tuple[str, DataFrame]) -> list[tuple]:
         name, df = item
         checks = list(rules.get(name, []))
         if name in rules and BROKEN in df.columns:
@@ -84,21 +91,20 @@ def load(
             checks.append(Rule("every line readable", F.col(BROKEN).isNotNull()))
         counted = Observation(f"load {name}")
         seen = df.observe(counted, F.count(F.lit(1)).alias("row_count"), *[F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(checks)])
-        stored = store(normalize_strings(seen.drop(BROKEN)), name)
+        normalize_strings(seen.drop(BROKEN)).write.parquet(f"{folder}/{name}")
         if name not in rules:
-            return name, stored, []
+            return []
         found = counted.get
         n = found["row_count"]
         broken = [("not empty", int(n == 0)), *((r.name, found[f"r{i}"]) for i, r in enumerate(checks))]
-        return name, stored, [(name, n, rule, count, int(count == 0)) for rule, count in broken]
+        return [(name, n, rule, count, int(count == 0)) for rule, count in broken]
 
     with ThreadPoolExecutor(concurrent) as pool:
-        done = list(pool.map(write, tables.items()))
-    by_name = {name: rows for name, _, rows in done}
+        by_name = dict(zip(tables, pool.map(write, tables.items()), strict=True))
+    stored = {name: spark.read.schema(normalize_strings(df.drop(BROKEN)).schema).parquet(f"{folder}/{name}") for name, df in tables.items()}
     rows = [row for name in rules for row in by_name[name]]
-    spark = next(iter(tables.values())).sparkSession
     report = spark.createDataFrame(rows, "table_name string, row_count long, rule string, violations long, passed int")
-    return {name: stored for name, stored, _ in done}, report
+    return stored, report
 
 
 def validate(tables: dict[str, DataFrame], rules: dict[str, list[Rule]] | None = None) -> dict[str, int]:

@@ -89,7 +89,7 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "products": [not_null("product_category_name")],
         "order_items": [not_null("order_id"), not_negative("price")],
     }
-    _, report = load({name: read_typed(spark, folder, name) for name in rules}, cut, rules)
+    _, report = load(spark, lambda session: {name: read_typed(session, folder, name) for name in rules}, rules)
     return report
 
 
