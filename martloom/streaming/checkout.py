@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from martloom.config import Config
 from martloom.plans.ml.installments import score_checkouts
@@ -42,6 +47,36 @@ def start_scoring(
     return start_sink(score_checkouts(events, model, cfg), out, checkpoint, trigger)
 
 
+def numbered_checkouts(events: DataFrame, time: str, customer: str = "customer_unique_id", lateness: str = "1 day") -> DataFrame:
+    """Each order once, with ``order_number``, its place among the customer's orders that the stream has seen.
+
+    An event of an order that came before is dropped. So is an event whose ``time`` (a timestamp) is more than ``lateness``
+    behind the newest one of earlier batches, or missing: it neither counts nor is decided. Per customer the state holds a
+    number and the orders that may still come again, those within ``lateness``. Orders of one batch are numbered by time.
+    """
+    schema = events.schema
+    names = schema.names
+
+    def number(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen, orders, times = state.get if state.exists else (0, [], [])
+        known, least = dict(zip(orders, times, strict=True)), state.getCurrentWatermarkMs()
+        found = pd.concat(list(frames), ignore_index=True)
+        at = found[time].astype("int64") // 1_000_000 if str(found[time].dtype).startswith("datetime64[ns") else found[time].astype("datetime64[ms]").astype("int64")
+        found = found.assign(_at=at)[found[time].notna() & (at >= least)]
+        found = found.sort_values(["_at", "order_id"], kind="stable").drop_duplicates("order_id")
+        found = found[~found["order_id"].astype(str).isin(known)]
+        known |= dict(zip(found["order_id"].astype(str), found["_at"].tolist(), strict=True))
+        # what lies behind the watermark is late when it comes again
+        known = {order: t for order, t in known.items() if t >= least}
+        state.update((seen + len(found), list(known), list(known.values())))
+        if len(found):
+            yield found[names].assign(order_number=range(seen + 1, seen + len(found) + 1))
+
+    out = StructType([*schema.fields, StructField("order_number", LongType())])
+    held = "seen long, orders array<string>, times array<long>"
+    return events.withWatermark(time, lateness).groupBy(customer).applyInPandasWithState(number, out, held, "append", GroupStateTimeout.NoTimeout)
+
+
 def start_sink(scored: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Write a stream to files; the sink commits each batch exactly once."""
     return (

@@ -715,6 +715,9 @@ SELECT recommended_tier, final_recommend, count(*) AS customer_count FROM decisi
 # ---------------------------------------------------------------- sketches, ranks in ranges, refreshed months
 ORACLES |= {
     "mart_compaction": ORACLES["mart_versions"],
+    "checkout_numbers_stream": with_pieces("detail", """
+SELECT customer_unique_id, count(*) AS orders, count(*) AS last_number, count(*) AS numbers
+FROM detail WHERE order_purchase_timestamp IS NOT NULL GROUP BY customer_unique_id"""),
     "order_value_quantiles": with_pieces("detail", """
 SELECT customer_state, count(total_order_value) AS n, 1 AS q1_within, 1 AS q2_within, 1 AS q3_within FROM detail GROUP BY customer_state"""),
     "seller_breadth": with_pieces("seller_perf", "SELECT seller_id, total_orders, unique_categories FROM seller_perf"),

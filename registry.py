@@ -521,6 +521,22 @@ def checkout_decision_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+def checkout_numbers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per customer as a stream counts them, from files in no order of time, some of which come twice."""
+    base = f"{scratch_dir(spark)}/numbers-{uuid.uuid4().hex}"
+    events = marts(spark, sf_dir).mart(DETAIL).select(
+        "order_id", "customer_unique_id", F.col("order_purchase_timestamp").cast("timestamp").alias("at")
+    )
+    for part in (0, 1, 2, 1):
+        events.where(F.pmod(F.xxhash64("order_id"), F.lit(3)) == part).write.mode("append").parquet(f"{base}/in")
+    stream = checkout.read_checkouts(spark, f"{base}/in", events.schema, files_per_batch=8)
+    # longer than the orders go back, so that none is late
+    numbered = checkout.numbered_checkouts(stream, "at", lateness="20000 days")
+    checkout.start_sink(numbered, f"{base}/out", f"{base}/state").awaitTermination()
+    counted = spark.read.parquet(f"{base}/out").groupBy("customer_unique_id")
+    return counted.agg(F.count("*").alias("orders"), F.max("order_number").alias("last_number"), F.count_distinct("order_number").alias("numbers"))
+
+
 QUERIES: dict[str, Query] = {
     "ingest_normalize": ingest_normalize,
     "rename_columns": rename,
@@ -546,6 +562,7 @@ QUERIES: dict[str, Query] = {
     .agg(F.count("*").alias("customer_count")),
     "checkout_decisions": checkout_decisions,
     "checkout_decision_stream": checkout_decision_stream,
+    "checkout_numbers_stream": checkout_numbers_stream,
 }
 QUERIES |= {name: partial(_mart, name) for step in STEPS for name in step}
 QUERIES |= {name: partial(_analytics, name) for name in ANALYTICS}

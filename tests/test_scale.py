@@ -289,3 +289,40 @@ def test_attributions_are_shapley_values(spark):
                     weight = factorial(size) * factorial(3 - size) / factorial(4)
                     want += weight * sum(value(x[i], {*known, j}, t) - value(x[i], set(known), t) for t in range(6))
             assert got[i][j] == pytest.approx(want, abs=1e-9)
+
+
+# ---------------------------------------------------------------- stream with state
+def test_stream_numbers_each_order_once(spark, tmp_path):
+    import datetime as dt
+
+    from martloom.streaming import checkout
+
+    start, kinds = dt.datetime(2024, 1, 10, tzinfo=dt.UTC), "order_id string, customer_unique_id string, at timestamp"
+    rng = np.random.default_rng(3)
+    events = [(f"o{i}", f"c{i % 4}", start + dt.timedelta(minutes=int(m))) for i, m in enumerate(rng.permutation(120))]
+
+    def arrive(rows):
+        spark.createDataFrame(rows, kinds).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run():
+        stream = checkout.read_checkouts(spark, f"{tmp_path}/in", kinds, files_per_batch=1)
+        numbered = checkout.numbered_checkouts(stream, "at", lateness="1 day")
+        checkout.start_sink(numbered, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+
+    arrive(events[:50] + events[:10])
+    arrive(events[30:70])
+    run()
+    arrive(events[20:120])  # after a restart from the checkpoint, with orders that came before
+    arrive([("o500", "c0", start + dt.timedelta(days=3)), ("o501", "c0", None)])
+    run()
+    late = [("o600", "c1", start + dt.timedelta(days=1)), ("o3", "c3", events[3][2])]
+    arrive(late + [("o601", "c1", start + dt.timedelta(days=3))])
+    run()
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert sorted(r.order_id for r in got) == sorted([e[0] for e in events] + ["o500", "o601"])
+    for c in range(4):
+        numbers = sorted(r.order_number for r in got if r.customer_unique_id == f"c{c}")
+        assert numbers == list(range(1, len(numbers) + 1))
+    first = [r for r in got if r.order_id in {e[0] for e in events[:50]} and r.customer_unique_id == "c2"]
+    at = {e[0]: e[2] for e in events}
+    assert [r.order_id for r in sorted(first, key=lambda r: r.order_number)] == [r.order_id for r in sorted(first, key=lambda r: at[r.order_id])]
