@@ -88,6 +88,24 @@ def op8_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.remove_seen(table(spark, sf_dir, "documents")).drop("kept")
 
 
+OP8_SQL = """
+WITH words AS MATERIALIZED (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents)
+), windows AS MATERIALIZED (
+    SELECT doc_id, place, md5(string_agg(word, ' ') OVER w) AS h FROM words
+    WINDOW w AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) QUALIFY count(*) OVER w = 50
+), seen AS (SELECT h, min(doc_id) AS least FROM windows GROUP BY h),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(place, place + 50)) AS place FROM windows JOIN seen USING (h) WHERE least < doc_id
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+), sized AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id)
+SELECT doc_id, coalesce(sized.n, 0) AS n_words, coalesce(sized.n, 0) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents LEFT JOIN sized USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the turns and of the learned text, both read back from the formatted strings."""
     injected = spark.range(2).selectExpr(
@@ -208,4 +226,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_minhash": op12_minhash,
     "op13_fp_search": op13_fp_search,
 }
-ORACLES: dict[str, str] = {"op4_hamming": OP4_SQL, "op9_chat": OP9_SQL, "op12_minhash": OP12_SQL, "op13_fp_search": OP13_SQL}
+ORACLES: dict[str, str] = {"op4_hamming": OP4_SQL, "op8_seen": OP8_SQL, "op9_chat": OP9_SQL, "op12_minhash": OP12_SQL, "op13_fp_search": OP13_SQL}

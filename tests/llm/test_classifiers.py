@@ -1,5 +1,6 @@
 import random
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -105,3 +106,52 @@ def test_keep_good_keeps_rows_as_they_are(tables, texts):
     assert kept.columns == docs.columns
     accepted = {r.doc_id for r in quality.classify(docs, labels).where("predicted = 1").collect()}
     assert {r.doc_id for r in kept.collect()} == accepted
+
+
+def brute_map(text):
+    """Every choice of four folded characters within SPAN, one by one."""
+    symbols, out = toxicity._symbols(text).tolist(), {}
+    for places in combinations(range(len(symbols)), 4):
+        reach = places[3] - places[0]
+        if reach < toxicity.SPAN:
+            key = tuple(symbols[p] for p in places)
+            out[key] = out.get(key, 0.0) + toxicity.DECAY ** (reach - 3)
+    return out
+
+
+def test_kernel_against_brute_force():
+    rnd = random.Random(2)
+    texts = [bytes(rnd.choice(b"abcABC1 -xyz") for _ in range(rnd.randint(0, 16))) for _ in range(40)] + [b"blockhead", b"b-l-o-c-k"]
+    maps = [brute_map(t) for t in texts]
+    code = lambda key: key[0] << 15 | key[1] << 10 | key[2] << 5 | key[3]
+    for t, m in zip(texts, maps):
+        got = toxicity.subsequences(t)
+        assert got.keys() == {code(k) for k in m}
+        assert all(got[code(k)] == pytest.approx(v) for k, v in m.items())
+    table = toxicity._matrix(texts, [toxicity.subsequences(t) for t in texts])
+    for i, a in enumerate(maps):
+        for j, b in enumerate(maps):
+            assert table[i, j] == pytest.approx(sum(v * b.get(k, 0.0) for k, v in a.items()), rel=1e-4, abs=1e-4)
+
+
+def test_ranking_minimises_the_pairwise_logistic_loss():
+    rng = np.random.default_rng(5)
+    y = (rng.random(200) < 0.7).astype(int)
+    x = rng.normal(size=(200, quality.FEATURES)) + 0.8 * y[:, None] * (np.arange(quality.FEATURES) % 3 == 0)
+    model = quality.fit(x, y, 0.3)
+    z = np.clip((x - model.mean) / model.scale, -8, 8)
+    bad = np.repeat(np.flatnonzero(y == 0), quality.PAIRS)
+    good = np.random.default_rng(7).choice(np.flatnonzero(y == 1), len(bad))
+
+    def loss(w):
+        total = 0.0
+        for g, b in zip(good, bad):  # a good document should score above a bad one
+            total += np.log1p(np.exp(-(z[g] - z[b]) @ w))
+        return total / len(bad) + 1e-3 / 2 * (w @ w)
+
+    least = loss(model.weights)
+    for k in range(quality.FEATURES):
+        step = np.zeros(quality.FEATURES)
+        step[k] = 1e-3
+        assert abs(loss(model.weights + step) - loss(model.weights - step)) / 2e-3 < 1e-5
+        assert loss(model.weights + 50 * step) > least < loss(model.weights - 50 * step)
