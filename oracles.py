@@ -26,12 +26,9 @@ def with_pieces(needs: str, sql: str) -> str:
     return f"WITH {ctes}\n{sql.strip()}" if ctes else sql.strip()
 
 
-_SCALE = "1152921504606846976::DOUBLE"  # 2 ** 60: multiplying by it changes no digit
-
-
 def money(x: str, where: str = "") -> str:
-    """Total of the doubles as they are, in whole numbers, so that no order of summation changes it."""
-    return f"(CAST(sum(CAST(({x}) * {_SCALE} AS HUGEINT)){where} AS DOUBLE) / {_SCALE})"
+    """Total of the numbers as they are written, to 12 places, so that no order of summation changes it."""
+    return f"CAST(sum(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38, 12))){where} AS DOUBLE)"
 
 
 def mean(x: str) -> str:
