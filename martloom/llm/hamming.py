@@ -7,7 +7,8 @@ k-th verified distance is below that, the answer is complete (Norouzi et al., 20
 
 Codes are deduplicated first. As ties are broken by id, the k + 1 smallest ids of a code are all that can be answers.
 Every query first searches the shard its hash names. The k-th distance found there bounds its search in the other shards,
-which ends with the radius that cannot come below. A code travels once to its shard for either pass, a query as 24 bytes to each.
+which ends with the radius that cannot come below. For either pass a code travels once to its shard (where shards are fewer
+than cores, to as many copies of it as there are cores in all), a query as 24 bytes to each.
 """
 
 from __future__ import annotations
@@ -129,11 +130,17 @@ def _search(k: int):
     return run
 
 
-def _found(codes: DataFrame, asked: DataFrame, k: int, shards: int) -> DataFrame:
-    """Rows (query_code, code, distance, least_id): what ``asked`` (shard, code, bound) find in the shards of ``codes``."""
-    own = codes.select("shard", F.lit(-1).alias("bound"), "code", "least_id")
-    both = own.unionByName(asked.select("shard", "bound", "code", F.lit(0).cast("long").alias("least_id")))
-    dealt = both.repartition(shards, "shard").sortWithinPartitions("shard", "bound")
+def _found(codes: DataFrame, asked: DataFrame, k: int, shards: int, copies: int) -> DataFrame:
+    """Rows (query_code, code, distance, least_id): what ``asked`` (shard, code, bound) find in the shards of ``codes``.
+
+    Each shard has ``copies``, and a query asks one of them.
+    """
+    every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy")
+    own = codes.select("shard", F.lit(-1).alias("bound"), "code", "least_id", every)
+    one = F.pmod(F.xxhash64("code", F.lit(copies)), F.lit(copies)).cast("int").alias("copy")
+    both = own.unionByName(asked.select("shard", "bound", "code", F.lit(0).cast("long").alias("least_id"), one))
+    both = both.withColumn("shard", F.col("shard") * copies + F.col("copy"))
+    dealt = both.repartition(shards * copies, "shard").sortWithinPartitions("shard", "bound")
     return dealt.mapInArrow(_search(k), "query_code long, code long, distance long, least_id long")
 
 
@@ -154,20 +161,21 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHARD)
     whole = Window.partitionBy("code").orderBy("id")
     first = cut(first.withColumn("n", F.row_number().over(whole)).where(F.col("n") <= k + 1).select("code", "id"), "first-ids")
     distinct = first.groupBy("code").agg(F.min("id").alias("least_id"))
-    # smaller shards where there are few codes, so that all cores have some
     n_codes, cores = distinct.count(), spark.sparkContext.defaultParallelism
-    n_shards = max(-(-n_codes // shard), min(cores, -(-n_codes // min(shard, 1 << 13))), 1)
+    n_shards = max(-(-n_codes // shard), 1)
+    # with fewer shards than cores each is copied, which the number of cores bounds and not that of the codes
+    copies = -(-cores // n_shards)
     home = F.pmod(F.xxhash64("code"), F.lit(n_shards)).alias("shard")
     codes = cut(distinct.select("code", "least_id", home), "shards")
     asked = cut(queries.select(F.col("query_code").alias("code")).distinct().select("code", home), "asked")
-    near = cut(_found(codes, asked.withColumn("bound", F.lit(64)), k + 1, n_shards), "near-home")
+    near = cut(_found(codes, asked.withColumn("bound", F.lit(64)), k + 1, n_shards, copies), "near-home")
     if n_shards > 1:
         # the (k + 1)-th distance, where the home shard has so many
         last = near.groupBy(F.col("query_code").alias("code")).agg(F.max("distance").cast("int").alias("last"), F.count("*").alias("n"))
         bounds = asked.join(last.where(F.col("n") > k).drop("n"), "code", "left").withColumn("bound", F.coalesce("last", F.lit(64)))
         every = F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))
         others = bounds.select("code", "bound", F.explode(F.array_remove(every, F.col("shard"))).alias("shard"))
-        near = near.unionByName(_found(codes, others, k + 1, n_shards))
+        near = near.unionByName(_found(codes, others, k + 1, n_shards, copies))
     best = Window.partitionBy("query_code").orderBy("distance", "least_id")
     near = near.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n", "least_id")
     ids = near.join(first, "code").groupBy("query_code").agg(
