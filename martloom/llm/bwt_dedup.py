@@ -8,7 +8,7 @@ smallest common prefix between their old places, plus one) and is 0 where not. A
 occurs again if its suffix shares ``size`` bytes with a neighbour.
 
 Suffixes of different columns are not merged into one order: since the alignment lets equal windows meet in one
-column, they could never match. A block is bounded, so its columns are arrays, written and read in sequence.
+column, they could never match. A part is bounded, so its columns are arrays, written and read in sequence.
 """
 
 from __future__ import annotations
@@ -18,13 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
 from martloom.llm import arrays
-from martloom.llm.repeats import COMPARED, Found, Scheme, across_blocks, bytes_of, compared_rows, groups, union_spans
+from martloom.llm.repeats import Found, Scheme, bytes_of, compared_rows, groups, union_spans
 
-#: Distinct strings of one block of a minimiser, and bytes of the strings compared at once.
+#: Distinct strings of one part of a minimiser, and bytes of the strings compared at once.
 BLOCK, AT_ONCE = 8192, 1 << 22
 
 
@@ -39,14 +38,14 @@ def _columns(strings: pa.Array, place: np.ndarray) -> tuple[np.ndarray, int]:
     return table, left
 
 
-def insert_columns(table: np.ndarray, group: np.ndarray, size: int) -> tuple[np.ndarray, list[tuple[np.ndarray, int]]]:
+def insert_columns(table: np.ndarray, group: np.ndarray, size: int) -> np.ndarray:
     """Where the next ``size`` symbols of a string are also those of another string of its group, column by column.
 
-    Returns a boolean table, and per column the strings that lead a class of equal ones. ``group`` is ascending.
+    Returns a boolean table. ``group`` is ascending.
     """
     n, width = table.shape
     hit = np.zeros((n, width), bool)
-    order, lcp, leaders = np.arange(n), np.zeros(n + 1, np.int32), []
+    order, lcp = np.arange(n), np.zeros(n + 1, np.int32)
     symbols = np.ascontiguousarray(table.T)
     shift = group.astype(np.int64) * 257
     for column in range(width - 1, -1, -1):
@@ -65,21 +64,17 @@ def insert_columns(table: np.ndarray, group: np.ndarray, size: int) -> tuple[np.
         again = lcp[:n] >= size
         if again.any():
             hit[order[again], column] = True
-            before = np.flatnonzero(again) - 1
-            hit[order[before], column] = True
-            leaders.append((order[before[~again[before]]], column))
-    return hit, leaders
+            hit[order[np.flatnonzero(again) - 1], column] = True
+    return hit
 
 
 def _compare(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches, AT_ONCE):
-            held = {n: batch.column(n).to_numpy() for n in ("minimiser", "block", "blocks", "place", "windows")}
+            held = {n: batch.column(n).to_numpy() for n in ("minimiser", "part", "place", "windows")}
             table, left = _columns(batch.column("string"), held["place"])
-            group = np.cumsum(
-                np.r_[0, (np.diff(held["minimiser"]) != 0) | (np.diff(held["block"]) != 0)]
-            )
-            hit, leaders = insert_columns(table, group, size)
+            group = np.cumsum(np.r_[0, (np.diff(held["minimiser"]) != 0) | (np.diff(held["part"]) != 0)])
+            hit = insert_columns(table, group, size)
             begin = left - held["place"]
             window = np.arange(table.shape[1])
             valid = (window >= begin[:, None]) & (window < (begin + held["windows"])[:, None])
@@ -87,19 +82,7 @@ def _compare(size: int):
             rows, columns = np.nonzero(hit)
             at = np.searchsorted(rows, np.arange(len(begin) + 1))
             hits = [columns[a:b] - s for a, b, s in zip(at, at[1:], begin, strict=False)]
-            open_: dict[int, list[tuple[int, bytes]]] = {}
-            many = held["blocks"] > 1
-            if many.any():
-                digest, strings = xxhash.xxh3_128_digest, batch.column("string")
-                for i in np.flatnonzero(many):
-                    text = strings[int(i)].as_py()
-                    alone = np.setdiff1d(np.arange(held["windows"][i]), hits[i])
-                    open_[int(i)] = [(int(w), digest(text[w : w + size])) for w in alone]
-                for led, column in leaders:
-                    for i in led[many[led] & valid[led, column]]:
-                        w = int(column - begin[i])
-                        open_[int(i)].append((-1, digest(strings[int(i)].as_py()[w : w + size])))
-            yield compared_rows(batch, hits, open_)
+            yield compared_rows(batch, hits)
 
     return run
 
@@ -124,6 +107,6 @@ def remove_repeats(docs: DataFrame, size: int = 200, gram: int = 32, block: int
     A NULL doc_id stays NULL. No rows, no rows.
     """
     found = Found.of(docs, Scheme(size, gram, bytes_of), across_docs=False)
-    compared = found.strings(_cut_out, block).mapInArrow(_compare(size), COMPARED)
-    spans = found.spans(across_blocks(compared, "n > 1"), "copies > 1")
+    ranges = found.ranges(_cut_out, _compare(size), block, "n > 1")
+    spans = found.spans(ranges, "copies > 1")
     return found.kept(spans, _keep, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -7,10 +7,13 @@ windows with one minimiser travel as one segment, and only segments of one minim
 1. ``segments``: (minimiser, digest) of every segment, no text. Runs of one repeated segment are one row.
 2. ``Found.shared``: segments whose minimiser occurs again. If all segments of a minimiser are the same string, the
    digest settles it; copies, however many, end here.
-3. ``Found.strings``: where strings differ, each distinct string travels once, from its smallest document, to the block
-   of its minimiser. A minimiser with more than ``block`` distinct strings has several blocks.
-4. A compare step (given by the operator) works block by block on the strings themselves. Windows of a minimiser in
-   several blocks are also counted across the blocks by digest.
+3. ``Found.ranges``: where strings differ, each distinct string travels once, from its smallest document, to its
+   minimiser, and a compare step (given by the operator) works on the strings themselves.
+4. A minimiser with more than ``block`` distinct strings is split by what equal windows must share. Its strings are
+   aligned at the minimiser; the windows that start left of the middle of the alignment all cover a stretch that is
+   longer than the minimiser, and so do those right of it. Either half goes to the part that its stretch names, so equal
+   windows meet in one part, and parts that are still crowded are halved again. Where one column is left, the stretch
+   is the window, and a part is one distinct string. Strings that share a half are one row of its part.
 5. The removed spans return to the documents.
 
 Every step is a shuffle by a key, counts are pre-aggregated, joins can be split, and nothing is collected.
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -122,9 +126,48 @@ def segments(docs: DataFrame, scheme: Scheme) -> DataFrame:
     return _known(docs).mapInArrow(run, SEGMENTS)
 
 
-STRINGS = (
-    "minimiser long, block int, blocks int, h1 long, h2 long, copies long, first_doc long, windows int, place int, string binary"
-)
+#: Distinct strings as they are compared; ``place`` is where the minimiser stands in them.
+STRINGS = "minimiser long, h1 long, h2 long, first_doc long, windows int, place int, string binary"
+#: The half (o1, o2 from window ``shift`` on) of a string whose windows start in columns low to high of the alignment.
+PARTS = f"{STRINGS}, part long, low int, high int, o1 long, o2 long, shift int"
+
+
+def _halves(size: int, cut_out: Callable):
+    """Each string (PARTS) as its windows left and right of the middle column, with the part of what they all cover."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in PARTS.split(", ")]
+        for batch in batches:
+            held = {n: batch.column(n).to_numpy() for n in ("low", "high", "place", "windows", "shift")}
+            middle = (held["low"] + held["high"]) // 2
+            for low, high in ((held["low"], middle), (middle + 1, held["high"])):
+                # columns of the first and the last window that the string has there
+                first, last = np.maximum(low, -held["place"]), np.minimum(high, held["windows"] - 1 - held["place"])
+                use = np.flatnonzero(first <= last)
+                strings, parts = [], np.zeros(len(use), np.uint64)
+                for k, i in enumerate(use):
+                    begin, end = np.array([first[i], high[i]]), np.array([last[i], low[i]]) + size
+                    text, shared = cut_out(batch.column("string")[int(i)].as_py(), begin + held["place"][i], end + held["place"][i])
+                    strings.append(text)
+                    parts[k] = xxhash.xxh3_64_intdigest(shared, seed=int(-low[i]))
+                digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, strings)), "<i8")
+                skipped = (first + held["place"])[use]
+                rows = batch.take(pa.array(use, pa.int64()))
+                new = {
+                    "h1": digests[::2],
+                    "h2": digests[1::2],
+                    "windows": (last - first + 1)[use],
+                    "place": held["place"][use] - skipped,
+                    "part": parts.view(np.int64),
+                    "low": low[use],
+                    "high": high[use],
+                    "shift": held["shift"][use] + skipped,
+                }
+                new = {n: pa.array(v, rows.schema.field(n).type) for n, v in new.items()}
+                new["string"] = pa.array(strings, pa.binary())
+                yield pa.RecordBatch.from_arrays([new.get(n, rows.column(n)) for n in names], names)
+
+    return run
 
 
 @dataclass
@@ -162,16 +205,70 @@ class Found:
         )
         return cls(docs, scheme, shared, cut(distinct, "distinct-segments"))
 
-    def strings(self, cut_out: Callable, block: int) -> DataFrame:
-        """The distinct strings, dealt to the blocks of their minimisers; ``cut_out(text, spans)`` gives the strings."""
-        size = self.scheme.size
+    def ranges(self, cut_out: Callable, compare: Callable, block: int, again: str) -> DataFrame:
+        """The windows that go, per distinct string: minimiser, h1, h2, ranges.
+
+        ``cut_out(text, starts, ends)`` gives strings of a text, or of a string. ``compare`` judges whole groups of
+        (minimiser, part). ``again``: condition under which all windows of a half go, on n (strings that hold it), best
+        (the smallest document of these) and first_doc (the string's).
+        """
+        keys = ["minimiser", "h1", "h2"]
         crowded = self.distinct.groupBy("minimiser").agg(F.count("*").alias("strings")).where(F.col("strings") > block)
-        # written first, so that the join deals both sides anew and can split a crowded minimiser
-        crowded = cut(crowded.select("minimiser", F.ceil(F.col("strings") / block).cast("int").alias("blocks")), "crowded")
-        wanted = self.distinct.join(crowded, "minimiser", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        wanted = wanted.withColumn("block", F.pmod("h2", "blocks").cast("int"))
-        inner = ["start", "minimiser", "block", "blocks", "h1", "h2", "copies", "windows", "place"]
-        per_doc = wanted.groupBy("first_doc", "row_key").agg(F.collect_list(F.struct(*inner)).alias("wanted"))
+        # written first, so that the joins deal both sides anew and can split a crowded minimiser
+        crowded = cut(crowded.select("minimiser"), "crowded")
+        uncrowded = crowded.isEmpty()
+        plain = self.distinct if uncrowded else self.distinct.join(crowded, "minimiser", "left_anti")
+        whole = self._strings(plain, cut_out).withColumn("part", F.lit(0).cast("long"))
+        found = cut(self._by_part(whole).mapInArrow(compare, COMPARED), "compared").select(*keys, "ranges")
+        if uncrowded:
+            return found
+        parts = self._parts(self._strings(self.distinct.join(crowded, "minimiser", "left_semi"), cut_out), cut_out, block)
+        part_keys = ["minimiser", "part", "h1", "h2"]
+        alike = parts.groupBy(*part_keys).agg(
+            F.count("*").alias("n"),
+            F.min("first_doc").alias("first_doc"),
+            *(F.first(c).alias(c) for c in ("windows", "place", "string")),
+        )
+        alike = cut(alike, "alike-parts")
+        compared = self._by_part(alike.drop("n")).mapInArrow(compare, COMPARED)
+        judged = alike.select(*part_keys, "n", F.col("first_doc").alias("best")).join(compared, part_keys, "left")
+        held = parts.select(*part_keys, "o1", "o2", "shift", "windows", "first_doc").join(judged, part_keys)
+        every = F.array(F.struct(F.col("shift").alias("a"), (F.col("shift") + F.col("windows")).alias("b")))
+        some = F.transform(
+            "ranges", lambda r: F.struct((F.col("shift") + r["a"]).alias("a"), (F.col("shift") + r["b"]).alias("b"))
+        )
+        held = held.withColumn("every", F.expr(again)).where("every OR ranges IS NOT NULL")
+        held = held.select("minimiser", "o1", "o2", F.when(F.col("every"), every).otherwise(some).alias("ranges"))
+        split = held.groupBy("minimiser", F.col("o1").alias("h1"), F.col("o2").alias("h2"))
+        return found.unionByName(split.agg(F.flatten(F.collect_list("ranges")).alias("ranges")))
+
+    def _parts(self, strings: DataFrame, cut_out: Callable, block: int) -> DataFrame:
+        """Halves of the strings, and halves of those, until no part has more than ``block`` distinct ones.
+
+        A round halves the columns, so there are at most log2(size) + 1 of them.
+        """
+        whole = {"part": F.lit(0).cast("long"), "low": F.lit(self.scheme.gram - self.scheme.size), "high": F.lit(0)}
+        whole |= {"o1": F.col("h1"), "o2": F.col("h2"), "shift": F.lit(0)}
+        rows, done = strings.withColumns(whole), []
+        while True:
+            rows = cut(rows.mapInArrow(_halves(self.scheme.size, cut_out), PARTS), "parts")
+            per = rows.where("low < high").select("minimiser", "part", "h1", "h2").distinct()
+            per = per.groupBy("minimiser", "part").agg(F.count("*").alias("strings")).where(F.col("strings") > block)
+            crowded = cut(per.select("minimiser", "part"), "crowded")
+            if crowded.isEmpty():
+                return reduce(DataFrame.unionByName, done, rows)
+            done.append(rows.join(crowded, ["minimiser", "part"], "left_anti"))
+            rows = rows.join(crowded, ["minimiser", "part"], "left_semi")
+
+    def _by_part(self, strings: DataFrame) -> DataFrame:
+        parts = int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return strings.repartition(parts, "minimiser", "part").sortWithinPartitions("minimiser", "part")
+
+    def _strings(self, distinct: DataFrame, cut_out: Callable) -> DataFrame:
+        """``distinct`` with the strings, cut out of one document each."""
+        size = self.scheme.size
+        inner = ["start", "minimiser", "h1", "h2", "windows", "place"]
+        per_doc = distinct.groupBy("first_doc", "row_key").agg(F.collect_list(F.struct(*inner)).alias("wanted"))
         packed = squeezed(self.docs).join(
             per_doc, F.expr("doc_id = first_doc AND text_key = row_key")
         ).select("doc_id", "text", "wanted")
@@ -185,20 +282,18 @@ class Found:
                     held = {name: spans.field(k) for k, name in enumerate(inner)}
                     begin = held["start"].to_numpy()
                     strings = cut_out(text, begin, begin + held["windows"].to_numpy() + size - 1)
-                    columns = [held[n] for n in ("minimiser", "block", "blocks", "h1", "h2", "copies")]
+                    columns = [held[n] for n in ("minimiser", "h1", "h2")]
                     columns += [pa.array([doc] * len(begin), pa.int64()), held["windows"], held["place"], pa.array(strings, pa.binary())]
                     yield pa.RecordBatch.from_arrays(
-                        columns, ["minimiser", "block", "blocks", "h1", "h2", "copies", "first_doc", "windows", "place", "string"]
+                        columns, ["minimiser", "h1", "h2", "first_doc", "windows", "place", "string"]
                     )
 
-        strings = packed.mapInArrow(run, STRINGS)
-        parts = int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return strings.repartition(parts, "minimiser", "block").sortWithinPartitions("minimiser", "block")
+        return packed.mapInArrow(run, STRINGS)
 
     def spans(self, compared: DataFrame, covers_all: str) -> DataFrame:
         """Removed spans per row: doc_id, row_key, spans array<struct<start, end>> in elements.
 
-        ``compared``: minimiser, h1, h2, ranges (of windows). ``covers_all``: condition on copies, first_doc and doc_id
+        ``compared``: what ``ranges`` gives. ``covers_all``: condition on copies, first_doc and doc_id
         under which all windows of a segment go.
         """
         size = self.scheme.size
@@ -263,15 +358,15 @@ def squeezed(docs: DataFrame) -> DataFrame:
 
 
 def groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """Sorted rows in batches that hold whole (minimiser, block) groups and, beyond one group, about ``limit`` bytes."""
+    """Sorted rows in batches that hold whole (minimiser, part) groups and, beyond one group, about ``limit`` bytes."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.stack([batch.column("minimiser").to_numpy(), batch.column("block").to_numpy().astype(np.int64)])
+        keys = np.stack([batch.column("minimiser").to_numpy(), batch.column("part").to_numpy()])
         change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-        if held and (tuple(keys[:, 0]) != (held[-1].column("minimiser")[-1].as_py(), held[-1].column("block")[-1].as_py())):
+        if held and (tuple(keys[:, 0]) != (held[-1].column("minimiser")[-1].as_py(), held[-1].column("part")[-1].as_py())):
             change = np.r_[0, change]
         last = 0
         for c in change:
@@ -302,48 +397,18 @@ def union_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nd
     return a[new], b[np.r_[np.flatnonzero(new)[1:] - 1, len(a) - 1]]
 
 
-#: A string's repeated windows as ranges [a, b), and windows that have to be looked up in the other blocks.
-COMPARED = (
-    "minimiser long, h1 long, h2 long, first_doc long, ranges array<struct<a:int,b:int>>, "
-    "open array<struct<window:int,d1:long,d2:long>>"
-)
+#: A string's repeated windows as ranges [a, b); strings without any have no row.
+COMPARED = "minimiser long, part long, h1 long, h2 long, ranges array<struct<a:int,b:int>>"
 
 
-def compared_rows(
-    batch: pa.RecordBatch, hits: list[np.ndarray], open_: dict[int, list[tuple[int, bytes]]]
-) -> pa.RecordBatch:
-    """``hits``: repeated windows per string, ascending; ``open_``: (window, digest) by string."""
-    use = [i for i, h in enumerate(hits) if len(h) or i in open_]
-    ranges, looked_up = [], []
+def compared_rows(batch: pa.RecordBatch, hits: list[np.ndarray]) -> pa.RecordBatch:
+    """``hits``: repeated windows per string, ascending."""
+    use = [i for i, h in enumerate(hits) if len(h)]
+    ranges = []
     for i in use:
-        h = hits[i]
-        cut_at = np.flatnonzero(np.diff(h) > 1) + 1
-        ranges.append([{"a": int(r[0]), "b": int(r[-1]) + 1} for r in np.split(h, cut_at)] if len(h) else [])
-        looked_up.append(
-            [
-                {"window": w, "d1": int.from_bytes(d[:8], "little", signed=True), "d2": int.from_bytes(d[8:], "little", signed=True)}
-                for w, d in open_.get(i, ())
-            ]
-        )
+        runs = np.split(hits[i], np.flatnonzero(np.diff(hits[i]) > 1) + 1)
+        ranges.append([{"a": int(r[0]), "b": int(r[-1]) + 1} for r in runs])
     rows = batch.take(pa.array(use, pa.int64()))
     pair = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-    window = pa.list_(pa.struct([("window", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())]))
-    return pa.RecordBatch.from_arrays(
-        [*(rows.column(n) for n in ("minimiser", "h1", "h2", "first_doc")), pa.array(ranges, pair), pa.array(looked_up, window)],
-        ["minimiser", "h1", "h2", "first_doc", "ranges", "open"],
-    )
-
-
-def across_blocks(compared: DataFrame, again: str) -> DataFrame:
-    """Ranges per string, with the windows that only another block of their minimiser repeats.
-
-    ``again``: condition on n (the window's rows), first_doc (the string's) and best (the smallest).
-    """
-    compared = cut(compared, "compared")
-    keys = ["minimiser", "h1", "h2"]
-    opened = compared.select(*keys, "first_doc", F.inline("open"))
-    per = opened.groupBy("minimiser", "d1", "d2").agg(F.count("*").alias("n"), F.min("first_doc").alias("best"))
-    more = opened.join(per, ["minimiser", "d1", "d2"]).where(f"window >= 0 AND {again}")
-    more = more.select(*keys, F.array(F.struct(F.col("window").alias("a"), (F.col("window") + 1).alias("b"))).alias("ranges"))
-    found = compared.where("size(ranges) > 0").select(*keys, "ranges").unionByName(more)
-    return found.groupBy(*keys).agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    names = ["minimiser", "part", "h1", "h2"]
+    return pa.RecordBatch.from_arrays([*(rows.column(n) for n in names), pa.array(ranges, pair)], [*names, "ranges"])

@@ -13,12 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
-from martloom.llm.repeats import COMPARED, Found, Scheme, across_blocks, compared_rows, groups, union_spans, words_of
+from martloom.llm.repeats import Found, Scheme, compared_rows, groups, union_spans, words_of
 
-#: Distinct strings of one block of a minimiser, and bytes of the strings compared at once.
+#: Distinct strings of one part of a minimiser, and bytes of the strings compared at once.
 BLOCK, AT_ONCE = 8192, 1 << 22
 
 
@@ -37,7 +36,7 @@ def sorted_numbers(ids: np.ndarray, size: int) -> np.ndarray:
 def _compare(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches, AT_ONCE):
-            held = {n: batch.column(n).to_numpy() for n in ("minimiser", "block", "blocks", "windows", "first_doc")}
+            held = {n: batch.column(n).to_numpy() for n in ("minimiser", "part", "windows", "first_doc")}
             split = [s.as_py().split(b" ") for s in batch.column("string")]
             number: dict[bytes, int] = {}
             ids = np.array([number.setdefault(w, len(number)) for ws in split for w in ws], np.int64)
@@ -46,7 +45,7 @@ def _compare(size: int):
             windows = held["windows"]
             string = np.repeat(np.arange(len(split)), windows)
             window = np.arange(len(string)) - np.repeat(np.cumsum(windows) - windows, windows)
-            group = np.cumsum(np.r_[0, (np.diff(held["minimiser"]) != 0) | (np.diff(held["block"]) != 0)])
+            group = np.cumsum(np.r_[0, (np.diff(held["minimiser"]) != 0) | (np.diff(held["part"]) != 0)])
             same = np.unique(group[string] * (len(rank) + 1) + rank[begin[string] + window], return_inverse=True)[1]
             owner = held["first_doc"][string]
             best = np.full(same.max() + 1, np.iinfo(np.int64).max)
@@ -54,13 +53,7 @@ def _compare(size: int):
             later = owner > best[same]
             at = np.searchsorted(string, np.arange(len(split) + 1))
             hits = [window[a:b][later[a:b]] for a, b in zip(at, at[1:], strict=False)]
-            open_: dict[int, list[tuple[int, bytes]]] = {}
-            for i in np.flatnonzero(held["blocks"] > 1):
-                ws, a = split[i], at[i]
-                open_[int(i)] = [
-                    (w, xxhash.xxh3_128_digest(b" ".join(ws[w : w + size]))) for w in range(windows[i]) if not later[a + w]
-                ]
-            yield compared_rows(batch, hits, open_)
+            yield compared_rows(batch, hits)
 
     return run
 
@@ -87,6 +80,6 @@ def remove_seen(docs: DataFrame, size: int = 50, gram: int = 10, block: int = BL
     they do not remove each other's words. A NULL doc_id stays NULL and counts as the smallest. No rows, no rows.
     """
     found = Found.of(docs, Scheme(size, gram, words_of), across_docs=True)
-    compared = found.strings(_cut_out, block).mapInArrow(_compare(size), COMPARED)
-    spans = found.spans(across_blocks(compared, "best < first_doc"), "first_doc < doc_id")
+    ranges = found.ranges(_cut_out, _compare(size), block, "best < first_doc")
+    spans = found.spans(ranges, "first_doc < doc_id")
     return found.kept(spans, _keep, "n_words long, n_removed long, kept_sha256 string, kept binary")
