@@ -3,6 +3,7 @@
 import datetime as dt
 from collections import Counter
 
+from martloom.plans.ml import sellers
 from martloom.streaming import checkout
 
 
@@ -28,3 +29,20 @@ def test_customers_of_one_group_are_numbered_apart(spark, tmp_path):
         assert sorted(r.order_number for r in own) == list(range(1, len(own) + 1))
         early = sorted((r for r in own if r.order_id is not None and r.order_id < 250), key=lambda r: r.order_number)
         assert [r.at for r in early] == sorted(r.at for r in early)
+
+
+def test_points_of_many_sellers_are_read_by_many_tasks(spark, monkeypatch):
+    read = []
+
+    def stub(points, starts):
+        read.append(points.rdd.getNumPartitions())
+        return original(points, starts[:1], iterations=2)
+
+    original = sellers.kmeans
+    monkeypatch.setattr(sellers, "kmeans", stub)
+    many = spark.range(20_000).selectExpr(
+        "id AS seller_id", "id * 1.0D AS total_revenue", "id % 5 * 1.0D AS avg_review_score", "id % 90 AS total_orders", "id % 7 AS unique_categories"
+    )
+    sellers.train_seller_model(many.coalesce(1))
+    sellers.train_seller_model(many.limit(50).coalesce(1))
+    assert read[0] > 1 == read[1]
