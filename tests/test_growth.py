@@ -3,7 +3,12 @@
 import datetime as dt
 from collections import Counter
 
+from pyspark import RDD
+
+from martloom.operators import boosting
+from martloom.operators.boosting import Boosting, Fit, boost
 from martloom.plans.ml import sellers
+from martloom.session import cut
 from martloom.streaming import checkout
 
 
@@ -46,3 +51,29 @@ def test_points_of_many_sellers_are_read_by_many_tasks(spark, monkeypatch):
     sellers.train_seller_model(many.coalesce(1))
     sellers.train_seller_model(many.limit(50).coalesce(1))
     assert read[0] > 1 == read[1]
+
+
+def test_the_driver_gets_splits_and_no_sums(spark, monkeypatch):
+    def no(*_):
+        raise AssertionError("sums for the driver")
+
+    monkeypatch.setattr(RDD, "treeReduce", no)
+    monkeypatch.setattr(boosting, "ROWS", 64)
+    rows = [(i, i * 7 % 5, i * 3 % 4, int(i * 7 % 5 > 2) ^ int(i % 11 == 0), 1.0 + i % 2, i % 3) for i in range(500)]
+    df = cut(spark.createDataFrame(rows, "id long, a long, b long, z int, w double, fold int").repartition(3), "boosting-growth")
+    fits, settings = [Fit((0, 1)), Fit((0, 1), 1)], Boosting(rounds=5, depth=3, rate=0.4, feature_share=1.0, logistic=True)
+    every = boosting._combinations
+
+    def grown(combinations, cells):
+        monkeypatch.setattr(boosting, "_combinations", combinations)
+        monkeypatch.setattr(boosting, "CELLS", cells)
+        return boost(df, ["a", "b"], "z", "id", fits, settings, cut, "fold", "w", keep=["id"])
+
+    by_kind, by_cell, by_level = (
+        grown(every, 500), grown(lambda table, kinds=False: None if kinds else every(table), 500), grown(every, 3)
+    )
+    for other in (by_cell, by_level):
+        for a, b in zip(by_kind.trees, other.trees, strict=True):
+            assert (a.feature == b.feature).all() and (a.threshold == b.threshold).all() and (a.leaf == b.leaf).all() and (a.cover == b.cover).all()
+        assert {r.id: r.predictions for r in by_kind.rows.collect()} == {r.id: r.predictions for r in other.rows.collect()}
+    assert by_kind.trees[0].gain.max() > 0
