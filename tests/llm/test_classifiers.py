@@ -155,3 +155,38 @@ def test_ranking_minimises_the_pairwise_logistic_loss():
         step[k] = 1e-3
         assert abs(loss(model.weights + step) - loss(model.weights - step)) / 2e-3 < 1e-5
         assert loss(model.weights + 50 * step) > least < loss(model.weights - 50 * step)
+
+
+def test_every_labelled_document_counts(spark, tables):
+    docs, labels = tables
+    rows = quality._labelled(quality.id_and_text(docs), quality._featured(quality.id_and_text(docs)), labels).collect()
+    known = {r.doc_id for r in labels.collect() if r.doc_id is not None and r.quality is not None and not held(r.doc_id)}
+    assert sorted(r.doc_id for r in rows) == sorted(known - {123456})
+    for y in ([0, 1, 1, 1], [1, 0, 0], [0] + [1] * 40, [0, 0]):
+        good, bad = quality.pairs(np.array(y))
+        assert len(good) == len(bad) and ({*good, *bad} == set(range(len(y))) or len(set(y)) == 1)
+
+
+def test_learning_has_no_limit_per_class(spark, texts):
+    # more bad documents of one sort than any sample held: they decide what bad means
+    docs = [(i, t) for i, t, *_ in texts] + [(10_000 + i, f"fine words {i} here @@@ @@@") for i in range(9000)]
+    marks = [(i, q) for i, _, q, _ in texts] + [(10_000 + i, 0) for i in range(9000)]
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int")
+    rows = quality._labelled(quality.id_and_text(docs), quality._featured(quality.id_and_text(docs)), labels)
+    blocks, sizes = quality._blocks(rows)
+    assert sizes[0] > 6000 and blocks.selectExpr("sum(size(y))").first()[0] == sum(sizes.values())
+    model = quality.train(docs, labels)
+    x = np.array([r.x for r in rows.collect()])
+    assert np.allclose(model.mean, x.mean(0), atol=1e-9) and np.allclose(model.scale, np.maximum(x.std(0), 1e-3), atol=1e-6)
+
+
+def test_crossing_is_the_quantile_of_a_plain_sort(spark):
+    rng = np.random.default_rng(3)
+    for raw, y in ((rng.normal(size=500), rng.random(500) < 0.8), (np.round(rng.normal(size=300), 1), rng.random(300) < 0.5)):
+        y, share = y.astype(int), 0.25
+        sizes = {0: int((y == 0).sum()), 1: int((y == 1).sum())}
+        weight, order = np.where(y == 0, share / sizes[0], (1 - share) / sizes[1]), np.argsort(raw, kind="stable")
+        at = int(np.searchsorted(np.cumsum(weight[order]), share))
+        scores = spark.createDataFrame(list(zip(raw.tolist(), y.tolist())), "raw double, y int")
+        got, plain = quality._crossing(scores, sizes, share), raw[order]
+        assert abs(got - plain[max(0, at - 1) : at + 2].mean()) < 1e-9 or got == plain[at]
