@@ -9,6 +9,7 @@ from martloom.operators import boosting
 from martloom.operators.boosting import Boosting, Fit, boost
 from martloom.plans.ml import sellers
 from martloom.session import cut
+from martloom.sources import refresh
 from martloom.streaming import checkout
 
 
@@ -77,3 +78,14 @@ def test_the_driver_gets_splits_and_no_sums(spark, monkeypatch):
             assert (a.feature == b.feature).all() and (a.threshold == b.threshold).all() and (a.leaf == b.leaf).all() and (a.cover == b.cover).all()
         assert {r.id: r.predictions for r in by_kind.rows.collect()} == {r.id: r.predictions for r in other.rows.collect()}
     assert by_kind.trees[0].gain.max() > 0
+
+
+def test_a_first_refresh_joins_nothing_to_find_its_months(spark, monkeypatch, tmp_path):
+    plans = []
+    monkeypatch.setattr(refresh, "months_of", lambda rows, time: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()))
+    for name, ddl in (("orders", "order_id long, order_purchase_timestamp timestamp_ntz"), ("paid", "order_id long"), ("items", "order_id long")):
+        spark.createDataFrame([], ddl).write.parquet(f"{tmp_path}/{name}")
+    orders, paid, items = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("orders", "paid", "items"))
+    refresh.changed_order_months(orders, [paid, items], None)
+    refresh.changed_order_months(orders, [paid, items], dt.datetime(2024, 1, 1))
+    assert "Join" not in plans[0] and plans[1].count("Join LeftSemi") == 1
