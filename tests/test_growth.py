@@ -7,7 +7,10 @@ from pyspark import RDD
 
 from martloom.operators import boosting
 from martloom.operators.boosting import Boosting, Fit, boost
+from martloom.operators.keys import may_occur
+from martloom.plans.marts import common, products
 from martloom.plans.ml import sellers
+from martloom.plans.pipeline import DETAIL, PROFILE, Marts
 from martloom.session import cut
 from martloom.sources import refresh
 from martloom.streaming import checkout
@@ -89,3 +92,63 @@ def test_a_first_refresh_joins_nothing_to_find_its_months(spark, monkeypatch, tm
     refresh.changed_order_months(orders, [paid, items], None)
     refresh.changed_order_months(orders, [paid, items], dt.datetime(2024, 1, 1))
     assert "Join" not in plans[0] and plans[1].count("Join LeftSemi") == 1
+
+
+def shop(spark, n=400):
+    """Orders with hot, missing and repeated keys."""
+    def rows(text):
+        return spark.range(n).selectExpr(*text.split("; "))
+
+    people = rows("if(id % 7 = 0, 5, id) AS customer_id; if(id % 11 = 0, NULL, id % 60) AS customer_unique_id; if(id % 5 = 0, NULL, concat('S', id % 3)) AS customer_state; 'x' AS customer_city")
+    orders = rows(
+        "if(id % 13 = 0, NULL, if(id % 17 = 0, 3, id)) AS order_id; if(id % 19 = 0, NULL, id % 150) AS customer_id; "
+        "if(id % 4 = 0, 'canceled', 'delivered') AS order_status; timestamp_ntz'2024-01-01 00:00:00' AS order_purchase_timestamp"
+    )
+    payments = rows(
+        "if(id % 3 = 0, 9, id) AS order_id; CAST(id % 6 AS INT) AS payment_installments; if(id % 23 = 0, NULL, id / 8) AS payment_value; "
+        "CASE id % 5 WHEN 0 THEN 'boleto' WHEN 1 THEN 'voucher' WHEN 2 THEN 'other' WHEN 3 THEN 'credit_card' END AS payment_type"
+    )
+    items = rows("if(id % 9 = 0, NULL, id % 250) AS order_id; id % 8 AS product_id; id / 4 AS price; 0.25D AS freight_value")
+    return {
+        "customers": people,
+        "orders": orders,
+        "order_payments": payments,
+        "order_items": items.unionByName(items.where("order_id % 3 = 0")),
+        "order_reviews": rows("id AS review_id; id % 90 AS order_id; CAST(id % 5 + 1 AS INT) AS review_score"),
+        "products": rows("id AS product_id; if(id % 3 = 0, NULL, concat('c', id % 3)) AS product_category_name").where("product_id < 7"),
+        "category_translation": spark.createDataFrame([("c1", "one")], "product_category_name string, product_category_name_english string"),
+    }
+
+
+def test_payments_are_added_up_once_for_orders_and_customers(spark, monkeypatch):
+    calls, original = [], common.payments_by_order
+
+    def counted(payments):
+        calls.append(payments)
+        return original(payments)
+
+    def table(df):
+        return Counter(tuple(r) for r in df.collect())
+
+    name = "mart_hv_category_preference"
+    apart = Marts(shop(spark), cut, cut=cut)
+    want = {PROFILE: table(apart.mart(PROFILE)), DETAIL: table(apart.mart(DETAIL))}
+    want[name] = table(products.hv_category_preference(apart.mart(DETAIL), apart.mart(PROFILE), apart.raw["order_items"], apart.part("product_categories")))
+    monkeypatch.setattr(common, "payments_by_order", counted)
+    monkeypatch.setattr(products, "_THIN_FROM", 0)
+    once = Marts(shop(spark), cut, cut=cut)
+    got = {name: table(once.define(name)), PROFILE: table(once.mart(PROFILE)), DETAIL: table(once.mart(DETAIL))}
+    assert len(calls) == 1
+    assert got == want and all(want.values())
+
+
+def test_only_items_of_wanted_orders_move(spark):
+    for kind in ("id", "CAST(id AS INT)", "concat('o', id)"):
+        many = spark.range(5000).selectExpr(f"if(id % 50 = 49, NULL, {kind}) AS k", "id AS v")
+        some = many.where("v % 40 = 0")
+        kept = {r.v for r in may_occur(many, some.unionByName(some).select("k"), "k").collect()}
+        assert {r.v for r in some.where("k IS NOT NULL").collect()} <= kept and len(kept) < 1000
+    other = some.selectExpr("CAST(v AS DOUBLE) AS k")
+    assert may_occur(many, other, "k") is many
+    assert may_occur(other, other, "k") is other
+    assert may_occur(many, some.limit(0), "k").count() == 0
