@@ -7,6 +7,7 @@ from pyspark import RDD
 
 from martloom.operators import boosting
 from martloom.operators.boosting import Boosting, Fit, boost
+from martloom.operators.dense import dense_levels
 from martloom.operators.keys import may_occur
 from martloom.plans.marts import common, products
 from martloom.plans.ml import sellers
@@ -152,3 +153,12 @@ def test_only_items_of_wanted_orders_move(spark):
     assert may_occur(many, other, "k") is many
     assert may_occur(other, other, "k") is other
     assert may_occur(many, some.limit(0), "k").count() == 0
+
+
+def test_levels_of_a_report_start_no_python(spark):
+    counts = spark.range(3).selectExpr("concat('t', id) AS tier", "id AS n")
+    df = dense_levels(counts, "tier", ["t2", "it's", "t0"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan
+    assert {tuple(r) for r in df.collect()} == {("t2", 1, 2), ("it's", 2, None), ("t0", 3, 0)}
+    assert dict(df.dtypes) == {"tier": "string", "level_order": "int", "n": "bigint"}
